@@ -1,0 +1,6 @@
+"""No streaming operators: the analytics defined here are per finished game.
+
+The stateless operators (``operators.shifts.shift_events``, ``sources.feeds.parse_feed``,
+``sources.reports.event_table``, ``operators.onice.on_ice_long`` / ``on_ice_wide``) hold no state and
+no shuffle, so they accept a ``readStream`` DataFrame of landed files unchanged.
+"""

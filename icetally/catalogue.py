@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from icetally import fixtures
-from icetally.operators import combos, metrics, pairs, timeline, toi
+from icetally.functions import arrays, clock, geometry
+from icetally.functions.events import FEED_CODES, event_code, event_players, event_rank, is_play
+from icetally.functions.strength import on_ice_counts, strength_strings
+from icetally.operators import combos, joins, metrics, onice, ordered, pairs, timeline, toi, xg
+from icetally.operators import shifts as shift_ops
+from icetally.operators.joins import jersey_maps
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -65,4 +70,294 @@ ICE: dict[str, Query] = {
     "team_strength_aggregates": _on_pbp(lambda p: metrics.team_strength_aggregates(p, rates=True)),
 }
 
-QUERIES: dict[str, Query] = {**ICE}
+# --- shifts ---------------------------------------------------------------------------------------
+
+
+def _shift_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shift_ops.strength_segments_multiset(fixtures.shifts(spark, sf_dir))
+
+
+def _shift_event_strength(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = shift_ops.shift_events(fixtures.shifts(spark, sf_dir))
+    return shift_ops.shift_event_strength(events, _shift_segments(spark, sf_dir)).select(
+        "shift_id", "gameId", "player1Id", "isHome", "isGoalie", "Event", "elapsedTime",
+        "gameStrength", "detailedGameStrength",
+    )
+
+
+def _spots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Roster spots of every game: its players with the roster's names and numbers."""
+    players = fixtures.shifts(spark, sf_dir).select("gameId", "playerId").distinct()
+    # the roster has 24 rows by its key filter
+    return players.join(F.broadcast(fixtures.roster(spark, sf_dir)), "playerId").drop("positionCode")
+
+
+def _attach_roster(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fixtures.shifts(spark, sf_dir).withColumn("jersey_number", (F.col("playerId") + 9).cast("int"))
+    return shift_ops.attach_roster(rows.drop("playerId"), _spots(spark, sf_dir), "shift_id").select(
+        "shift_id", "gameId", "isHome", "jersey_number", "elapsed_time_start", "playerId", "fullName"
+    )
+
+
+def _attach_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shifts = fixtures.shifts(spark, sf_dir)
+    rows = shift_ops.shift_events(shifts).select("shift_id", "gameId", "player1Id", "Event", "elapsedTime")
+    return shift_ops.attach_position(rows, shifts, "shift_id")
+
+
+SHIFTS: dict[str, Query] = {
+    "shift_events": lambda s, d: shift_ops.shift_events(fixtures.shifts(s, d)).select(
+        "shift_id", "gameId", "player1Id", "isHome", "isGoalie", "Event", "elapsedTime"
+    ),
+    "strength_segments_multiset": _shift_segments,
+    "strength_by_second": lambda s, d: shift_ops.strength_by_second(_shift_segments(s, d)),
+    "shift_event_strength": _shift_event_strength,
+    "attach_roster": _attach_roster,
+    "attach_position": _attach_position,
+}
+
+
+# --- rows of one game in order --------------------------------------------------------------------
+
+
+def _plays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fixtures.pbp(spark, sf_dir).where(is_play(F.col("Event")))
+
+
+def _occurrence_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The k-th play of a key in row order meets the k-th in reverse row order."""
+    rows = _plays(spark, sf_dir).select("gameId", "Event", F.col("period").alias("Per"),
+                                        F.col("elapsedTime").alias("Time"), "seq")
+    return ordered.occurrence_join(rows, rows, right_order=F.col("seq").desc()).select(
+        "gameId", "Event", "Per", "Time", "merge_idx", "seq", "seq_api"
+    )
+
+
+def _ffill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fixtures.pbp(spark, sf_dir)
+    return ordered.scoreboard_ffill(rows, ordered.canonical_keys(rows)).select(
+        "event_id", "gameId", "Event", "elapsedTime", *ordered.SCOREBOARD
+    )
+
+
+def _canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fixtures.pbp(spark, sf_dir).withColumns({
+        "Str": F.when(F.col("event_id") % 3 != 0, F.concat(F.lit("S"), (F.col("k") % 4).cast("string"))),
+        "elapsedTime": F.when(F.col("event_id") % 19 != 0, F.col("elapsedTime")),
+    })
+    return ordered.canonical_order(rows).select("event_id", "gameId", "Event", "elapsedTime", "Str", "#")
+
+
+def _on_ice_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plays with on-ice lists: ids, names of another length, sometimes goalies, sometimes nothing."""
+    e = F.col("event_id")
+
+    def names(ids: Column) -> Column:
+        return F.transform(ids, lambda x: F.concat(F.lit("P"), x.cast("string")))
+
+    home = F.array(e % 12, (e + 5) % 12, (e + 7) % 12, e % 5 + 20, F.lit(31).cast("bigint"))
+    away = F.when(e % 11 != 0, F.array((e + 1) % 12 + 40, (e + 3) % 12 + 40, F.lit(61).cast("bigint")))
+    return _plays(spark, sf_dir).select(
+        "event_id", "gameId", "elapsedTime", F.col("period").alias("Per"), "Event", "isHome",
+        home.alias("home_on_id"), names(F.slice(home, 1, 4)).alias("home_on_full_name"),
+        away.alias("away_on_id"), F.concat(names(away), F.array(F.lit("extra"))).alias("away_on_full_name"),
+        F.when(e % 3 == 0, F.array(F.lit(31).cast("bigint"))).alias("homeGoalie_on_id"),
+        F.when(e % 3 == 0, F.array(F.lit("P31"))).alias("homeGoalie_on_full_name"),
+        F.when(e % 4 == 0, F.array(F.lit(61).cast("bigint"))).alias("awayGoalie_on_id"),
+        F.when(e % 4 == 0, F.array(F.lit("P61"))).alias("awayGoalie_on_full_name"),
+    )
+
+
+def _on_ice_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return onice.on_ice_long(_on_ice_rows(spark, sf_dir).withColumnRenamed("event_id", "seq"))
+
+
+def _on_ice_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return onice.on_ice_wide(_on_ice_rows(spark, sf_dir), max_skaters=4, drop_list_cols=True)
+
+
+def _on_ice_strengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = strength_strings(on_ice_counts(_on_ice_rows(spark, sf_dir)))
+    return rows.select(
+        "event_id", "home_on_count", "away_on_count", "homeGoalie_on_count", "awayGoalie_on_count",
+        "n_home_skaters", "n_away_skaters", "pulled_home", "pulled_away", "home_strength",
+        "away_strength", "gameStrength", "detailedGameStrength",
+    )
+
+
+def _on_ice_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Jersey lists to ids and names through one map per game."""
+    spots = _spots(spark, sf_dir).where("isHome = 1")
+    maps = jersey_maps(spots, ["gameId"])
+    rows = _plays(spark, sf_dir).select(
+        "event_id", (F.col("event_id") % 10).alias("gameId"),
+        F.array(*[(F.col("event_id") * i % 14 + 8).cast("string") for i in (1, 2, 3)]).alias("home_on_ice"),
+    )
+    joined = joins.join_dimension(rows, maps, ["gameId"], "event_id")
+    out = onice.map_on_ice(joined, {"home_on_ice": "home_on_id"}, "ids")
+    out = onice.map_on_ice(out, {"home_on_ice": "home_on_full_name"}, "names", keep_text=True)
+    return out.select(
+        "event_id", "gameId",
+        F.transform("home_on_id", lambda x: F.coalesce(x, F.lit(-1))).alias("home_on_id"),
+        "home_on_full_name", onice.unmapped_count("home_on_id").alias("unmapped_count"),
+    )
+
+
+def _event_players(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plays under their feed names with detail fields, read back as players 1 to 3."""
+    feed_name = {code: name for name, code in FEED_CODES.items()}
+    name = None
+    for code in ("SHOT", "GOAL", "MISS", "BLOCK", "PENL", "GIVE", "TAKE", "FAC", "HIT", "STOP"):
+        hit = F.col("Event") == code
+        name = F.when(hit, feed_name[code]) if name is None else name.when(hit, feed_name[code])
+    fields = ("winningPlayerId", "losingPlayerId", "hittingPlayerId", "hitteePlayerId", "shootingPlayerId",
+              "blockingPlayerId", "scoringPlayerId", "assist1PlayerId", "playerId", "committedByPlayerId",
+              "drawnByPlayerId", "servedByPlayerId")
+    rows = _plays(spark, sf_dir).select(
+        "event_id", name.alias("event_api"),
+        *[(F.col("user_id") * 100 + i).alias(c) for i, c in enumerate(fields)],
+    )
+    out = event_players(rows)
+    return out.select("event_id", "event_api", event_code(F.col("event_api")).alias("Event"),
+                      event_rank(event_code(F.col("event_api"))).alias("rank"),
+                      "player1Id", "player2Id", "player3Id")
+
+
+def _rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Many small games, some with one team or three."""
+    rows = fixtures.pbp(spark, sf_dir).withColumns({
+        "gameId": (F.col("event_id") % 997).cast("int"),
+        "eventTeam": F.when(F.col("k") % 25 == 0, "CCC").when(F.col("k") % 2 == 0, F.col("eventTeam")),
+    })
+    return timeline.rejected_games(rows)
+
+
+ROWS: dict[str, Query] = {
+    "occurrence_join": _occurrence_join,
+    "scoreboard_ffill": _ffill,
+    "canonical_order": _canonical,
+    "on_ice_long": _on_ice_long,
+    "on_ice_wide": _on_ice_wide,
+    "on_ice_strengths": _on_ice_strengths,
+    "on_ice_mapping": lambda s, d: tidy(_on_ice_mapping(s, d)),
+    "event_players": _event_players,
+    "rejected_games": _rejected,
+}
+
+
+# --- scalar functions -----------------------------------------------------------------------------
+
+
+def _clock_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clock texts made from the order lines and read back."""
+    n = F.col("l_orderkey") * 7 + F.col("l_linenumber")
+    sec = (n % 1300).cast("int")
+    period = (n % 6 + 1).cast("int")
+    text = F.concat((sec / 60).cast("int").cast("string"), F.lit(":"), F.lpad((sec % 60).cast("string"), 2, "0"))
+    rows = fixtures.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+        F.when(n % 13 != 0, F.when(n % 17 != 0, text).otherwise("bad")).alias("clock"),
+        F.concat(text, F.lit("20:00")).alias("both"),
+        F.when(period == 4, "OT").when(period == 6, "SO").otherwise(period.cast("string")).alias("per"),
+        (F.col("l_suppkey") % 4).cast("int").alias("game_type"),
+    )
+    return rows.select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+        clock.mmss_to_seconds(F.col("clock")).alias("seconds"),
+        clock.split_clock(F.col("both"))["elapsed"].alias("elapsed"),
+        clock.split_clock(F.col("both"))["remaining"].alias("remaining"),
+        clock.period_number(F.col("per")).alias("period"),
+        clock.elapsed_time(clock.mmss_to_seconds(F.col("clock")), clock.period_number(F.col("per"))).alias("elapsed_any"),
+        clock.elapsed_time(
+            clock.mmss_to_seconds(F.col("clock")), clock.period_number(F.col("per")), F.col("game_type")
+        ).alias("elapsed_typed"),
+    )
+
+
+def _name_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("c_custkey")
+    code = F.when(k % 7 == 0, "G").when(k % 7 == 1, "D").when(k % 7 == 2, "l").when(k % 7 == 3, "forward").when(k % 7 < 6, "C")
+    rows = fixtures.table(spark, sf_dir, "customer").select("c_custkey", "c_name", code.alias("code"))
+    return rows.select(
+        "c_custkey",
+        clock.report_key(F.lit(2024020000) + k, "PL").alias("report_key"),
+        clock.jersey_number(F.concat((k % 99).cast("string"), F.lit(" "), F.col("c_name"))).alias("jersey"),
+        clock.jersey_number(F.col("c_name")).alias("no_jersey"),
+        clock.full_name(F.col("c_name"), F.col("code")).alias("full_name"),
+        clock.position_group(F.coalesce("code", F.lit("R"))).alias("position_group"),
+        clock.position_letter(F.col("code")).alias("position_letter"),
+        clock.player_team(k % 2, F.lit("AAA"), F.lit("BBB")).alias("team"),
+    )
+
+
+def _as_array_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lists of event ids written as bracketed, parenthesised or comma text and read back."""
+    a, b = F.col("event_id").cast("string"), F.col("user_id").cast("string")
+    text = (
+        F.when(F.col("event_id") % 5 == 0, F.concat(F.lit("["), a, F.lit(", "), b, F.lit("]")))
+        .when(F.col("event_id") % 5 == 1, F.concat(F.lit("("), a, F.lit(", "), b, F.lit(")")))
+        .when(F.col("event_id") % 5 == 2, F.concat(a, F.lit(" , "), b, F.lit(",")))
+        .when(F.col("event_id") % 5 == 3, a)
+    )
+    rows = fixtures.table(spark, sf_dir, "events").select("event_id", text.alias("t"))
+    return rows.select("event_id", arrays.as_array(F.col("t"), False).alias("items"))
+
+
+def _geometry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = geometry.rink_geometry(geometry.origin_distance(_plays(spark, sf_dir)))
+    return rows.select("event_id", "x_normalized", "y_normalized", "distance_from_goal", "x_norm", "y_norm",
+                       "distanceFromGoal", "angle_signed")
+
+
+SCALARS: dict[str, Query] = {
+    "clock_functions": _clock_functions,
+    "name_functions": _name_functions,
+    "as_array_text": lambda s, d: tidy(_as_array_text(s, d)),
+    "geometry": lambda s, d: tidy(_geometry(s, d)),
+}
+
+
+# --- shot features and scoring --------------------------------------------------------------------
+
+_FEATURES = (
+    "event_id", "gameId", "Event", "x_norm", "y_norm", "distanceFromGoal", "angle_signed", "isHome",
+    "strengthDiff", "scoreDiff", "shooterSkaters", "defendingSkaters", "shootEmptyNet", "previousEvent",
+    "previousTeam", "previousEventSameTeam", "previousElapsedTime", "previousEventDistanceFromGoal",
+    "previousEventAngleSigned", "previousEventXNorm", "previousEventYNorm", "timeDiff", "isRebound", "isGoal",
+)
+
+
+def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fixtures.pbp(spark, sf_dir).withColumns({
+        "Per": F.col("period"), "timeInPeriodSec": F.col("elapsedTime") % 1200,
+        "timeRemainingSec": 1200 - F.col("elapsedTime") % 1200,
+        "shotType": F.when(F.col("k") % 3 == 0, " wrist").when(F.col("k") % 3 == 1, "slap"),
+        "strength": F.when(F.col("event_id") % 2 == 0, "EV").otherwise("PP"),
+    })
+    return xg.engineer_xg_features(rows)
+
+
+_LEVELS = {"shotType": ["wrist", "slap", "<NA>"], "strength": ["EV", "PP"], "previousEvent": ["SHOT", "FAC", "STOP"]}
+
+
+def _design(spark: SparkSession, sf_dir: str) -> DataFrame:
+    matrix = xg.one_hot(xg.shots_design_matrix(_features(spark, sf_dir)), _LEVELS)
+    dummies = [f"{c}_{v}" for c, vs in _LEVELS.items() for v in vs]
+    return xg.align_columns(
+        matrix, [*xg.NUMERIC, *xg.FLAGS, *dummies, "previousEvent_ANTHEM", "timeDiff"], ("event_id",)
+    )
+
+
+def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feats = _features(spark, sf_dir)
+    model = xg.fit_xg(feats, max_iter=5, max_depth=3)
+    return xg.predict_xg(feats, model).select("event_id", "gameId", "Event", "xG")
+
+
+SHOTS: dict[str, Query] = {
+    "xg_features": lambda s, d: tidy(_features(s, d).select(*_FEATURES)),
+    "shots_design_matrix": lambda s, d: tidy(_design(s, d)),
+    "xg_scores": lambda s, d: tidy(_scores(s, d)),
+}
+
+QUERIES: dict[str, Query] = {**ICE, **SHIFTS, **ROWS, **SCALARS, **SHOTS}

@@ -45,7 +45,7 @@ def pbp(spark: SparkSession, sf_dir: str, names: bool = False) -> DataFrame:
     located = ~change & (eid % 17 != 0)
     goal = F.col("Event") == "GOAL"
     out = base.select(
-        "event_id", "seq", "gameId", "elapsedTime",
+        "event_id", "seq", "user_id", "k", "gameId", "elapsedTime",
         (F.floor(F.col("elapsedTime") / 1200.0).cast("int") + 1).alias("period"), "Event", "eventTeam",
         F.lit("AAA").alias("homeTeam"), F.lit("BBB").alias("awayTeam"),
         F.when(F.col("eventTeam") == "AAA", 1).otherwise(0).alias("isHome"),

@@ -27,9 +27,12 @@ def rink_geometry(df: DataFrame, goal_x: float = 89.0, goal_y: float = 0.0) -> D
     sign = F.when(x < 0, F.lit(-1.0)).otherwise(F.lit(1.0))
     df = df.withColumns({"x_norm": sign * x, "y_norm": sign * y})
     dx: Column = F.lit(float(goal_x)) - F.col("x_norm")
+    angle = F.degrees(F.atan2(F.col("y_norm"), dx))
+    # mirroring turns y = 0 into -0, which atan2 here reads as +0: behind the net that is -180 degrees
+    behind = (x < 0) & (y == 0) & (dx < 0)
     return df.withColumns(
         {
             "distanceFromGoal": F.hypot(dx, F.lit(float(goal_y)) - F.col("y_norm")),
-            "angle_signed": F.degrees(F.atan2(F.col("y_norm"), dx)),
+            "angle_signed": F.when(behind, F.lit(-180.0)).otherwise(angle),
         }
     )

@@ -19,3 +19,17 @@ def join_dimension(
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(fan)).cast("int"))
     copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(fan - 1))))
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+
+
+def jersey_maps(spots: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per key with maps ``ids`` (jersey -> player id) and ``names`` (jersey -> full name).
+
+    Of several players with one jersey the highest id counts; a map is bounded by the jersey numbers.
+    """
+    one = spots.where(F.col("sweaterNumber").isNotNull()).groupBy(*keys, "sweaterNumber").agg(
+        F.max_by(F.struct(F.col("playerId").cast("bigint").alias("playerId"), "fullName"), "playerId").alias("p")
+    )
+    return one.groupBy(*keys).agg(
+        F.map_from_entries(F.collect_list(F.struct("sweaterNumber", "p.playerId"))).alias("ids"),
+        F.map_from_entries(F.collect_list(F.struct("sweaterNumber", "p.fullName"))).alias("names"),
+    )

@@ -30,6 +30,14 @@ def _pairs(ids: Column, names: Column) -> Column:
     )
 
 
+def _without(pairs: Column, ids: Column) -> Column:
+    return F.filter(pairs, lambda x: ~F.coalesce(F.array_contains(ids, x["pid"]), F.lit(False)))
+
+
+def _name_of(pairs: Column, pid: Column) -> Column:
+    return F.try_element_at(F.filter(pairs, lambda x: x["pid"] == pid), F.lit(-1))["name"]
+
+
 def on_ice_long(df: DataFrame) -> DataFrame:
     """One row per event, side and slot."""
     def side(name: str) -> Column:
@@ -64,30 +72,23 @@ def on_ice_wide(
             f"_{side}_pairs": _pairs(ids, names), f"_{side}_goalies": goalies,
         })
         pairs, gone = F.col(f"_{side}_pairs"), F.col(f"_{side}_goalies")
-        skaters = F.filter(
-            pairs,
-            lambda x, gone=gone: ~F.coalesce(F.array_contains(gone, x["pid"]), F.lit(False)),
-        )
-        df = df.withColumn(f"_{side}_skaters", skaters)
+        df = df.withColumn(f"_{side}_skaters", _without(pairs, gone))
         line = F.col(f"_{side}_skaters")
 
-        def name_of(pid: Column, pairs: Column = pairs) -> Column:
-            return F.try_element_at(F.filter(pairs, lambda x: x["pid"] == pid), F.lit(-1))["name"]
-
         for i in range(1, max_skaters + 1):
             pid = F.try_element_at(line, F.lit(i))["pid"]
             new[f"{side}_skater_id_{i}"] = pid
-            new[f"{side}_skater_name_{i}"] = name_of(pid)
+            new[f"{side}_skater_name_{i}"] = _name_of(pairs, pid)
         if include_goalie:
             shown = F.transform(F.slice(line, 1, max_skaters), lambda x: x["pid"])
-            left = F.filter(pairs, lambda x, shown=shown: ~F.coalesce(F.array_contains(shown, x["pid"]), F.lit(False)))
+            left = _without(pairs, shown)
             lone = F.when(F.size(left) == 1, F.try_element_at(left, F.lit(1))["pid"])
             named = F.try_element_at(gone, F.lit(1)).isNotNull()
             gid = F.coalesce(F.try_element_at(gone, F.lit(1)), lone)
             new[f"{side}_goalie_id"] = gid
             new[f"{side}_goalie_name"] = F.when(
                 named, F.try_element_at(goalie_names, F.lit(1))
-            ).otherwise(name_of(lone))
+            ).otherwise(_name_of(pairs, lone))
     out = df.withColumns(new).drop(*[f"_{s}_{k}" for s in ("home", "away") for k in ("pairs", "goalies", "skaters")])
     if drop_list_cols:
         out = out.drop(*[c for c in LIST_COLUMNS if c in out.columns])

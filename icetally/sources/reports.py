@@ -41,7 +41,7 @@ def _filled(reports: DataFrame) -> DataFrame:
 
 def plain_text(c: Column) -> Column:
     """Entities decoded, odd spaces made plain, ends trimmed."""
-    out = F.regexp_replace(c, "&nbsp;|&#160;|&#xA0;| | ", " ")
+    out = F.regexp_replace(c, r"&nbsp;|&#160;|&#xA0;|\u00a0|\u2009", " ")
     for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
         out = F.replace(out, F.lit(entity), F.lit(char))
     return F.regexp_replace(out, r"^\s+|\s+$", "")
@@ -277,9 +277,25 @@ def parse_report_counts(reports: DataFrame, keys: tuple[str, ...] = ("gameId", "
 
 
 def _section(html: Column, name: str) -> Column:
-    """Markup behind the element with this id, up to the next element with an id; null when absent."""
-    after = F.get(F.split(html, rf"""(?i)\bid\s*=\s*["']?{name}\b["']?""", 2), F.lit(1))
-    return F.get(F.split(after, r"(?i)<[a-z]+\b[^>]*\sid\s*=", 2), F.lit(0))
+    """Markup inside the element with this id, nested elements of its tag included; null when absent."""
+    marker = rf"""\bid\s*=\s*["']?{name}\b["']?"""
+    tag = F.regexp_extract(html, rf"(?i)<([a-z]+)\b[^>]*{marker}", 1)
+    after = F.get(F.split(html, f"(?i){marker}", 2), F.lit(1))
+    pieces = F.split(after, F.concat(F.lit("(?i)</"), tag, F.lit(r"\s*>")))
+    opening = F.concat(F.lit("(?i)<"), tag, F.lit(r"\b"))
+    start = F.struct(F.lit(1), F.lit(0)).cast("struct<depth:int,n:int>")
+    closed = F.aggregate(
+        pieces, start,
+        lambda s, p: F.when(s["depth"] <= 0, s).otherwise(
+            F.struct(
+                (s["depth"] + F.size(F.split(p, opening)) - 2).alias("depth"), (s["n"] + 1).alias("n")
+            ).cast("struct<depth:int,n:int>")
+        ),
+        lambda s: s["n"],
+    )
+    return F.when(tag != "", F.array_join(
+        F.transform(F.slice(pieces, 1, closed), lambda p: F.concat(p, F.lit("</"), tag, F.lit(">"))), ""
+    ))
 
 
 def _tables(html: Column) -> Column:

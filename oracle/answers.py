@@ -1,5 +1,5 @@
 """All answers by query name."""
 
-from oracle import ice_queries
+from oracle import ice_queries, row_queries
 
-SQL: dict[str, str] = {**ice_queries.SQL}
+SQL: dict[str, str] = {**ice_queries.SQL, **row_queries.SQL}

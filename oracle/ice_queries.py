@@ -141,8 +141,8 @@ def combo_stats(n: int, m: int, min_toi: int, both: bool) -> str:
                           f" {pos(f'{prefix}{i}')} as {out}{i}Position,"
                           f" (select sweaterNumber from roster r where r.playerId=t.{prefix}{i}) as {out}{i}Number,"
                           f" cast(null as varchar) as {out}{i}Headshot")
-        extra += ", " + " || ',' || ".join(f"t.p{i}" for i in range(1, n + 1)) + " as team_combo_ids"
-        extra += (", " + " || ',' || ".join(f"t.o{i}" for i in range(1, m + 1)) if m else ", cast(null as varchar)") + " as opp_combo_ids"
+        extra += ", " + " || ',' || ".join(f"cast(t.p{i} as varchar)" for i in range(1, n + 1)) + " as team_combo_ids"
+        extra += (", " + " || ',' || ".join(f"cast(t.o{i} as varchar)" for i in range(1, m + 1)) if m else ", cast(null as varchar)") + " as opp_combo_ids"
     where = "" if both else "where t.team='AAA'"
     return f"""with {', '.join(ctes)}
 select t.gameId, t.team, case when t.team='AAA' then 'BBB' else 'AAA' end as opp, {team_combo} as team_combo,

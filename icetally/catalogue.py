@@ -8,13 +8,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from icetally import fixtures
+from icetally import fixtures, rendered
 from icetally.functions import arrays, clock, geometry
+from icetally.functions.columns import flatten
 from icetally.functions.events import FEED_CODES, event_code, event_players, event_rank, is_play
 from icetally.functions.strength import on_ice_counts, strength_strings
 from icetally.operators import combos, joins, metrics, onice, ordered, pairs, timeline, toi, xg
 from icetally.operators import shifts as shift_ops
 from icetally.operators.joins import jersey_maps
+from icetally.sources import feeds, reports
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -360,4 +362,134 @@ SHOTS: dict[str, Query] = {
     "xg_scores": lambda s, d: tidy(_scores(s, d)),
 }
 
-QUERIES: dict[str, Query] = {**ICE, **SHIFTS, **ROWS, **SCALARS, **SHOTS}
+# --- reports --------------------------------------------------------------------------------------
+
+
+def _report_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.event_table(rendered.event_reports(spark, sf_dir)).drop("part")
+
+
+REPORTS: dict[str, Query] = {
+    "report_events": lambda s, d: tidy(_report_events(s, d).drop("seq")),
+    "report_shifts": lambda s, d: reports.shift_rows(rendered.shift_reports(s, d)).drop("seq", "part"),
+    "report_summary": lambda s, d: reports.shift_summary(rendered.shift_reports(s, d)).drop("seq"),
+    "report_counts": lambda s, d: reports.parse_report_counts(
+        rendered.shift_reports(s, d), ("gameId", "team_type", "part")
+    ),
+    "report_rosters": lambda s, d: reports.report_rosters(rendered.roster_reports(s, d)).drop("seq"),
+    "report_coaches": lambda s, d: reports.report_coaches(rendered.roster_reports(s, d)),
+    "report_officials": lambda s, d: reports.report_officials(rendered.roster_reports(s, d)).drop("seq"),
+    "report_game_info": lambda s, d: tidy(reports.report_game_info(rendered.roster_reports(s, d))),
+}
+
+
+# --- feeds ----------------------------------------------------------------------------------------
+
+
+def _default(c: Column) -> Column:
+    return F.struct(c.alias("default"))
+
+
+def _feed(table: str, key: str, name: str, envelope: str, record: Callable[[], Column], **extra: object) -> Query:
+    """Rows of a table rendered as payloads of a feed, read back and flattened."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        made = rendered.payloads(fixtures.table(spark, sf_dir, table), key, record(), envelope)
+        return tidy(flatten(feeds.parse_feed(made, name, **extra)).drop("scrapedOn"))
+
+    return run
+
+
+def _team_record() -> Column:
+    return F.struct(
+        F.col("s_suppkey").alias("id"), F.col("s_name").alias("fullName"),
+        F.struct((F.col("s_suppkey") % 90 + 1917).alias("id")).alias("firstSeason"),
+    )
+
+
+def _game_record() -> Column:
+    k = F.col("o_orderkey")
+    return F.struct(
+        k.alias("id"), F.lit(20242025).alias("season"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("gameDate"),
+        _default(F.concat(F.lit("Rink "), (k % 32).cast("string"))).alias("venue"),
+        F.struct((k % 32).alias("id"), F.lit("HOM").alias("abbrev")).alias("homeTeam"),
+        F.struct((k % 31).alias("id"), F.lit("AWY").alias("abbrev"), (k % 7).alias("score")).alias("awayTeam"),
+    )
+
+
+def _standing_record() -> Column:
+    k = F.col("s_suppkey")
+    return F.struct(_default(F.col("s_name")).alias("teamName"), (k % 82).alias("gamesPlayed"),
+                    (k % 41).alias("wins"), ((k % 41) * 2).alias("points"))
+
+
+def _player_record(*more: Column) -> Column:
+    k = F.col("c_custkey")
+    return F.struct(k.alias("playerId"), _default(F.lit("A")).alias("firstName"), _default(F.col("c_name")).alias("lastName"),
+                    (k % 82).alias("gamesPlayed"), *more)
+
+
+def _roster_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("c_custkey")
+    record = F.struct(k.alias("id"), _default(F.col("c_name")).alias("lastName"), (k % 98 + 1).alias("sweaterNumber"))
+    position = F.when(k % 4 == 0, "D").when(k % 9 == 0, "G").otherwise("C")
+    made = rendered.roster_payloads(fixtures.table(spark, sf_dir, "customer"), "c_custkey", record, position)
+    return flatten(feeds.parse_feed(made, "roster")).drop("scrapedOn")
+
+
+def _pick_record() -> Column:
+    k = F.col("p_partkey")
+    return F.struct((k % 7 + 1).alias("round"), k.alias("overallPick"), _default(F.col("p_name")).alias("lastName"),
+                    F.col("p_size").alias("height"))
+
+
+def _draft_record() -> Column:
+    k = F.col("p_partkey")
+    return F.struct(k.alias("id"), (k % 60 + 1963).alias("draftYear"), F.col("p_name").alias("playerName"),
+                    F.struct((k % 32).alias("id"), F.col("p_brand").alias("fullName")).alias("team"))
+
+
+def _feed_game(table: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        games = feeds.parse_game(rendered.game_payloads(spark, sf_dir))
+        if table == "plays":
+            return tidy(feeds.plays(games).select(
+                "gameId", "seq", "eventId", "period", "timeInPeriod", "event_api", "pptReplayUrl",
+                "scoringPlayerId", "shootingPlayerId", "xCoord", "homeScore", "eventOwnerTeamId"))
+        if table == "roster_spots":
+            return feeds.roster_spots(games)
+        return feeds.game_meta(games)
+
+    return run
+
+
+def _replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feeds.parse_goal_replay(rendered.replay_payloads(spark, sf_dir))
+
+
+def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    games = feeds.parse_game(rendered.game_payloads(spark, sf_dir))
+    out = feeds.enrich_plays(feeds.plays(games), feeds.game_meta(games), rendered.replay_payloads(spark, sf_dir))
+    return out.select("gameId", "eventId", "venue", "venueLocation", "gameDate", "gameType", "startTimeUTC",
+                      "easternUTCOffset", "venueUTCOffset", "source", F.length("pptReplayData").alias("replay_length"))
+
+
+FEEDS: dict[str, Query] = {
+    "feed_teams": _feed("supplier", "s_suppkey", "teams", "teams", _team_record, source="records"),
+    "feed_schedule": _feed("orders", "o_orderkey", "schedule", "games", _game_record),
+    "feed_standings": _feed("supplier", "s_suppkey", "standings", "standings", _standing_record),
+    "feed_roster": _roster_feed,
+    "feed_team_stats": _feed("customer", "c_custkey", "team_stats", "skaters", lambda: _player_record(
+        (F.col("c_custkey") % 50).alias("goals"), F.col("c_acctbal").alias("avgTimeOnIcePerGame"))),
+    "feed_team_stats_goalies": _feed("customer", "c_custkey", "team_stats_goalies", "goalies", lambda: _player_record(
+        (F.col("c_custkey") % 9).alias("shutouts"))),
+    "feed_draft_picks": _feed("part", "p_partkey", "draft_picks", "picks", _pick_record, year=2024),
+    "feed_draft_records": _feed("part", "p_partkey", "draft_records", "data", _draft_record, year=2025),
+    "feed_team_draft_history": _feed("part", "p_partkey", "team_draft_history", "data", _draft_record),
+    "feed_plays": _feed_game("plays"),
+    "feed_roster_spots": _feed_game("roster_spots"),
+    "feed_game_meta": _feed_game("game_meta"),
+    "goal_replay": _replay,
+    "enriched_plays": _enriched,
+}
+
+QUERIES: dict[str, Query] = {**ICE, **SHIFTS, **ROWS, **SCALARS, **SHOTS, **REPORTS, **FEEDS}

@@ -33,10 +33,19 @@ def as_array(c: Column, is_array: bool) -> Column:
     )
 
 
+def let(value: Column, use) -> Column:
+    """``use`` applied to a value that is worked out once, even where ``use`` needs it inside lambdas."""
+    return F.transform(F.array(value), use).getItem(0)
+
+
 def combos(ids: Column, n: int) -> Column:
     """All n-element subsets of a sorted array of distinct ids, each in ascending order."""
     if n == 0:
         return F.array(F.slice(ids, 1, 0))
+    return let(ids, lambda held: _subsets(held, n))
+
+
+def _subsets(ids: Column, n: int) -> Column:
     grown = F.transform(ids, lambda x: F.array(x))
     for _ in range(n - 1):
         grown = F.flatten(

@@ -61,12 +61,12 @@ FEEDS = {
 }
 TEAM_SOURCES = ("default", "calendar", "records")
 
-_DETAILS = (
+DETAIL_IDS = (
     "eventOwnerTeamId", "winningPlayerId", "losingPlayerId", "hittingPlayerId", "hitteePlayerId",
     "shootingPlayerId", "blockingPlayerId", "scoringPlayerId", "assist1PlayerId", "assist2PlayerId",
     "goalieInNetId", "playerId", "committedByPlayerId", "drawnByPlayerId", "servedByPlayerId",
 )
-_DETAIL_FIELDS = ", ".join(f"{c}: BIGINT" for c in _DETAILS)
+_DETAIL_FIELDS = ", ".join(f"{c}: BIGINT" for c in DETAIL_IDS)
 PLAY = f"""eventId BIGINT, periodDescriptor STRUCT<number: INT, periodType: STRING>, timeInPeriod STRING,
  timeRemaining STRING, situationCode STRING, typeCode INT, typeDescKey STRING, sortOrder INT, pptReplayUrl STRING,
  details STRUCT<{_DETAIL_FIELDS}, xCoord: DOUBLE, yCoord: DOUBLE, zoneCode: STRING, shotType: STRING,
@@ -222,7 +222,7 @@ def enrich_plays(play_rows: DataFrame, meta: DataFrame, replay: DataFrame | None
     out = join_dimension(play_rows, facts, ["gameId"], "seq")
     if replay is None:
         return stamp(out.withColumn("pptReplayData", F.lit(None).cast("string")), "NHL Play-by-Play API")
-    game, event = replay_ids(F.col(f"{'path'}"))
+    game, event = replay_ids(F.col("path"))
     data = replay.select(
         game.alias("gameId"), event.alias("eventId"), F.col("payload").alias("pptReplayData")
     ).dropDuplicates(["gameId", "eventId"])

@@ -10,12 +10,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from icetally.functions.arrays import let
 from icetally.functions.clock import jersey_number, mmss_to_seconds, period_number, split_clock, to_int
 
 # Markup of data rows, cells and headings in the reports.
 ROW = r"""(?s)<[tT][rR]\b[^>]*\b[cC][lL][aA][sS][sS]\s*=\s*["']?(?:[^"'>]*\s)?(?:oddColor|evenColor)(?=[\s"'>])[^>]*>"""
 CELL = r"(?is)<td\b[^>]*>(.*?)</td>"
 HEADING = r"""(?is)<td\b[^>]*\bclass\s*=\s*["']?[^"'>]*\b%s\b[^>]*>(.*?)</td>"""
+TOTAL_ROW = ROW + r"(?i:\s*<td\b[^>]*>(?:\s|&nbsp;|<(?!/?td)[^>]*>)*)TOT(?=(?:\s|&nbsp;|<(?!/?td)[^>]*>)*</td)"
 POSITIONS = ("C", "L", "R", "D", "G")
 
 
@@ -41,16 +43,24 @@ def _filled(reports: DataFrame) -> DataFrame:
 
 def plain_text(c: Column) -> Column:
     """Entities decoded, odd spaces made plain, ends trimmed."""
-    out = F.regexp_replace(c, r"&nbsp;|&#160;|&#xA0;|\u00a0|\u2009", " ")
+    return _decoded(_spaced(c))
+
+
+def _spaced(c: Column) -> Column:
+    for odd in ("&nbsp;", "&#160;", "&#xA0;", "\u00a0", "\u2009"):
+        c = F.replace(c, F.lit(odd), F.lit(" "))
+    return c
+
+
+def _decoded(c: Column) -> Column:
     for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    return F.regexp_replace(out, r"^\s+|\s+$", "")
+        c = F.replace(c, F.lit(entity), F.lit(char))
+    return F.trim(c, F.lit(" \t\r\n\f\u000b"))
 
 
 def inner_text(c: Column) -> Column:
     """Text of a piece of markup: every text node trimmed, then joined without separator."""
-    nodes = F.split(c, "<[^>]*>")
-    return F.array_join(F.transform(nodes, plain_text), "")
+    return _decoded(F.regexp_replace(_spaced(c), r"\s*<[^>]*>\s*", ""))
 
 
 def _flat_cells(row: Column) -> Column:
@@ -60,81 +70,68 @@ def _flat_cells(row: Column) -> Column:
 
 # --- event rows ---------------------------------------------------------------------------------
 
-_FOLD = (
-    "struct<depth:int,open:boolean,cell:string,inner:string,cells:array<string>,ice:array<string>,done:boolean>"
-)
-
+OPEN, CLOSE, HOLE = "\u0001", "\u0002", "\u0003"
+MAX_NESTING = 5
 
-def _fold_row(chunk: Column) -> Column:
-    """Walks the tags of a row: texts of its own cells and of the tables nested in them."""
-    tokens = F.transform(
-        F.split(chunk, "<"),
-        lambda t, i: F.struct(
-            F.when(i == 0, F.lit("")).otherwise(F.lower(F.regexp_extract(t, r"^(/?[A-Za-z]+)", 1))).alias("tag"),
-            plain_text(F.when(i == 0, t).otherwise(F.regexp_replace(t, r"(?s)^[^>]*>?", ""))).alias("text"),
-        ),
-    )
-    useful = F.filter(
-        tokens, lambda t: t["tag"].isin("td", "/td", "table", "/table", "/tr") | (t["text"] != "")
-    )
-    start = F.struct(
-        F.lit(0), F.lit(False), F.lit(""), F.lit(""), F.array(), F.array(), F.lit(False)
-    ).cast(_FOLD)
-
-    def step(s: Column, t: Column) -> Column:
-        tag, text, top = t["tag"], t["text"], s["depth"] == 0
-        ends_cell = s["open"] & top & tag.isin("td", "/td", "/tr")
-        opens = top & (tag == "td")
-        depth = s["depth"] + F.when(tag == "table", 1).when((tag == "/table") & ~top, -1).otherwise(0)
-        is_open = F.when(opens, True).when(ends_cell, False).otherwise(s["open"])
-        closes_table = (tag == "/table") & (s["depth"] == 1)
-        inner = F.when((tag == "table") & top, text).when(
-            depth > 0, F.concat(s["inner"], text)
-        ).otherwise(s["inner"])
-        return F.when(s["done"], s).otherwise(
-            F.struct(
-                depth.alias("depth"), is_open.alias("open"),
-                F.when(opens, text).when(is_open, F.concat(s["cell"], text)).otherwise(F.lit("")).alias("cell"),
-                inner.alias("inner"),
-                F.when(ends_cell, F.concat(s["cells"], F.array(s["cell"]))).otherwise(s["cells"]).alias("cells"),
-                F.when(closes_table, F.concat(s["ice"], F.array(s["inner"]))).otherwise(s["ice"]).alias("ice"),
-                (top & (tag == "/tr")).alias("done"),
-            ).cast(_FOLD)
-        )
 
-    return F.aggregate(useful, start, step, lambda s: F.struct(s["cells"].alias("cells"), s["ice"].alias("ice")))
+def _nested_table() -> str:
+    """Pattern of a whole table between OPEN and CLOSE marks, tables inside it included."""
+    text = f"[^{OPEN}{CLOSE}]*+"
+    inside = text
+    for _ in range(MAX_NESTING - 1):
+        inside = f"{text}(?:{OPEN}{inside}{CLOSE}{text})*+"
+    return f"{OPEN}({inside}){CLOSE}"
 
 
 def extract_rows(reports: DataFrame) -> DataFrame:
-    """One row per data row of each report: ``seq``, ``cells`` and the nested-table texts ``ice``."""
+    """One row per data row of each report: ``seq``, ``cells`` and the nested-table texts ``ice``.
+
+    A row's on-ice lists are tables inside its cells. Tables are marked by single characters, whole ones
+    taken out as texts, and what is left is cut at the row's own end and split into cells.
+    """
     kept = [c for c in reports.columns if c != "html"]
-    chunks = F.split("html", ROW)
-    return (
+    table = _nested_table()
+    marked = F.regexp_replace(
+        F.regexp_replace("chunk", r"(?i)<table\b[^>]*>", OPEN), r"(?i)</table\s*>", CLOSE
+    )
+    rows = (
         _filled(reports)
-        .select(*kept, F.posexplode(F.slice(chunks, 2, 1000000)).alias("seq", "chunk"))
-        .select(*kept, F.col("seq").cast("bigint").alias("seq"), _fold_row(F.col("chunk")).alias("row"))
-        .select(*kept, "seq", "row.cells", "row.ice")
-        .where(F.size("cells") > 0)
+        .select(*kept, F.posexplode(F.slice(F.split("html", ROW), 2, 1000000)).alias("seq", "chunk"))
+        .select(*kept, "seq", marked.alias("marked"))
+        .select(
+            *kept, "seq", "marked",
+            F.split(F.regexp_replace("marked", table, HOLE), "(?i)</tr>", 2).getItem(0).alias("own"),
+        )
+    )
+    tables = F.slice(
+        F.regexp_extract_all("marked", F.lit(table), 1), F.lit(1), F.size(F.split("own", HOLE)) - 1
+    )
+    cells = F.filter(
+        F.regexp_extract_all("own", F.lit(CELL), 1), lambda c: ~F.contains(c, F.lit(HOLE))
+    )
+    return rows.where(F.col("own").rlike(r"(?i)</td>")).select(
+        *kept, F.col("seq").cast("bigint").alias("seq"),
+        F.transform(cells, inner_text).alias("cells"),
+        F.transform(tables, lambda t: inner_text(F.translate(t, OPEN + CLOSE, ""))).alias("ice"),
     )
 
 
-def on_ice_numbers(ice: Column, team: int, goalies: bool) -> Column:
-    """Jersey numbers from texts like ``18C71C7L3D72D35G``; team 0 is away, 1 is home.
+def on_ice_text(ice: Column, team: int) -> Column:
+    """On-ice text of the away (0) or home (1) team.
 
-    Texts of five characters or less do not count; unless exactly two remain, the list is empty.
+    Texts of five characters or less do not count; unless exactly two remain there is none.
     """
-    teams = F.filter(ice, lambda t: F.length(t) > 5)
-    text = F.get(teams, F.lit(team))
-    pattern = F.lit(r"(\d+)([CLRDG])")
-    pairs = F.arrays_zip(
-        F.regexp_extract_all(text, pattern, 1).alias("n"), F.regexp_extract_all(text, pattern, 2).alias("p")
-    )
-    wanted = F.filter(pairs, lambda x: (x["p"] == "G") if goalies else (x["p"] != "G"))
-    return F.when(F.size(teams) == 2, F.transform(wanted, lambda x: x["n"])).otherwise(
-        F.array().cast("array<string>")
+    return let(
+        F.filter(ice, lambda t: F.length(t) > 5), lambda teams: F.when(F.size(teams) == 2, teams[team])
     )
 
 
+def on_ice_numbers(text: Column, goalies: bool) -> Column:
+    """Jersey numbers of the goalies or of the skaters in a text like ``18C71C7L3D72D35G``."""
+    found = F.regexp_extract_all(text, F.lit(r"(\d+)G" if goalies else r"(\d+)[CLRD]"), 1)
+    return F.coalesce(found, F.array().cast("array<string>"))
+
+
 def clean_cells(cells: Column) -> Column:
     """First six cells, padded with empty text."""
     six = F.slice(cells, 1, 6)
@@ -144,68 +141,63 @@ def clean_cells(cells: Column) -> Column:
 def event_table(reports: DataFrame) -> DataFrame:
     """Play rows of play-by-play reports with clocks and on-ice jersey lists."""
     kept = [c for c in reports.columns if c != "html"]
-    rows = extract_rows(reports).withColumn("c", clean_cells(F.col("cells")))
     names = ("#", "Per", "Str", "Time:Elapsed Game", "Event", "Description")
+    # cells come out of extract_rows cleaned, so only missing ones are left to fill
+    rows = extract_rows(reports).select(
+        *kept, "seq", *[F.coalesce(F.get("cells", F.lit(i)), F.lit("")).alias(n) for i, n in enumerate(names)],
+        on_ice_text(F.col("ice"), 1).alias("home_text"), on_ice_text(F.col("ice"), 0).alias("away_text"),
+    )
+    clock = split_clock(F.col("Time:Elapsed Game"))
     out = rows.select(
-        *kept, "seq", *[F.col("c")[i].alias(n) for i, n in enumerate(names)],
-        split_clock(F.col("c")[3]).alias("clock"),
-        on_ice_numbers(F.col("ice"), 1, False).alias("home_on_ice"),
-        on_ice_numbers(F.col("ice"), 0, False).alias("away_on_ice"),
-        on_ice_numbers(F.col("ice"), 1, True).alias("home_goalie"),
-        on_ice_numbers(F.col("ice"), 0, True).alias("away_goalie"),
+        *kept, "seq", *names,
+        on_ice_numbers(F.col("home_text"), False).alias("home_on_ice"),
+        on_ice_numbers(F.col("away_text"), False).alias("away_on_ice"),
+        on_ice_numbers(F.col("home_text"), True).alias("home_goalie"),
+        on_ice_numbers(F.col("away_text"), True).alias("away_goalie"),
+        clock["elapsed"].alias("timeInPeriod"), clock["remaining"].alias("timeRemaining"),
     )
     return out.withColumns({
-        "timeInPeriod": F.col("clock.elapsed"), "timeRemaining": F.col("clock.remaining"),
-        "timeInPeriodSec": mmss_to_seconds(F.col("clock.elapsed")),
-        "timeRemainingSec": mmss_to_seconds(F.col("clock.remaining")),
-    }).drop("clock")
+        "timeInPeriodSec": mmss_to_seconds(F.col("timeInPeriod")),
+        "timeRemainingSec": mmss_to_seconds(F.col("timeRemaining")),
+    })
 
 
 # --- shift rows ---------------------------------------------------------------------------------
 
 
 def _shift_groups(reports: DataFrame) -> DataFrame:
-    """Rows of shift reports next to the player they belong to.
+    """Rows of shift reports, cells as markup, next to the player they belong to.
 
     A TOT row ends a player's rows; the k-th group of rows belongs to the k-th player heading, groups
-    and headings without partner drop out, and of equal headings the last counts.
+    and headings without partner drop out, and of equal headings the last counts. The document is cut
+    at its TOT rows, then each group into rows.
     """
     kept = [c for c in reports.columns if c != "html"]
-    rows = F.transform(
-        F.slice(F.split("html", ROW), 2, 1000000),
-        lambda r: _flat_cells(F.split(r, "(?i)</tr>").getItem(0)),
-    )
-    doc = _filled(reports).select(
-        *kept,
-        F.filter(rows, lambda c: F.size(c) > 0).alias("rows"),
+    groups = F.filter(F.split("html", TOTAL_ROW), lambda g: g.rlike(ROW))
+    docs = _filled(reports).select(
+        *kept, groups.alias("groups"),
         F.transform(F.regexp_extract_all("html", F.lit(HEADING % "playerHeading"), 1), inner_text).alias("players"),
-        F.regexp_extract("html", HEADING % "teamHeading", 1).alias("team_html"),
-    )
-    indexed = F.transform("rows", lambda c, i: F.struct(i.alias("pos"), (c[0] == "TOT").alias("tot"), c.alias("cells")))
-    doc = doc.withColumn("rows", indexed).withColumn(
-        "tots", F.transform(F.filter("rows", lambda r: r["tot"]), lambda r: r["pos"])
-    )
-    grouped = F.transform(
-        F.filter("rows", lambda r: ~r["tot"]),
-        lambda r: F.struct(
-            F.size(F.filter("tots", lambda p: p < r["pos"])).alias("g"), r["pos"].alias("pos"), r["cells"].alias("cells")
-        ),
+        inner_text(F.regexp_extract("html", HEADING % "teamHeading", 1)).alias("team"),
     )
-    doc = doc.withColumn("rows", grouped).withColumn(
-        "groups", F.array_distinct(F.transform("rows", lambda r: r["g"]))
-    )
-    matched = F.least(F.size("players"), F.size("groups"))
+    player = F.get("players", F.col("k"))
+    later = F.slice("players", F.col("k") + 2, F.greatest(F.col("matched") - F.col("k") - 1, F.lit(0)))
     return (
-        doc.withColumn("matched", matched)
-        .select(*kept, "players", "groups", "matched", "team_html", F.explode("rows").alias("r"))
-        .withColumn("k", F.array_position("groups", F.col("r.g")).cast("int"))
-        .where(F.col("k") <= F.col("matched"))
-        .withColumn("player_name", F.get("players", F.col("k") - 1))
-        .where(~F.array_contains(F.slice("players", F.col("k") + 1, F.col("matched") - F.col("k")), F.col("player_name")))
+        docs.select(
+            *kept, "team", "players", F.least(F.size("players"), F.size("groups")).alias("matched"),
+            F.posexplode("groups").alias("k", "group"),
+        )
+        .where(F.col("k") < F.col("matched"))
+        .where(~F.array_contains(later, player))
+        .select(
+            *kept, "team", "k", player.alias("player_name"),
+            F.posexplode(F.slice(F.split("group", ROW), 2, 1000000)).alias("i", "row"),
+        )
         .select(
-            *kept, F.col("r.pos").cast("bigint").alias("seq"), F.col("r.cells").alias("cells"), "player_name",
+            *kept, (F.col("k").cast("bigint") * 1000000 + F.col("i")).alias("seq"),
+            F.regexp_extract_all(F.split("row", "(?i)</tr>", 2).getItem(0), F.lit(CELL), 1).alias("cells"),
+            "player_name",
             jersey_number(F.col("player_name")).alias("jersey_number"),
-            F.when(F.col("team_html") != "", inner_text(F.col("team_html")))
+            F.when(F.col("team") != "", F.col("team"))
             .otherwise(F.concat(F.lit("Unknown "), F.col("team_type"))).alias("team_name"),
         )
     )
@@ -228,7 +220,7 @@ def shift_rows(reports: DataFrame) -> DataFrame:
     names = ("shift_number", "period", "start_time_elapsed_game", "end_time_elapsed_game", "duration", "event")
     rows = _shift_groups(reports).where(F.size("cells") == 6)
     out = rows.select(
-        *[c for c in rows.columns if c != "cells"], *[F.col("cells")[i].alias(n) for i, n in enumerate(names)]
+        *[c for c in rows.columns if c != "cells"], *[inner_text(F.col("cells")[i]).alias(n) for i, n in enumerate(names)]
     )
     clocks = {
         f"{end}_time_{what}": _clock_part(F.col(f"{end}_time_elapsed_game"), i)
@@ -248,7 +240,7 @@ def shift_summary(reports: DataFrame) -> DataFrame:
              "power_play_total", "short_handed_total")
     rows = _shift_groups(reports).where(F.size("cells") == 7)
     out = rows.select(
-        *[c for c in rows.columns if c != "cells"], *[F.col("cells")[i].alias(n) for i, n in enumerate(names)]
+        *[c for c in rows.columns if c != "cells"], *[inner_text(F.col("cells")[i]).alias(n) for i, n in enumerate(names)]
     )
     return out.withColumns({
         **{f"{c}_seconds": _loose_seconds(F.col(c)) for c in names[2:]},

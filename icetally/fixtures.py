@@ -35,7 +35,7 @@ def pbp(spark: SparkSession, sf_dir: str, names: bool = False) -> DataFrame:
         .when(kind == "error", F.when(k < 50, "MISS").otherwise("BLOCK")).otherwise(other)
     )
     base = table(spark, sf_dir, "events").withColumn(
-        "k", F.get_json_object("props", "$.k").cast("int")
+        "k", F.translate("props", "{}\"k: ", "").cast("int")
     ).select(
         eid.alias("event_id"), eid.alias("seq"), "user_id", "k",
         F.dayofyear("ts").alias("gameId"), t.alias("elapsedTime"), (uid % 12).alias("pid"),

@@ -16,12 +16,15 @@ def to_double(c: Column) -> Column:
     return c.try_cast("double")
 
 
+def clock_part(c: Column, i: int) -> Column:
+    """The i-th colon-separated part as a number."""
+    return to_int(F.split_part(c, F.lit(":"), F.lit(i)))
+
+
 def mmss_to_seconds(c: Column) -> Column:
     """``"MM:SS"`` to seconds; null for null or any other shape."""
-    parts = F.split(c, ":")
-    return F.when(
-        F.size(parts) == 2, to_int(F.trim(parts.getItem(0))) * 60 + to_int(F.trim(parts.getItem(1)))
-    )
+    one_colon = F.length(c) - F.length(F.replace(c, F.lit(":"), F.lit(""))) == 1
+    return F.when(one_colon, clock_part(c, 1) * 60 + clock_part(c, 2))
 
 
 def split_clock(c: Column) -> Column:
@@ -36,7 +39,7 @@ def split_clock(c: Column) -> Column:
 
 def period_number(c: Column) -> Column:
     """``OT`` is period 4, digits are themselves, anything else is null."""
-    return F.when(c == "OT", F.lit(4)).otherwise(to_int(F.trim(c)))
+    return F.when(c == "OT", F.lit(4)).otherwise(to_int(c))
 
 
 def elapsed_time(seconds_in_period: Column, period: Column, game_type: Column | None = None) -> Column:

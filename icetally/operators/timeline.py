@@ -279,7 +279,7 @@ def lineups(
         .groupBy("gameId", F.col("e.slot").alias("slot"))
         .agg(
             F.first("t1").alias("t1"), F.first("t2").alias("t2"),
-            F.collect_list("e.span").alias("spans"), F.collect_list("e.item").alias("items"),
+            F.sort_array(F.collect_list("e.span")).alias("spans"), F.collect_list("e.item").alias("items"),
         )
     )
     there = F.filter(
@@ -287,7 +287,7 @@ def lineups(
         lambda x: (x["t_on"] <= F.col("i.second")) & (x["t_off"] > F.col("i.second")),
     )
     on = slots.select(
-        "gameId", "t1", "t2", F.sort_array("spans").alias("spans"), F.explode("items").alias("i")
+        "gameId", "t1", "t2", "spans", F.explode("items").alias("i")
     ).select("gameId", "t1", "t2", "i.*", there.alias("there"))
 
     def ids(side1: bool, goalie: bool) -> Column:

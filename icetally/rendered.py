@@ -80,7 +80,7 @@ def shift_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     tip = start % 1200
     rows = fixtures.shifts(spark, sf_dir).select(
         "gameId", F.when(F.col("isHome") == 1, "Home").otherwise("Away").alias("team_type"),
-        F.floor(F.col("shift_id") / 1000).alias("part"), "playerId", "shift_id", length.alias("length"),
+        F.floor(F.col("shift_id") / 50000).alias("part"), "playerId", "shift_id", length.alias("length"),
         F.concat(
             F.lit("<tr class=\"oddColor\"><td>"), _text(F.col("shift_id") % 10), F.lit("</td><td>"),
             F.when(F.col("shift_id") % 50 == 0, "OT").otherwise(_text(F.floor(start / 1200) + 1)),

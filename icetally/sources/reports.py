@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from icetally.functions.arrays import let
-from icetally.functions.clock import jersey_number, mmss_to_seconds, period_number, split_clock, to_int
+from icetally.functions.clock import clock_part, jersey_number, mmss_to_seconds, period_number, split_clock, to_int
 
 # Markup of data rows, cells and headings in the reports.
 ROW = r"""(?s)<[tT][rR]\b[^>]*\b[cC][lL][aA][sS][sS]\s*=\s*["']?(?:[^"'>]*\s)?(?:oddColor|evenColor)(?=[\s"'>])[^>]*>"""
@@ -166,7 +166,7 @@ def event_table(reports: DataFrame) -> DataFrame:
 
 
 def _shift_groups(reports: DataFrame) -> DataFrame:
-    """Rows of shift reports, cells as markup, next to the player they belong to.
+    """Rows of shift reports next to the player they belong to.
 
     A TOT row ends a player's rows; the k-th group of rows belongs to the k-th player heading, groups
     and headings without partner drop out, and of equal headings the last counts. The document is cut
@@ -184,7 +184,8 @@ def _shift_groups(reports: DataFrame) -> DataFrame:
     return (
         docs.select(
             *kept, "team", "players", F.least(F.size("players"), F.size("groups")).alias("matched"),
-            F.posexplode("groups").alias("k", "group"),
+            # the outer form, as the plain one would cut the document twice to drop empty lists first
+            F.posexplode_outer("groups").alias("k", "group"),
         )
         .where(F.col("k") < F.col("matched"))
         .where(~F.array_contains(later, player))
@@ -194,8 +195,8 @@ def _shift_groups(reports: DataFrame) -> DataFrame:
         )
         .select(
             *kept, (F.col("k").cast("bigint") * 1000000 + F.col("i")).alias("seq"),
-            F.regexp_extract_all(F.split("row", "(?i)</tr>", 2).getItem(0), F.lit(CELL), 1).alias("cells"),
-            "player_name",
+            # generated, so that later conditions on the cells do not work them out again
+            F.explode(F.array(_flat_cells(F.split("row", "(?i)</tr>", 2).getItem(0)))).alias("cells"), "player_name",
             jersey_number(F.col("player_name")).alias("jersey_number"),
             F.when(F.col("team") != "", F.col("team"))
             .otherwise(F.concat(F.lit("Unknown "), F.col("team_type"))).alias("team_name"),
@@ -204,15 +205,11 @@ def _shift_groups(reports: DataFrame) -> DataFrame:
 
 
 def _clock_part(c: Column, i: int) -> Column:
-    parts = F.split(c, " / ")
-    return F.when(F.instr(c, "/") > 0, F.coalesce(F.get(parts, F.lit(i)), F.lit("")))
+    return F.when(F.instr(c, "/") > 0, F.split_part(c, F.lit(" / "), F.lit(i)))
 
 
 def _loose_seconds(c: Column) -> Column:
-    parts = F.split(c, ":")
-    return F.when(
-        F.instr(c, ":") > 0, to_int(F.trim(F.get(parts, F.lit(0)))) * 60 + to_int(F.trim(F.get(parts, F.lit(1))))
-    )
+    return F.when(F.instr(c, ":") > 0, clock_part(c, 1) * 60 + clock_part(c, 2))
 
 
 def shift_rows(reports: DataFrame) -> DataFrame:
@@ -220,15 +217,15 @@ def shift_rows(reports: DataFrame) -> DataFrame:
     names = ("shift_number", "period", "start_time_elapsed_game", "end_time_elapsed_game", "duration", "event")
     rows = _shift_groups(reports).where(F.size("cells") == 6)
     out = rows.select(
-        *[c for c in rows.columns if c != "cells"], *[inner_text(F.col("cells")[i]).alias(n) for i, n in enumerate(names)]
+        *[c for c in rows.columns if c != "cells"], *[F.col("cells")[i].alias(n) for i, n in enumerate(names)]
     )
     clocks = {
-        f"{end}_time_{what}": _clock_part(F.col(f"{end}_time_elapsed_game"), i)
+        f"{end}_time_{what}": _clock_part(F.col(f"{end}_time_elapsed_game"), i + 1)
         for end in ("start", "end") for i, what in enumerate(("in_period", "remaining"))
     }
     return out.withColumns(clocks).withColumns({
         "duration_seconds": _loose_seconds(F.col("duration")),
-        "shift_number": to_int(F.trim("shift_number")),
+        "shift_number": to_int(F.col("shift_number")),
         "period_number": period_number(F.col("period")),
         **{f"{c}_seconds": mmss_to_seconds(F.col(c)) for c in clocks},
     })
@@ -240,12 +237,12 @@ def shift_summary(reports: DataFrame) -> DataFrame:
              "power_play_total", "short_handed_total")
     rows = _shift_groups(reports).where(F.size("cells") == 7)
     out = rows.select(
-        *[c for c in rows.columns if c != "cells"], *[inner_text(F.col("cells")[i]).alias(n) for i, n in enumerate(names)]
+        *[c for c in rows.columns if c != "cells"], *[F.col("cells")[i].alias(n) for i, n in enumerate(names)]
     )
     return out.withColumns({
         **{f"{c}_seconds": _loose_seconds(F.col(c)) for c in names[2:]},
         "period_number": period_number(F.col("period")),
-        "shifts_count": to_int(F.trim("shifts_count")),
+        "shifts_count": to_int(F.col("shifts_count")),
     })
 
 

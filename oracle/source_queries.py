@@ -12,7 +12,7 @@ def mm2(s: str) -> str:
 
 
 SHIFT_ROWS = f"""{SHIFTS},
- q as (select gameId, case when isHome=1 then 'Home' else 'Away' end as team_type, shift_id//1000 as part, playerId, shift_id,
+ q as (select gameId, case when isHome=1 then 'Home' else 'Away' end as team_type, shift_id//50000 as part, playerId, shift_id,
    elapsed_time_start%1200 as tip, elapsed_time_start//1200+1 as per, elapsed_time_end-elapsed_time_start as len from shifts)"""
 
 CUSTOMERS = """c as (select *, c_custkey//40 as report, c_custkey%40 as spot, ['C','L','R','D','G'][c_custkey%5+1] as letter from customer),

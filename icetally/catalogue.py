@@ -16,6 +16,7 @@ from icetally.functions.strength import on_ice_counts, strength_strings
 from icetally.operators import combos, joins, metrics, onice, ordered, pairs, timeline, toi, xg
 from icetally.operators import shifts as shift_ops
 from icetally.operators.joins import jersey_maps
+from icetally.plans import game as plans
 from icetally.sources import feeds, reports
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -492,4 +493,50 @@ FEEDS: dict[str, Query] = {
     "enriched_plays": _enriched,
 }
 
-QUERIES: dict[str, Query] = {**ICE, **SHIFTS, **ROWS, **SCALARS, **SHOTS, **REPORTS, **FEEDS}
+# --- whole games ----------------------------------------------------------------------------------
+
+
+def _game_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return (rendered.whole_event_reports(spark, sf_dir), rendered.whole_shift_reports(spark, sf_dir),
+            rendered.whole_payloads(spark, sf_dir))
+
+
+def _game_shifts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, shift_docs, payloads = _game_inputs(spark, sf_dir)
+    return plans.build_shifts(shift_docs, feeds.parse_game(payloads))
+
+
+def _ids(c: str) -> Column:
+    return F.transform(c, lambda x: F.coalesce(x, F.lit(-1)))
+
+
+def _game_pbp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events, _, payloads = _game_inputs(spark, sf_dir)
+    pbp = plans.build_pbp(events, feeds.parse_game(payloads), _game_shifts(spark, sf_dir))
+    return tidy(pbp.select(
+        "gameId", "eventId", "Event", "Per", "elapsedTime", F.when(is_play(F.col("Event")), F.col("#")).alias("position"),
+        "eventTeam", "player1Id", "player1Name", "homeScore", "strength", "gameStrength", "detailedGameStrength",
+        _ids("home_on_id").alias("home_on_id"), _ids("away_on_id").alias("away_on_id"),
+        _ids("homeGoalie_on_id").alias("homeGoalie_on_id"), "home_on_full_name", "unmapped_count",
+    ))
+
+
+def _game_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wide, _ = plans.pipeline(*_game_inputs(spark, sf_dir), max_skaters=2)
+    return tidy(wide.where(is_play(F.col("Event"))).select(
+        "gameId", "eventId", "Event", "x_norm", "previousEvent", "timeDiff", "home_skater_id_1", "home_skater_name_2",
+        "away_skater_id_2", "home_goalie_id", "away_goalie_name", "isGoal",
+    ))
+
+
+GAMES: dict[str, Query] = {
+    "game_shifts": lambda s, d: _game_shifts(s, d).select(
+        "gameId", "playerId", "fullName", "teamId", "isHome", "positionCode", "jersey_number", "team_name", "period_number",
+        "elapsed_time_start", "elapsed_time_end", "duration_seconds", "homeTeam", "awayTeam"),
+    "game_players": lambda s, d: plans.build_players(_game_shifts(s, d)).select(
+        "gameId", "playerId", "fullName", "team", "position", "sweaterNumber"),
+    "game_pbp": _game_pbp,
+    "game_pipeline": _game_pipeline,
+}
+
+QUERIES: dict[str, Query] = {**ICE, **SHIFTS, **ROWS, **SCALARS, **SHOTS, **REPORTS, **FEEDS, **GAMES}

@@ -14,7 +14,8 @@ def join_dimension(
     """Joins a small-per-key dimension onto rows whose keys may be very uneven.
 
     Rows are dealt to ``fan`` groups by ``spread``; each dimension row is repeated for the groups, so a
-    key with a third of all rows still spreads over ``fan`` tasks. ``dim`` must be unique per key.
+    key with a third of all rows still spreads over ``fan`` tasks. Meant for dimensions of a few rows per
+    key; the result is that of the plain join.
     """
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(fan)).cast("int"))
     copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(fan - 1))))

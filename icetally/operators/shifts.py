@@ -153,10 +153,8 @@ def shift_event_strength(events: DataFrame, segments: DataFrame) -> DataFrame:
 
 
 def attach_roster(shifts: DataFrame, roster: DataFrame, spread: str = "seq") -> DataFrame:
-    """Joins roster spots onto shifts by game, jersey number and side."""
-    spots = roster.withColumnRenamed("sweaterNumber", "jersey_number").dropDuplicates(
-        ["gameId", "jersey_number", "isHome"]
-    )
+    """Joins roster spots onto shifts by game, jersey number and side; a jersey listed twice matches twice."""
+    spots = roster.withColumnRenamed("sweaterNumber", "jersey_number")
     return join_dimension(shifts, spots, ["gameId", "jersey_number", "isHome"], spread)
 
 

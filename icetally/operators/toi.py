@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from icetally.functions.rates import toi_value
@@ -57,7 +57,7 @@ def strength_by_second_full(pbp: DataFrame, sep: str = "v", star: str = "*") ->
     anybody = F.when(F.col("s1") + F.col("s2") + F.col("g1") + F.col("g2") > 0, F.col("t_end"))
     return (
         tl.cells(tl.ledger(pbp, "home"))
-        .withColumn("ice_end", F.max(anybody).over(tl.Window.partitionBy("gameId")))
+        .withColumn("ice_end", F.max(anybody).over(Window.partitionBy("gameId")))
         .withColumn("t_end", F.least("t_end", "ice_end"))
         .where(F.col("t_end") > F.col("t_start"))
         .withColumn("second", F.explode(F.sequence("t_start", F.col("t_end") - 1)))
@@ -87,7 +87,7 @@ def toi_player_strength_dense(pbp: DataFrame, in_seconds: bool = False) -> DataF
     # and each player row fills in the labels it lacks, so nothing is crossed.
     player = ("gameId", "eventTeam", "isGoalie", "player1Id")
     seen = toi.withColumn(
-        "labels", F.collect_set("Strength").over(tl.Window.partitionBy("gameId"))
+        "labels", F.collect_set("Strength").over(Window.partitionBy("gameId"))
     ).groupBy(*player).agg(
         F.map_from_entries(F.collect_list(F.struct("Strength", "sec"))).alias("seen"),
         F.first("labels").alias("labels"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
@@ -125,7 +126,9 @@ def align_columns(df: DataFrame, train_cols: list[str], keep: tuple[str, ...] =
 
 def fit_xg(pbp_features: DataFrame, seed: int = 7, max_iter: int = 20, max_depth: int = 4) -> PipelineModel:
     """Fits gradient-boosted trees on ``isGoal`` of the shot rows."""
-    shots = shots_design_matrix(pbp_features).withColumn("label", F.col("isGoal").cast("double"))
+    shots = shots_design_matrix(pbp_features).select(
+        *NUMERIC, *FLAGS, *CATEGORIES, F.col("isGoal").cast("double").alias("label")
+    ).persist(StorageLevel.MEMORY_AND_DISK)
     numeric = [f"n_{c}" for c in NUMERIC]
     stages = [
         *[StringIndexer(inputCol=c, outputCol=f"i_{c}", handleInvalid="keep",
@@ -140,8 +143,11 @@ def fit_xg(pbp_features: DataFrame, seed: int = 7, max_iter: int = 20, max_depth
     # an input nobody has a value for cannot be imputed by its mean
     known = shots.agg(*[F.count(c).alias(c) for c in NUMERIC]).first()
     empty = [c for c in NUMERIC if known[c] == 0]
-    shots = shots.withColumns({c: F.lit(0.0) for c in empty}) if empty else shots
-    return Pipeline(stages=stages).fit(shots)
+    training = shots.withColumns({c: F.lit(0.0) for c in empty}) if empty else shots
+    try:
+        return Pipeline(stages=stages).fit(training)
+    finally:
+        shots.unpersist()
 
 
 def predict_xg(pbp_features: DataFrame, model: PipelineModel, xg_col: str = "xG") -> DataFrame:

@@ -232,3 +232,91 @@ def replay_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("s3://landing/replays/"), F.floor(e / 100).cast("string"), F.lit("/ev"), e.cast("string"), F.lit(".json")).alias("path"),
         F.to_json(frames).alias("payload"),
     )
+
+
+# --- whole games: report, shift reports and payload of the same hundred events --------------------
+
+_FEED_NAMES = {
+    "SHOT": "shot-on-goal", "GOAL": "goal", "MISS": "missed-shot", "BLOCK": "blocked-shot", "PENL": "penalty",
+    "GIVE": "giveaway", "TAKE": "takeaway", "FAC": "faceoff", "HIT": "hit", "STOP": "stoppage",
+}
+
+
+def _clock2(seconds: Column) -> Column:
+    return F.lpad(mmss(seconds), 5, "0")
+
+
+def _game_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fixtures.pbp(spark, sf_dir).withColumns({
+        "gameId": F.floor(F.col("event_id") / 100), "clock": F.col("elapsedTime") % 1200, "pid": F.col("user_id") % 12,
+    })
+
+
+def whole_event_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = F.col("event_id")
+
+    def ice(*players: tuple[Column, str]) -> Column:
+        cells = [_text("<td><table><tr><td><font>", n, "</font></td></tr><tr><td>", p, "</td></tr></table></td>")
+                 for n, p in players]
+        return F.concat(F.lit("<td><table><tr>"), *cells, F.lit("</tr></table></td>"))
+
+    away = ice((13 + e % 5 * 2, "C"), (13 + (e + 1) % 5 * 2, "D"), (F.lit(11), "G"))
+    home = F.when(
+        F.col("pulled_home") == 0, ice((12 + e % 5 * 2, "C"), (12 + (e + 2) % 5 * 2, "D"), (F.lit(10), "G"))
+    ).otherwise(ice((12 + e % 5 * 2, "C"), (12 + (e + 2) % 5 * 2, "D"), (F.lit(99), "R")))
+    cells = [_text(e), _text(F.col("period")), F.lit("EV"),
+             F.concat(mmss(F.col("clock")), F.lit("<br>"), mmss(1200 - F.col("clock"))), F.col("Event"), F.lit("-")]
+    row = F.concat(
+        F.lit("<tr class=\"evenColor\">"), *[F.concat(F.lit("<td>"), c, F.lit("</td>")) for c in cells],
+        away, home, F.lit("</tr>"),
+    )
+    rows = _game_rows(spark, sf_dir).where(is_play(F.col("Event"))).withColumn("row", row)
+    return _documents(rows, ["gameId"], "event_id", F.lit("<table>"), F.lit("</table>"), "row")
+
+
+def whole_shift_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    start = F.col("clock")
+    row = F.concat(
+        F.lit("<tr class=\"oddColor\"><td>1</td><td>"), _text(F.col("period")), F.lit("</td><td>"), mmss(start),
+        F.lit(" / 0:00</td><td>"), mmss(start + 30), F.lit(" / 0:00</td><td>0:30</td><td>&nbsp;</td></tr>"),
+    )
+    rows = _game_rows(spark, sf_dir).where("Event = 'ON'").withColumn("row", row).withColumn(
+        "team_type", F.when(F.col("pid") % 2 == 0, "Home").otherwise("Away"))
+    sections = rows.groupBy("gameId", "team_type", "pid").agg(
+        F.sort_array(F.collect_list(F.struct("event_id", "row"))).alias("lines")
+    ).withColumn("section", F.concat(
+        F.lit("<tr><td class=\"playerHeading\">"), _text(F.col("pid") + 10), F.lit(" NAME, SOME</td></tr>"),
+        F.array_join(F.transform("lines", lambda x: x["row"]), ""), F.lit("<tr class=\"evenColor\"><td>TOT</td></tr>"),
+    ))
+    return _documents(
+        sections, ["gameId", "team_type"], "pid",
+        F.concat(F.lit("<table><tr><td class=\"teamHeading\">"), F.col("team_type"), F.lit("</td></tr>")),
+        F.lit("</table>"), "section",
+    )
+
+
+def whole_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    player, e = 1000 + F.col("pid"), F.col("event_id")
+    name = F.lit(None).cast("string")
+    for code, feed_name in _FEED_NAMES.items():
+        name = F.when(F.col("Event") == code, feed_name).otherwise(name)
+    play = F.struct(
+        e.alias("eventId"), F.struct(F.col("period").alias("number")).alias("periodDescriptor"),
+        _clock2(F.col("clock")).alias("timeInPeriod"), name.alias("typeDescKey"),
+        F.struct(
+            F.when(F.col("isHome") == 1, 1).otherwise(2).alias("eventOwnerTeamId"),
+            F.when(F.col("Event").isin("SHOT", "MISS"), player).alias("shootingPlayerId"),
+            F.when(F.col("Event") == "GOAL", player).alias("scoringPlayerId"), "xCoord", "yCoord", "homeScore",
+        ).alias("details"),
+    )
+    rows = _game_rows(spark, sf_dir).where(is_play(F.col("Event")))
+    docs = rows.groupBy("gameId").agg(F.sort_array(F.collect_list(F.struct(e.alias("o"), F.to_json(play).alias("p")))).alias("p"))
+    spots = ",".join(
+        f'{{"teamId":{1 + i % 2},"playerId":{1000 + i},"sweaterNumber":{10 + i},"positionCode":"{"G" if i < 2 else "D" if i % 3 else "C"}",'
+        f'"firstName":{{"default":"F{i}"}},"lastName":{{"default":"L{i}"}}}}' for i in range(12)
+    )
+    return docs.select(F.concat(
+        F.lit("{\"id\":"), F.col("gameId").cast("string"),
+        F.lit(",\"gameType\":2,\"homeTeam\":{\"id\":1,\"abbrev\":\"AAA\"},\"awayTeam\":{\"id\":2,\"abbrev\":\"BBB\"},\"plays\":["),
+        F.array_join(F.transform("p", lambda x: x["p"]), ","), F.lit(f"],\"rosterSpots\":[{spots}]}}"),
+    ).alias("payload"))

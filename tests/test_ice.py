@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from icetally.operators import combos, metrics, pairs, timeline, toi
+from icetally.operators import combos, metrics, pairs, sorting, timeline, toi
 from tests import replay
 
 SCHEMA = ("gameId int, seq long, Event string, elapsedTime int, eventTeam string, isHome int, "
@@ -163,3 +163,27 @@ def test_hot_game(spark):
                   lambda p: combos.combo_on_ice_stats_both_teams(p, 2, 1, min_toi=1),
                   metrics.team_strength_aggregates):
         assert sorted(map(str, query(pbp).collect())) == sorted(map(str, query(calm).collect()))
+
+
+def test_result_order(pbp):
+    rows = sorting.in_result_order(toi.toi_by_strength(pbp), "toi_by_strength").collect()
+    assert rows == sorted(rows, key=lambda r: (r.gameId, -r.seconds)) or all(
+        a.gameId < b.gameId or a.seconds >= b.seconds for a, b in zip(rows, rows[1:]))
+
+
+def test_after_and_before(spark):
+    """An attempt at the second of a change: combos' shot metrics see the new line, stats the old one."""
+    pbp = game(spark, [
+        ("ON", 0, "A", 2, 0), ("ON", 0, "B", 3, 0), ("OFF", 10, "A", 2, 0), ("ON", 10, "A", 4, 0),
+        ("SHOT", 10, "A", None, None), ("SHOT", 30, "A", None, None), ("STOP", 30, None, None, None)])
+    after = {r.p1_player1Id: r.ShotsFor for r in combos.combo_shot_metrics(pbp, 1, 0, side="home").collect()}
+    # the shot at the end falls on the last second anybody is on
+    assert after == {4: 2}
+    before = {r.player1Id: r.SF for r in metrics.on_ice_stats_by_player_strength(pbp).where("eventTeam = 'A'").collect()}
+    assert before == {2: 1, 4: 1}
+
+
+def test_empty(spark, pbp):
+    none = pbp.limit(0)
+    assert metrics.team_strength_aggregates(none).count() == 0
+    assert combos.combo_on_ice_stats_both_teams(none, 2, 1).count() == 0

@@ -26,13 +26,14 @@ def tidy(df: DataFrame) -> DataFrame:
     """Doubles rounded to six digits, arrays as text."""
     out = []
     for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
+        name = f"`{f.name}`"
         if isinstance(f.dataType, T.DoubleType):
-            c = F.round(c, 6)
+            out.append(f"round({name}, 6) AS {name}")
         elif isinstance(f.dataType, T.ArrayType):
-            c = F.array_join(F.transform(c, lambda x: x.cast("string")), ",")
-        out.append(c.alias(f.name))
-    return df.select(*out)
+            out.append(f"array_join(transform({name}, x -> CAST(x AS STRING)), ',') AS {name}")
+        else:
+            out.append(name)
+    return df.selectExpr(*out)
 
 
 def _on_pbp(fn: Callable[[DataFrame], DataFrame], names: bool = False) -> Query:

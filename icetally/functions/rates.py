@@ -34,11 +34,8 @@ def per60(df: DataFrame, minutes, families: tuple[str, ...] = FAMILIES) -> DataF
 
 def per60_filled(df: DataFrame, fields=RATE_FIELDS, seconds: str = "seconds") -> DataFrame:
     """``X_per60`` columns; 0 where there is no time."""
-    hours = F.col(seconds) / F.lit(3600.0)
-    present = [f for f in fields if f in df.columns]
-    return df.withColumns(
-        {
-            f"{f}_per60": F.coalesce(F.try_divide(F.col(f).cast("double"), hours), F.lit(0.0))
-            for f in present
-        }
-    )
+    columns = set(df.columns)
+    return df.selectExpr("*", *[
+        f"coalesce(try_divide(CAST({f} AS DOUBLE), {seconds} / 3600D), 0D) AS {f}_per60"
+        for f in fields if f in columns
+    ])

@@ -110,12 +110,12 @@ def combo_shot_metrics(
     out = (
         _with_combos(views, n_team, m_opp)
         .groupBy("gameId", "team", "team_ids", "opp_ids", F.col("label").alias("Strength"))
-        .agg(*tally_sums(F.col("own1")))
+        .agg(*tally_sums("own1"))
         .select("gameId", "team", *ids, "Strength", "seconds",
-                *[c.alias(n) for c, n in zip(
-                    counts_from_sums(("SF", "SA", "FF", "FA", "CF", "CA")),
+                *counts_from_sums(
+                    ("SF", "SA", "FF", "FA", "CF", "CA"),
                     ("ShotsFor", "ShotsAgainst", "FenwickFor", "FenwickAgainst", "CorsiFor", "CorsiAgainst"),
-                )])
+                ))
         .where(F.col("CorsiFor") + F.col("CorsiAgainst") > 0)
     )
     if include_toi:
@@ -186,7 +186,7 @@ def combo_on_ice_stats_both_teams(
     base = (
         _with_combos(views, n_team, m_opp)
         .groupBy("gameId", "team", "opp", "team_ids", "opp_ids", F.col("label").alias("strength"))
-        .agg(*tally_sums(F.col("own1")))
+        .agg(*tally_sums("own1"))
         .where((F.col("seconds") > 0) & (F.col("seconds") >= min_toi))
     )
     named = base.join(_player_maps(_dimension(pbp, player_df)), "gameId", "left")

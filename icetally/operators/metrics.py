@@ -19,46 +19,36 @@ PENALTY_COUNTS = ("PF", "PA")
 PUCK_COUNTS = ("GIVE_for", "GIVE_against", "TAKE_for", "TAKE_against")
 
 
-def credit(mine, theirs) -> dict[str, Column]:
-    """Counts for one side from a function giving its own tallies and one giving the other side's."""
-    def shots(by) -> Column:
-        return by("shot") + by("goal")
+def credit(mine: str, theirs: str) -> dict[str, str]:
+    """SQL of the counts of one side; ``mine`` and ``theirs`` are suffixes of the tally columns."""
+    def shots(by: str) -> str:
+        return f"shot{by} + goal{by}"
 
-    def unblocked(by) -> Column:
-        return shots(by) + by("miss")
+    def unblocked(by: str) -> str:
+        return f"{shots(by)} + miss{by}"
 
     return {
-        "CF": unblocked(mine) + theirs("block"), "CA": unblocked(theirs) + mine("block"),
-        "FF": unblocked(mine), "FA": unblocked(theirs),
-        "SF": shots(mine), "SA": shots(theirs), "GF": mine("goal"), "GA": theirs("goal"),
-        "xG": mine("xg"), "xGA": theirs("xg"), "PF": theirs("pen"), "PA": mine("pen"),
-        "GIVE_for": mine("give"), "GIVE_against": theirs("give"),
-        "TAKE_for": mine("take"), "TAKE_against": theirs("take"),
+        "CF": f"{unblocked(mine)} + block{theirs}", "CA": f"{unblocked(theirs)} + block{mine}",
+        "FF": unblocked(mine), "FA": unblocked(theirs), "SF": shots(mine), "SA": shots(theirs),
+        "GF": f"goal{mine}", "GA": f"goal{theirs}", "xG": f"xg{mine}", "xGA": f"xg{theirs}",
+        "PF": f"pen{theirs}", "PA": f"pen{mine}", "GIVE_for": f"give{mine}", "GIVE_against": f"give{theirs}",
+        "TAKE_for": f"take{mine}", "TAKE_against": f"take{theirs}",
     }
 
 
-def credit_row(own_side1: Column) -> dict[str, Column]:
-    """Counts of a lineup row (whose tallies belong to the side ``play1`` tells) for one side."""
-    ours = F.coalesce(F.col("play1") == own_side1, F.lit(False))
-    theirs = F.coalesce(F.col("play1") != own_side1, F.lit(False))
-    return credit(
-        lambda k: F.when(ours, F.col(k)).otherwise(0), lambda k: F.when(theirs, F.col(k)).otherwise(0)
-    )
-
-
-def tally_sums(own_side1: Column) -> list[Column]:
-    """Seconds and the tallies of both ends, to be summed per group and turned into counts after."""
-    sums = [F.sum("seconds").alias("seconds")]
-    ours = F.coalesce(F.col("play1") == own_side1, F.lit(False))
+def tally_sums(own1: str) -> list[Column]:
+    """Sums of seconds and of the tallies of both ends per group, for views whose side ``own1`` tells."""
+    ours = f"coalesce(play1 = {own1}, false)"
+    sums = [F.expr("sum(seconds) AS seconds")]
     for k in (*tl.TALLIES, "xg"):
-        sums.append(F.sum(F.when(ours, F.col(k)).otherwise(0)).alias(f"{k}_own"))
-        sums.append(F.sum(F.when(ours, 0).otherwise(F.col(k))).alias(f"{k}_opp"))
+        sums.append(F.expr(f"sum(CASE WHEN {ours} THEN {k} ELSE 0 END) AS {k}_own"))
+        sums.append(F.expr(f"sum(CASE WHEN {ours} THEN 0 ELSE {k} END) AS {k}_opp"))
     return sums
 
 
-def counts_from_sums(names) -> list[Column]:
-    table = credit(lambda k: F.col(f"{k}_own"), lambda k: F.col(f"{k}_opp"))
-    return [table[n].alias(n) for n in names]
+def counts_from_sums(names: tuple[str, ...], aliases: tuple[str, ...] | None = None) -> list[Column]:
+    table = credit("_own", "_opp")
+    return [F.expr(f"{table[n]} AS {alias}") for n, alias in zip(names, aliases or names)]
 
 
 def on_ice_stats_by_player_strength(
@@ -69,10 +59,10 @@ def on_ice_stats_by_player_strength(
     moments = tl.lineups(pbp, plays="before").withColumn("strength", label)
     per_player = (
         moments.select("gameId", "seconds", "play1", *tl.TALLIES, "xg",
-                       F.explode(players_on(F.col("strength"), F.col("strength"), include_goalies)).alias("p"))
+                       F.explode(players_on("strength", "strength", include_goalies)).alias("p"))
         .withColumn("own1", F.col("p.side1"))
         .groupBy("gameId", F.col("p.pid").alias("player1Id"), F.col("p.label").alias("strength"))
-        .agg(*tally_sums(F.col("own1")))
+        .agg(*tally_sums("own1"))
         .where(F.col("seconds") > 0)
     )
     out = per_player.join(tl.player_names(pbp), ["gameId", "player1Id"], "left").select(
@@ -88,21 +78,19 @@ def on_ice_stats_by_player_strength(
 def team_strength_aggregates(pbp: DataFrame, rates: bool = False, min_toi: int = 0) -> DataFrame:
     """Per team and strength, both teams under the same label: time and counts."""
     pieces = tl.cells(tl.ledger(pbp, with_plays=True)).withColumn("strength", tl.label("12"))
-    sums = [F.sum(F.col("t_end") - F.col("t_start")).alias("seconds")]
+    sums = [F.expr("sum(t_end - t_start) AS seconds")]
     sums += [F.sum(f"{k}{i}").alias(f"{k}{i}") for k in (*tl.TALLIES, "xg") for i in (1, 2)]
     names = (*COUNTS, "xG", "xGA", *PENALTY_COUNTS)
 
-    def view(own: int, opp: int) -> Column:
-        table = credit(lambda k: F.col(f"{k}{own}"), lambda k: F.col(f"{k}{opp}"))
-        return F.struct(
-            F.col(f"t{own}").alias("team"), F.col(f"t{opp}").alias("opp"),
-            *[table[n].alias(n) for n in names],
-        )
+    def view(own: int, opp: int) -> str:
+        table = credit(str(own), str(opp))
+        fields = ", ".join(f"'{n}', {table[n]}" for n in names)
+        return f"named_struct('team', t{own}, 'opp', t{opp}, {fields})"
 
     out = (
         pieces.groupBy("gameId", "t1", "t2", "strength").agg(*sums)
         .where((F.col("seconds") > 0) & (F.col("seconds") >= min_toi))
-        .select("gameId", "strength", "seconds", F.explode(F.array(view(1, 2), view(2, 1))).alias("v"))
+        .select("gameId", "strength", "seconds", F.expr(f"explode(array({view(1, 2)}, {view(2, 1)})) AS v"))
         .select("gameId", "v.team", "v.opp", "strength", F.col("seconds").cast("double").alias("seconds"),
                 (F.col("seconds") / 60.0).alias("minutes"), *[F.col(f"v.{n}").alias(n) for n in names])
     )

@@ -17,8 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from icetally.functions.columns import first_present, require
-from icetally.functions.events import GIVEAWAYS, PENALTIES, TAKEAWAYS, XG_COLUMNS, is_change
-from icetally.functions.strength import side_label, strength_label
+from icetally.functions.events import GIVEAWAYS, PENALTIES, TAKEAWAYS, XG_COLUMNS, XG_EVENTS, is_change
 
 SLOT_SECONDS = 120
 TALLIES = ("shot", "goal", "miss", "block", "pen", "give", "take")
@@ -31,17 +30,21 @@ def _second() -> Column:
 
 
 def _tally_columns(pbp: DataFrame) -> list[Column]:
-    event, xg_col = F.col("Event"), first_present(pbp, XG_COLUMNS)
     kinds = {
         "shot": ("SHOT",), "goal": ("GOAL",), "miss": ("MISS",), "block": ("BLOCK",),
         "pen": PENALTIES, "give": GIVEAWAYS, "take": TAKEAWAYS,
     }
-    counts = [F.sum(F.when(event.isin(*codes), 1).otherwise(0)).alias(k) for k, codes in kinds.items()]
+
+    def listed(codes: tuple[str, ...]) -> str:
+        return ", ".join(f"'{c}'" for c in codes)
+
+    counts = [F.expr(f"sum(CASE WHEN Event IN ({listed(c)}) THEN 1 ELSE 0 END) AS {k}") for k, c in kinds.items()]
+    xg_col = first_present(pbp, XG_COLUMNS)
     if xg_col is None:
         return [*counts, F.lit(0.0).alias("xg")]
-    xg = F.col(xg_col).cast("double")
-    counted = event.isin("SHOT", "GOAL", "MISS") & xg.isNotNull() & ~F.isnan(xg)
-    return [*counts, F.sum(F.when(counted, xg).otherwise(F.lit(0.0))).alias("xg")]
+    xg = f"CAST({xg_col} AS DOUBLE)"
+    counted = f"Event IN ({listed(XG_EVENTS)}) AND {xg} IS NOT NULL AND NOT isnan({xg})"
+    return [*counts, F.expr(f"sum(CASE WHEN {counted} THEN {xg} ELSE 0D END) AS xg")]
 
 
 def ledger(
@@ -149,45 +152,47 @@ def cells(book: DataFrame) -> DataFrame:
     (gameId, t1, t2, t_start, t_end, s1, s2, g1, g2) where ``[t_start, t_end)`` had that state, plus
     the tallies of the plays at ``t_end`` per side when the ledger has plays.
     """
-    with_plays = "shot" in book.columns
-    d, skater, side1 = F.col("d"), ~F.coalesce(F.col("isGoalie"), F.lit(False)), F.col("side1")
-    deltas = {
-        "d_s1": side1 & skater, "d_s2": ~side1 & skater, "d_g1": side1 & ~skater, "d_g2": ~side1 & ~skater
-    }
-    tallies = []
-    if with_plays:
-        for k in (*TALLIES, "xg"):
-            tallies.append(F.sum(F.when(side1, F.col(k)).otherwise(0)).alias(f"{k}1"))
-            tallies.append(
-                F.sum(F.when(F.col("eventTeam") == F.col("t2"), F.col(k)).otherwise(0)).alias(f"{k}2")
-            )
-    cut = book.groupBy("gameId", "t1", "t2", "t").agg(
-        *[F.sum(F.when(c, d).otherwise(0)).cast("int").alias(k) for k, c in deltas.items()], *tallies
+    names = [k for k in (*TALLIES, "xg") if k in book.columns]
+    where = {"s1": "side1 AND NOT goalie", "s2": "NOT side1 AND NOT goalie", "g1": "side1 AND goalie", "g2": "NOT side1 AND goalie"}
+    changes = [
+        F.expr(f"CAST(sum(CASE WHEN {c} THEN d ELSE 0 END) AS INT) AS d_{k}")
+        for k, c in ((k, c.replace("goalie", "coalesce(isGoalie, false)")) for k, c in where.items())
+    ]
+    sides = (("1", "side1"), ("2", "eventTeam = t2"))
+    tallies = [
+        F.expr(f"sum(CASE WHEN {c} THEN {k} ELSE 0 END) AS {k}{i}") for k in names for i, c in sides
+    ]
+    cut = book.groupBy("gameId", "t1", "t2", "t").agg(*changes, *tallies)
+    game = "OVER (PARTITION BY gameId ORDER BY t"
+    before = f"{game} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    return cut.selectExpr(
+        "gameId", "t1", "t2",
+        f"greatest(coalesce(lag(t) {game}), 0), 0) AS t_start", "greatest(t, 0) AS t_end",
+        *[f"CAST(coalesce(sum(d_{k}) {before}, 0) AS INT) AS {k}" for k in STATE],
+        *[f"{k}{i}" for k in names for i, _ in sides],
     )
-    game = Window.partitionBy("gameId").orderBy("t")
-    before = game.rowsBetween(Window.unboundedPreceding, -1)
 
-    def state(c: str) -> Column:
-        return F.coalesce(F.sum(c).over(before), F.lit(0)).cast("int")
 
-    return cut.select(
-        "gameId", "t1", "t2",
-        F.greatest(F.coalesce(F.lag("t").over(game), F.lit(0)), F.lit(0)).alias("t_start"),
-        F.greatest(F.col("t"), F.lit(0)).alias("t_end"),
-        state("d_s1").alias("s1"), state("d_s2").alias("s2"),
-        state("d_g1").alias("g1"), state("d_g2").alias("g2"),
-        *[c for c in cut.columns if with_plays and c[:-1] in (*TALLIES, "xg")],
-    )
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _side_sql(i: str, star: str) -> str:
+    return f"concat(CAST(s{i} AS STRING), CASE WHEN g{i} > 0 THEN '' ELSE {_quoted(star)} END)"
+
+
+def label_sql(orientation: str = "12", sep: str = "v", star: str = "*") -> str:
+    a, b = orientation
+    return f"concat({_side_sql(a, star)}, {_quoted(sep)}, {_side_sql(b, star)})"
 
 
 def label(orientation: str = "12", sep: str = "v", star: str = "*") -> Column:
     """Strength label from s1, g1, s2, g2: side 1 first ("12") or side 2 first ("21")."""
-    a, b = orientation
-    return strength_label(F.col(f"s{a}"), F.col(f"g{a}"), F.col(f"s{b}"), F.col(f"g{b}"), sep, star)
+    return F.expr(label_sql(orientation, sep, star))
 
 
 def side_strings(star: str = "*") -> tuple[Column, Column]:
-    return side_label(F.col("s1"), F.col("g1"), star), side_label(F.col("s2"), F.col("g2"), star)
+    return F.expr(_side_sql("1", star)), F.expr(_side_sql("2", star))
 
 
 def strength_segments(
@@ -217,93 +222,58 @@ def lineups(
     [, play1, tallies].
     """
     book = ledger(pbp, orientation, changes_only, with_plays=plays is not None)
-    move = F.col("d") != 0
-    order = Window.partitionBy("gameId", "is_move").orderBy("t")
-    book = book.withColumn("is_move", move).withColumns(
-        {
-            "t_prev": F.greatest(F.coalesce(F.lag("t").over(order), F.lit(0)), F.lit(0)),
-            "is_last": F.lead("t").over(order).isNull(),
-        }
+    moving = "OVER (PARTITION BY gameId, d != 0 ORDER BY t)"
+    ice_end = ["max(t_off) OVER (PARTITION BY gameId) AS ice_end"] if plays == "after" else []
+    book = book.selectExpr(
+        "*", f"greatest(coalesce(lag(t) {moving}, 0), 0) AS t_prev", f"lead(t) {moving} IS NULL AS is_last", *ice_end
     )
-    moment = F.col("t") - 1
-    if plays == "after":
-        book = book.withColumn("ice_end", F.max("t_off").over(Window.partitionBy("gameId")))
-        moment = F.greatest(F.lit(0), F.least(F.col("t"), F.col("ice_end") - 1))
+    moment = "greatest(0, least(t, ice_end - 1))" if plays == "after" else "t - 1"
     names = (*TALLIES, "xg") if plays else ()
+    fields = "".join(f", {k}: {'DOUBLE' if k == 'xg' else 'BIGINT'}" for k in names)
+    entries = (
+        "ARRAY<STRUCT<slot: INT, span: STRUCT<pid: BIGINT, side1: BOOLEAN, goalie: BOOLEAN, t_on: INT, t_off: INT>, "
+        f"item: STRUCT<second: INT, seconds: INT, play1: BOOLEAN{fields}>>>"
+    )
 
-    def slot(second: Column) -> Column:
-        return F.floor(second / SLOT_SECONDS).cast("int")
+    def slot(second: str) -> str:
+        return f"CAST(floor(({second}) / {SLOT_SECONDS}) AS INT)"
 
-    span = F.struct(
-        F.col("player1Id").alias("pid"), F.col("side1"), F.col("isGoalie").alias("goalie"),
-        F.col("t").alias("t_on"), F.col("t_off"),
-    )
-    span_type = (
-        "struct<pid:bigint,side1:boolean,goalie:boolean,t_on:int,t_off:int>"
+    def item(condition: str, second: str, seconds: str, tallied: bool = False) -> str:
+        values = "".join(f", {k if tallied else '0'}" for k in names)
+        entry = f"struct({slot(second)}, NULL, struct({second}, {seconds}, {'side1' if tallied else 'NULL'}{values}))"
+        return f"CASE WHEN {condition} THEN CAST(array({entry}) AS {entries}) ELSE CAST(array() AS {entries}) END"
+
+    opened = (
+        f"CASE WHEN d = 1 AND t_off > t THEN CAST(transform(sequence({slot('t')}, {slot('t_off - 1')}), "
+        "s -> struct(s, struct(player1Id, side1, isGoalie, t, t_off), NULL)) "
+        f"AS {entries}) ELSE CAST(array() AS {entries}) END"
     )
-    item_type = "struct<second:int,seconds:int,play1:boolean" + "".join(
-        f",{k}:{'double' if k == 'xg' else 'bigint'}" for k in names
-    ) + ">"
-    entry_type = f"array<struct<slot:int,span:{span_type},item:{item_type}>>"
-
-    def item(second: Column, seconds: Column, tallied: bool = False) -> Column:
-        values = [F.col(k) if tallied else F.lit(0) for k in names]
-        who = F.col("side1") if tallied else F.lit(None)
-        entry = F.struct(slot(second), F.lit(None), F.struct(second, seconds, who, *values))
-        return F.array(entry).cast(entry_type)
-
-    nothing = F.array().cast(entry_type)
-    opened = F.when(
-        (F.col("d") == 1) & (F.col("t_off") > F.col("t")),
-        F.transform(
-            F.sequence(slot(F.col("t")), slot(F.col("t_off") - 1)),
-            lambda s: F.struct(s, span, F.lit(None)),
-        ).cast(entry_type),
-    ).otherwise(nothing)
-    piece = F.when(
-        move & (F.col("t") > F.col("t_prev")), item(F.col("t_prev"), F.col("t") - F.col("t_prev"))
-    ).otherwise(nothing)
-    tail = F.when(
-        move & F.col("is_last") & (F.col("game_end") > F.col("t")),
-        item(F.col("t"), F.col("game_end") - F.col("t")),
-    ).otherwise(nothing)
-    entries = [opened, piece, tail]
+    dealt = [
+        opened,
+        item("d != 0 AND t > t_prev", "t_prev", "t - t_prev"),
+        item("d != 0 AND is_last AND game_end > t", "t", "game_end - t"),
+    ]
     if plays:
-        team = F.col("eventTeam")
-        sided = F.col("isHome").isNotNull() if orientation == "home" else team.isNotNull()
-        made = ~move & sided & (F.greatest(*[F.col(k) for k in TALLIES]) > 0) & (moment >= 0)
-        entries.append(F.when(made, item(moment, F.lit(0), True)).otherwise(nothing))
+        sided = "isHome" if orientation == "home" else "eventTeam"
+        counted = " + ".join(TALLIES)
+        dealt.append(item(f"d = 0 AND {sided} IS NOT NULL AND {counted} > 0 AND {moment} >= 0", moment, "0", True))
 
     slots = (
-        book.select("gameId", "t1", "t2", F.explode(F.concat(*entries)).alias("e"))
-        .groupBy("gameId", F.col("e.slot").alias("slot"))
-        .agg(
-            F.first("t1").alias("t1"), F.first("t2").alias("t2"),
-            F.sort_array(F.collect_list("e.span")).alias("spans"), F.collect_list("e.item").alias("items"),
-        )
+        book.selectExpr("gameId", "t1", "t2", f"explode(concat({', '.join(dealt)})) AS e")
+        .groupBy("gameId", F.expr("e.slot AS slot"))
+        .agg(F.expr("first(t1) AS t1"), F.expr("first(t2) AS t2"),
+             F.expr("sort_array(collect_list(e.span)) AS spans"), F.expr("collect_list(e.item) AS items"))
     )
-    there = F.filter(
-        "spans",
-        lambda x: (x["t_on"] <= F.col("i.second")) & (x["t_off"] > F.col("i.second")),
+    on = slots.selectExpr("gameId", "t1", "t2", "spans", "explode(items) AS i").selectExpr(
+        "gameId", "t1", "t2", "i.*", "filter(spans, x -> x.t_on <= i.second AND x.t_off > i.second) AS there"
     )
-    on = slots.select(
-        "gameId", "t1", "t2", "spans", F.explode("items").alias("i")
-    ).select("gameId", "t1", "t2", "i.*", there.alias("there"))
-
-    def ids(side1: bool, goalie: bool) -> Column:
-        def keep(x: Column) -> Column:
-            side = x["side1"] if side1 else ~x["side1"]
-            return side & (x["goalie"] if goalie else ~x["goalie"])
-
-        return F.transform(F.filter("there", keep), lambda x: x["pid"])
-
-    lined = on.withColumns(
-        {
-            "s1_ids": ids(True, False), "s2_ids": ids(False, False),
-            "g1_ids": ids(True, True), "g2_ids": ids(False, True),
-        }
-    ).drop("there")
-    return lined.withColumns({k: F.size(ids_col) for k, ids_col in zip(STATE, LINES)})
+    kept = ("gameId", "t1", "t2", "second", "seconds", "play1", *names)
+    sets = {
+        "s1_ids": "x.side1 AND NOT x.goalie", "s2_ids": "NOT x.side1 AND NOT x.goalie",
+        "g1_ids": "x.side1 AND x.goalie", "g2_ids": "NOT x.side1 AND x.goalie",
+    }
+    lined = on.selectExpr(*kept, *[f"transform(filter(there, x -> {c}), x -> x.pid) AS {k}" for k, c in sets.items()])
+    return lined.selectExpr("*", *[f"size({ids}) AS {k}" for k, ids in zip(STATE, LINES)])
 
 
 def members(side: int, goalies: bool) -> Column:

@@ -19,21 +19,16 @@ def toi_by_strength(pbp: DataFrame) -> DataFrame:
     )
 
 
-def players_on(side1_label: Column, side2_label: Column, goalies: bool = True) -> Column:
-    """Array of (pid, side1, goalie, label) of everybody in a lineup."""
-    def part(ids: str, side1: bool, goalie: bool) -> Column:
-        return F.transform(
-            ids,
-            lambda p: F.struct(
-                p.alias("pid"), F.lit(side1).alias("side1"), F.lit(goalie).alias("goalie"),
-                (side1_label if side1 else side2_label).alias("label"),
-            ),
-        )
+def players_on(side1_label: str, side2_label: str, goalies: bool = True) -> Column:
+    """Array of (pid, side1, goalie, label) of everybody in a lineup; labels are SQL expressions."""
+    def part(ids: str, side1: bool, goalie: bool) -> str:
+        text = side1_label if side1 else side2_label
+        return f"transform({ids}, p -> named_struct('pid', p, 'side1', {side1}, 'goalie', {goalie}, 'label', {text}))"
 
     parts = [part("s1_ids", True, False), part("s2_ids", False, False)]
     if goalies:
         parts += [part("g1_ids", True, True), part("g2_ids", False, True)]
-    return F.concat(*parts)
+    return F.expr(f"concat({', '.join(parts)})")
 
 
 def toi_by_player_and_strength(pbp: DataFrame) -> DataFrame:
@@ -41,7 +36,7 @@ def toi_by_player_and_strength(pbp: DataFrame) -> DataFrame:
     toi = (
         tl.lineups(pbp, changes_only=True)
         .withColumn("strength", tl.label("12"))
-        .select("gameId", "seconds", F.explode(players_on(F.col("strength"), F.col("strength"))).alias("p"))
+        .select("gameId", "seconds", F.explode(players_on("strength", "strength")).alias("p"))
         .groupBy("gameId", F.col("p.pid").alias("player1Id"), F.col("p.label").alias("strength"))
         .agg(F.sum("seconds").alias("seconds"))
     )
@@ -76,8 +71,8 @@ def toi_player_strength_dense(pbp: DataFrame, in_seconds: bool = False) -> DataF
     """Every player of a game against every label any of its players saw, zeros included."""
     toi = (
         tl.lineups(pbp, "home")
-        .select("gameId", "t1", "t2", "seconds",
-                F.explode(players_on(tl.label("12"), tl.label("21"))).alias("p"))
+        .withColumns({"l12": tl.label("12"), "l21": tl.label("21")})
+        .select("gameId", "t1", "t2", "seconds", F.explode(players_on("l12", "l21")).alias("p"))
         .groupBy("gameId", F.when(F.col("p.side1"), F.col("t1")).otherwise(F.col("t2")).alias("eventTeam"),
                  F.col("p.goalie").cast("int").alias("isGoalie"), F.col("p.pid").alias("player1Id"),
                  F.col("p.label").alias("Strength"))

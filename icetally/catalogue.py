@@ -81,12 +81,13 @@ def _shift_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shift_ops.strength_segments_multiset(fixtures.shifts(spark, sf_dir))
 
 
+_EVENT_COLUMNS = ("shift_id", "gameId", "player1Id", "isHome", "isGoalie", "Event", "elapsedTime", "gameStrength",
+                  "detailedGameStrength")
+
+
 def _shift_event_strength(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = shift_ops.shift_events(fixtures.shifts(spark, sf_dir))
-    return shift_ops.shift_event_strength(events, _shift_segments(spark, sf_dir)).select(
-        "shift_id", "gameId", "player1Id", "isHome", "isGoalie", "Event", "elapsedTime",
-        "gameStrength", "detailedGameStrength",
-    )
+    return shift_ops.shift_event_strength(events, _shift_segments(spark, sf_dir)).select(*_EVENT_COLUMNS)
 
 
 def _spots(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,6 +117,8 @@ SHIFTS: dict[str, Query] = {
     "strength_segments_multiset": _shift_segments,
     "strength_by_second": lambda s, d: shift_ops.strength_by_second(_shift_segments(s, d)),
     "shift_event_strength": _shift_event_strength,
+    "shift_events_with_strength": lambda s, d: shift_ops.shift_events_with_strength(fixtures.shifts(s, d)).select(
+        *_EVENT_COLUMNS),
     "attach_roster": _attach_roster,
     "attach_position": _attach_position,
 }

@@ -60,44 +60,48 @@ def shift_events(shifts: DataFrame) -> DataFrame:
     ).select(*kept, *base, "e.*").withColumn("Time", F.col("timeInPeriod"))
 
 
-def strength_segments_multiset(shifts: DataFrame) -> DataFrame:
-    """(gameId, t_start, t_end, skaters and goalies per side, pulled flags) from shift intervals.
+_SIDES = ("home_skaters", "away_skaters", "home_goalie", "away_goalie")
 
-    Overlapping shifts of one player count twice; shifts without length or with a missing end do not
-    count. Changes are summed per game and second before the running sum.
-    """
+
+def _changes(shifts: DataFrame) -> DataFrame:
+    """Summed changes per game and second with a shift end, ``counts`` telling whether any shift with a
+    length starts or ends there."""
     start = F.col("elapsed_time_start").try_cast("int")
     stop = F.col("elapsed_time_end").try_cast("int")
     home = F.coalesce(F.col("isHome").cast("int"), F.lit(0)) == 1
-    ends = (
-        shifts.select("gameId", home.alias("home"), _goalie(shifts).alias("goalie"), start.alias("a"), stop.alias("b"))
-        .where("a is not null and b is not null and b > a")
-        .select("gameId", "home", "goalie",
-                F.explode(F.array(F.struct(F.col("a").alias("t"), F.lit(1).alias("d")),
-                                  F.struct(F.col("b").alias("t"), F.lit(-1).alias("d")))).alias("e"))
+    ends = shifts.select(
+        "gameId", home.alias("home"), _goalie(shifts).alias("goalie"), start.alias("a"), stop.alias("b")
+    ).selectExpr(
+        "gameId", "home", "goalie", "coalesce(b > a, false) AS counts",
+        "explode(array(struct(a AS t, 1 AS d), struct(b AS t, -1 AS d))) AS e",
+    ).where("e.t IS NOT NULL")
+    kinds = ("home AND NOT goalie", "NOT home AND NOT goalie", "home AND goalie", "NOT home AND goalie")
+    return ends.groupBy("gameId", F.expr("e.t AS t_start")).agg(
+        F.max("counts").alias("counts"),
+        *[F.expr(f"sum(CASE WHEN counts AND {c} THEN e.d ELSE 0 END) AS {n}") for n, c in zip(_SIDES, kinds)],
     )
-    kinds = {
-        "home_skaters": F.col("home") & ~F.col("goalie"), "away_skaters": ~F.col("home") & ~F.col("goalie"),
-        "home_goalie": F.col("home") & F.col("goalie"), "away_goalie": ~F.col("home") & F.col("goalie"),
-    }
-    cut = ends.groupBy("gameId", F.col("e.t").alias("t_start")).agg(
-        *[F.sum(F.when(c, F.col("e.d")).otherwise(0)).alias(n) for n, c in kinds.items()]
-    )
-    game = Window.partitionBy("gameId").orderBy("t_start")
-    running = game.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (
-        cut.select(
-            "gameId", "t_start", F.lead("t_start").over(game).alias("t_end"),
-            *[F.sum(n).over(running).cast("int").alias(n) for n in kinds],
-        )
-        .where(F.col("t_end") > F.col("t_start"))
-        .withColumns({
-            "pulled_home": (F.col("home_goalie") == 0).cast("int"),
-            "pulled_away": (F.col("away_goalie") == 0).cast("int"),
-        })
+
+
+def _running(changes: DataFrame, *more: str) -> DataFrame:
+    game = "OVER (PARTITION BY gameId ORDER BY t_start"
+    so_far = f"{game} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    return changes.selectExpr(
+        "gameId", "t_start", *[m.format(game=game) for m in more],
+        *[f"CAST(sum({n}) {so_far} AS INT) AS {n}" for n in _SIDES],
+    ).selectExpr(
+        "*", "CAST(home_goalie = 0 AS INT) AS pulled_home", "CAST(away_goalie = 0 AS INT) AS pulled_away"
     )
 
 
+def strength_segments_multiset(shifts: DataFrame) -> DataFrame:
+    """(gameId, t_start, t_end, skaters and goalies per side, pulled flags) from shift intervals.
+
+    Overlapping shifts of one player count twice; shifts without length or with a missing end do not
+    count. Changes are summed per game and second before the running sum.
+    """
+    return _running(_changes(shifts).where("counts"), "lead(t_start) {game}) AS t_end").where("t_end > t_start")
+
+
 def segment_labels(segments: DataFrame) -> DataFrame:
     """Adds team_str_home (no stars), home_strength and away_strength (starred)."""
     h, a = F.col("home_skaters"), F.col("away_skaters")
@@ -152,6 +156,22 @@ def shift_event_strength(events: DataFrame, segments: DataFrame) -> DataFrame:
     return events.join(at, ["gameId", "elapsedTime"], "left")
 
 
+def shift_events_with_strength(shifts: DataFrame) -> DataFrame:
+    """``shift_events`` with the strength of their own shifts' segments, as ``shift_event_strength`` gives.
+
+    Every event lies on a second of the summed changes, so one equi-join on game and second suffices.
+    """
+    valid = "over (PARTITION BY gameId)"
+    states = segment_labels(_running(
+        _changes(shifts), f"min(CASE WHEN counts THEN t_start END) {valid} AS first_t",
+        f"max(CASE WHEN counts THEN t_start END) {valid} AS last_t",
+    )).where("t_start >= first_t AND t_start < last_t").selectExpr(
+        "gameId", "t_start AS elapsedTime", "team_str_home AS gameStrength",
+        "concat(home_strength, 'v', away_strength) AS detailedGameStrength",
+    )
+    return shift_events(shifts).join(states, ["gameId", "elapsedTime"], "left")
+
+
 def attach_roster(shifts: DataFrame, roster: DataFrame, spread: str = "seq") -> DataFrame:
     """Joins roster spots onto shifts by game, jersey number and side; a jersey listed twice matches twice."""
     spots = roster.withColumnRenamed("sweaterNumber", "jersey_number")

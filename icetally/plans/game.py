@@ -108,10 +108,7 @@ def build_pbp(
     }).drop("gameType", "home_ids", "home_names", "away_ids", "away_names", "player_names", "playerId",
             "home_on_ice", "away_on_ice", "home_goalie", "away_goalie")
 
-    segments = shift_ops.strength_segments_multiset(shifts)
-    changes = shift_ops.shift_event_strength(shift_ops.shift_events(shifts), segments).drop(
-        "eventTeam", "homeTeam", "awayTeam"
-    )
+    changes = shift_ops.shift_events_with_strength(shifts).drop("eventTeam", "homeTeam", "awayTeam")
     merged = rows.withColumn("src", F.lit(0)).unionByName(
         changes.withColumn("src", F.when(F.col("Event") == "ON", 1).otherwise(2)), allowMissingColumns=True
     )

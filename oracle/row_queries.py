@@ -198,3 +198,5 @@ SQL = {
   round(previousEventAngleSigned,6) as previousEventAngleSigned, previousEventXNorm, previousEventYNorm, timeDiff, isRebound, isGoal from f""",
     "shots_design_matrix": _design(),
 }
+
+SQL["shift_events_with_strength"] = SQL["shift_event_strength"]

@@ -102,6 +102,9 @@ def test_shift_strengths(spark):
     at = {(r.player1Id, r.Event, r.elapsedTime): r.detailedGameStrength for r in events.collect()}
     assert at[6, "ON", 12] == "0v1*" and at[3, "OFF", 20] is None and at[8, "ON", None] is None
     assert len(at) == 14
+    fused = shifts.shift_events_with_strength(df)
+    assert fused.select(*sorted(events.columns)).exceptAll(events.select(*sorted(events.columns))).count() == 0
+    assert fused.count() == events.count()
     seconds = shifts.strength_by_second(segs).count()
     assert seconds == 20
 

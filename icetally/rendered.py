@@ -229,7 +229,7 @@ def replay_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct((e * 10 + i).alias("timeStamp"), F.struct(F.col("user_id").alias("id")).alias("onIce")) for i in range(3)
     ])
     return fixtures.pbp(spark, sf_dir).where("Event = 'GOAL'").select(
-        F.concat(F.lit("s3://landing/replays/"), F.floor(e / 100).cast("string"), F.lit("/ev"), e.cast("string"), F.lit(".json")).alias("path"),
+        F.concat(F.lit("/landing/replays/"), F.floor(e / 100).cast("string"), F.lit("/ev"), e.cast("string"), F.lit(".json")).alias("path"),
         F.to_json(frames).alias("payload"),
     )
 

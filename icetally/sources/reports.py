@@ -63,6 +63,11 @@ def inner_text(c: Column) -> Column:
     return _decoded(F.regexp_replace(_spaced(c), r"\s*<[^>]*>\s*", ""))
 
 
+def _after_first(pieces: Column) -> Column:
+    """What follows each separator of a split text."""
+    return F.filter(pieces, lambda _, i: i > 0)
+
+
 def _flat_cells(row: Column) -> Column:
     """Cell texts of a row without nested tables."""
     return F.transform(F.regexp_extract_all(row, F.lit(CELL), 1), inner_text)
@@ -86,7 +91,7 @@ def _nested_table() -> str:
 def extract_rows(reports: DataFrame) -> DataFrame:
     """One row per data row of each report: ``seq``, ``cells`` and the nested-table texts ``ice``.
 
-    A row's on-ice lists are tables inside its cells. Tables are marked by single characters, whole ones
+    A row's on-ice lists are tables inside its cells, nested two deep (up to MAX_NESTING). Tables are marked by single characters, whole ones
     taken out as texts, and what is left is cut at the row's own end and split into cells.
     """
     kept = [c for c in reports.columns if c != "html"]
@@ -96,7 +101,7 @@ def extract_rows(reports: DataFrame) -> DataFrame:
     )
     rows = (
         _filled(reports)
-        .select(*kept, F.posexplode(F.slice(F.split("html", ROW), 2, 1000000)).alias("seq", "chunk"))
+        .select(*kept, F.posexplode(_after_first(F.split("html", ROW))).alias("seq", "chunk"))
         .select(*kept, "seq", marked.alias("marked"))
         .select(
             *kept, "seq", "marked",
@@ -191,10 +196,10 @@ def _shift_groups(reports: DataFrame) -> DataFrame:
         .where(~F.array_contains(later, player))
         .select(
             *kept, "team", "k", player.alias("player_name"),
-            F.posexplode(F.slice(F.split("group", ROW), 2, 1000000)).alias("i", "row"),
+            F.posexplode(_after_first(F.split("group", ROW))).alias("i", "row"),
         )
         .select(
-            *kept, (F.col("k").cast("bigint") * 1000000 + F.col("i")).alias("seq"),
+            *kept, (F.shiftleft(F.col("k").cast("bigint"), 32) + F.col("i")).alias("seq"),
             # generated, so that later conditions on the cells do not work them out again
             F.explode(F.array(_flat_cells(F.split("row", "(?i)</tr>", 2).getItem(0)))).alias("cells"), "player_name",
             jersey_number(F.col("player_name")).alias("jersey_number"),
@@ -290,12 +295,12 @@ def _section(html: Column, name: str) -> Column:
 def _tables(html: Column) -> Column:
     """Innermost tables in document order, as markup."""
     return F.transform(
-        F.slice(F.split(html, r"(?i)<table\b[^>]*>"), 2, 1000000), lambda t: F.split(t, "(?i)</table>").getItem(0)
+        _after_first(F.split(html, r"(?i)<table\b[^>]*>")), lambda t: F.split(t, "(?i)</table>").getItem(0)
     )
 
 
 def _rows(table: Column) -> Column:
-    return F.slice(F.split(table, r"(?i)<tr\b[^>]*>"), 2, 1000000)
+    return _after_first(F.split(table, r"(?i)<tr\b[^>]*>"))
 
 
 def _players(table: Column, name_length: int = 1) -> Column:

@@ -84,6 +84,13 @@ def test_player_corsi(pbp):
     assert got == want
 
 
+def test_goalies_in_stats(pbp):
+    got = {(r.gameId, r.player1Id, r.strength): r.seconds
+           for r in metrics.on_ice_stats_by_player_strength(pbp, include_goalies=True).collect()}
+    want = {(g, p, s): v for g, rows in local(pbp).items() for (p, s), v in replay.player_toi(rows, False).items()}
+    assert got == want and any(p < 2 for _, p, _ in got)
+
+
 def test_edges(spark):
     pbp = game(spark, EDGES)
     spans = {(r.player1Id, r.t_on, r.t_off) for r in timeline.player_intervals(pbp).collect()}

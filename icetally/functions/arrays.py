@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -80,18 +78,3 @@ def combo_positions(ids: Column, players: Column) -> Column:
         return F.when(n > 0, F.concat(n.cast("string"), F.lit(letter)))
 
     return F.concat_ws("", *[part(p) for p in ("F", "D", "G")])
-
-
-def lookup_all(ids: Column, table: Column, keep_missing: Column | None = None) -> Column:
-    """Maps every element through a map column; misses become null or ``keep_missing``'s element."""
-    if keep_missing is None:
-        return F.transform(ids, lambda x: F.try_element_at(table, x))
-    return F.transform(ids, lambda x: F.coalesce(F.try_element_at(table, x), x.cast("string")))
-
-
-def count_nulls(c: Column) -> Column:
-    return F.size(F.filter(c, lambda x: x.isNull()))
-
-
-def coalesce_all(columns: list[Column]) -> Column:
-    return reduce(lambda a, b: F.coalesce(a, b), columns)

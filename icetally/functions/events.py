@@ -47,7 +47,6 @@ EVENT_PLAYERS = {
 }
 
 CHANGES = ("ON", "OFF")
-ATTEMPTS = ("SHOT", "GOAL", "MISS", "BLOCK")
 XG_EVENTS = ("GOAL", "SHOT", "MISS")
 PENALTIES = ("PENL", "PEN", "PENALTY")
 GIVEAWAYS = ("GIVE", "GIVEAWAY")

@@ -11,13 +11,6 @@ def side_label(skaters: Column, goalies: Column, star: str = "*") -> Column:
     return F.concat(skaters.cast("string"), F.when(goalies > 0, F.lit("")).otherwise(F.lit(star)))
 
 
-def strength_label(
-    s1: Column, g1: Column, s2: Column, g2: Column, sep: str = "v", star: str = "*"
-) -> Column:
-    """``5v4`` style label, first side on the left."""
-    return F.concat(side_label(s1, g1, star), F.lit(sep), side_label(s2, g2, star))
-
-
 def list_size(c: Column) -> Column:
     return F.when(c.isNull(), F.lit(0)).otherwise(F.size(c))
 

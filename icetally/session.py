@@ -1,10 +1,7 @@
-"""Session settings and the shared scratch folder."""
+"""Session settings."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import SparkSession
 
 
@@ -30,15 +27,3 @@ def build_session(app: str = "icetally", master: str | None = None, **conf: obje
     for key, value in settings.items():
         builder = builder.config(key, str(value))
     return builder.getOrCreate()
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the session's checkpoint folder, which all executors share.
-
-    Only where the session names none (tests on one machine) a temporary folder is set up.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        base = tempfile.mkdtemp(prefix="icetally-")
-        spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -70,10 +70,3 @@ lab as (select gameId, s, s1, s2, g1, g2,
                cast(count(*) filter (eventTeam='BBB' and isGoalie=1) as int) as g2
               from sec left join ice on sec.gameId=ice.gameId and sec.s=ice.s
               group by 1,2))"""
-
-
-def side_ids(alias: str, team: str, goalies: bool) -> str:
-    """Sorted id list of one side per second."""
-    only = "" if goalies else "and isGoalie=0"
-    return f"""{alias} as (select gameId, s, list(player1Id order by player1Id) as ids
- from ice where eventTeam='{team}' {only} group by 1,2)"""

@@ -18,8 +18,6 @@ SHIFT_ROWS = f"""{SHIFTS},
 CUSTOMERS = """c as (select *, c_custkey//40 as report, c_custkey%40 as spot, ['C','L','R','D','G'][c_custkey%5+1] as letter from customer),
  docs as (select report, count(*) filter (spot<16) as na, count(*) filter (spot between 16 and 31) as nh from c group by 1)"""
 
-_NAMES = ("with {c} select report, {{}}".format(c=CUSTOMERS))
-
 
 def nulls(names: dict[str, str]) -> str:
     return ", ".join(f"cast(null as {t}) as {n}" for n, t in names.items())

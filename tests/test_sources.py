@@ -176,3 +176,11 @@ def test_landed_files(spark, tmp_path):
 def test_empty_inputs(spark):
     none = spark.createDataFrame([], "gameId long, html string")
     assert reports.event_table(none).count() == 0 and "home_on_ice" in reports.event_table(none).columns
+
+
+def test_small_pieces(spark):
+    df = spark.createDataFrame([(["a&nbsp;", " b ", "c", "d", "e", "f", "g"],), (["x"],)], "cells array<string>")
+    assert [r[0] for r in df.select(reports.clean_cells(F.col("cells"))).collect()] == [
+        ["a", "b", "c", "d", "e", "f"], ["x", "", "", "", "", ""]]
+    day = spark.range(1).select(feeds.default_standings_date().alias("d"), F.year(F.current_date()).alias("y")).first()
+    assert (day.d.year, day.d.month, day.d.day) == (day.y - 1, 1, 1)

@@ -7,8 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, lengths
-from .common import table, tune
+from . import bpe, fertility, lengths, quality
+from .common import remainder, table, tune
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counting rules and tokeniser fertility of every text."""
+    tune(spark)
+    return fertility.judge(table(spark, sf_dir, "documents").select("doc_id", "text", "lang")).drop("text", "lang")
+
+
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every text by a discriminant learned from all labelled rows outside the held-out fifth."""
+    tune(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), remainder(F.col("doc_id")) != 0)
+    return quality.score(docs, model).select(
+        "doc_id",
+        (remainder(F.col("doc_id")) == 0).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= quality.THRESHOLD, 1).otherwise(0).alias("predicted"),
+    )
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,6 +49,8 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_quality_rules": op4_quality_rules,
+    "op7_quality_classifier": op7_quality_classifier,
     "op8_token_counts": op8_token_counts,
     "op10_byte_bpe": op10_byte_bpe,
 }

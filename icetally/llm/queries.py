@@ -7,10 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fertility, lengths, quality
+from . import bpe, fertility, lattice, lengths, quality
 from .common import remainder, table, tune
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lattice likelihood of every text, learned from all rows but the held-out fifth."""
+    tune(spark)
+    return lattice.score(table(spark, sf_dir, "documents"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counting rules and tokeniser fertility of every text."""
     tune(spark)
@@ -49,6 +55,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_lm_scoring": op3_lm_scoring,
     "op4_quality_rules": op4_quality_rules,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_token_counts": op8_token_counts,

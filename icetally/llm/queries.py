@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fertility, lattice, lengths, quality
+from . import bpe, fertility, lattice, lengths, pii, quality, secret_scan
 from .common import remainder, table, tune
+from .spans import listed
 
 
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +24,30 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.judge(table(spark, sf_dir, "documents").select("doc_id", "text", "lang")).drop("text", "lang")
 
 
+def _of_kind(spans: str, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every text: base spans as counts and digest, and all spans."""
+    found = pii.redactions(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", *(_of_kind("base_spans", k) for k in pii.KINDS),
+        F.sha2(listed(F.col("base_spans")).cast("binary"), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
+
+
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every text: base spans as counts and digest, and all spans."""
+    found = secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", *(_of_kind("base_spans", k) for k in ("assign", "access", "hex")),
+        F.sha2(listed(F.col("base_spans")).cast("binary"), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score of every text by a discriminant learned from all labelled rows outside the held-out fifth."""
     tune(spark)
@@ -57,6 +82,8 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_lm_scoring": op3_lm_scoring,
     "op4_quality_rules": op4_quality_rules,
+    "op5_personal_data": op5_personal_data,
+    "op6_secret_scan": op6_secret_scan,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_token_counts": op8_token_counts,
     "op10_byte_bpe": op10_byte_bpe,

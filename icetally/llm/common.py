@@ -81,3 +81,13 @@ def written(df: DataFrame) -> DataFrame:
     path = os.path.join(_shared_dir(df.sparkSession), f"table-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+#: Rows of a few numbers each up to which a table is broadcast (some 10 MB); above that it is shuffled.
+BROADCAST_ROWS = 200_000
+
+
+def sized(small: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """small, written to the shared folder and counted: to be broadcast if it has few rows, else as it is."""
+    small = cut(small)
+    return F.broadcast(small) if small.count() <= rows else small

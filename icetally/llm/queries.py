@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fertility, lattice, lengths, pii, quality, secret_scan
+from . import bpe, fertility, lattice, lengths, line_dedup, pii, quality, secret_scan
 from .common import remainder, table, tune
 from .spans import listed
 
@@ -67,6 +67,14 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lengths.suffix_sums(lengths.histogram(table(spark, sf_dir, "documents")))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every text, how many of them repeat an earlier line up to two edits, and the text without those."""
+    tune(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.deduped(docs, drop_emptied=False).select(
+        "doc_id", "n_lines", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text and the bytes they decode to, as digests."""
     tune(spark)
@@ -86,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_secret_scan": op6_secret_scan,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_token_counts": op8_token_counts,
+    "op9_line_dedup": op9_line_dedup,
     "op10_byte_bpe": op10_byte_bpe,
 }
 

@@ -18,15 +18,13 @@ from itertools import product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, free_name, text_of
+from .common import free_name, sized, text_of
 from .spans import apart, labelled, listed, matches_if
 
 with warnings.catch_warnings():
     warnings.simplefilter("ignore", DeprecationWarning)
     import sre_parse
 
-#: Candidate texts up to which their list is broadcast (some 10 MB); above that it is joined by digest.
-BROADCAST_ROWS = 200_000
 #: Strings in one alternative list while a query is derived; more are cut back to what they share.
 ALTERNATIVES = 64
 
@@ -188,12 +186,10 @@ def scan(docs: DataFrame, text: str = "text", base: tuple[Rule, ...] = BASE, add
     """
     rules = base + added
     ranks = {k: i for i, k in enumerate(dict.fromkeys(r.kind for r in rules))}
-    found = cut(candidates(docs, rules, text))
-    few = found.count() <= BROADCAST_ROWS
     digest, listed_rules = free_name(docs, "digest"), free_name(docs, "rules")
-    renamed = found.select(F.col("digest").alias(digest), F.col("rules").alias(listed_rules))
+    found = candidates(docs, rules, text).select(F.col("digest").alias(digest), F.col("rules").alias(listed_rules))
     keyed = docs.withColumn(digest, F.md5(text_of(text).cast("binary")))
-    joined = keyed.join(F.broadcast(renamed) if few else renamed, digest, "left")
+    joined = keyed.join(sized(found), digest, "left")
 
     def spans_of(number: int, rule: Rule) -> Column:
         if trigram_query(rule.pattern):

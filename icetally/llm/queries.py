@@ -7,11 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fertility, lattice, lengths, line_dedup, pii, quality, secret_scan
+from . import bpe, fertility, lattice, lengths, line_dedup, ngram_join, pii, quality, secret_scan
 from .common import remainder, table, tune
 from .spans import listed
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of the documents whose sets of 3-word shingles have a Jaccard similarity of 0.9 or more."""
+    tune(spark)
+    return ngram_join.components_of(table(spark, sf_dir, "documents"), 3, 90).select("doc_id", "n_shingles", "component_id")
+
+
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lattice likelihood of every text, learned from all rows but the held-out fifth."""
     tune(spark)
@@ -88,6 +94,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_jaccard": op1_ngram_jaccard,
     "op3_lm_scoring": op3_lm_scoring,
     "op4_quality_rules": op4_quality_rules,
     "op5_personal_data": op5_personal_data,

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fertility, lattice, lengths, line_dedup, ngram_join, pii, quality, secret_scan
+from . import bpe, decontaminate, fertility, lattice, lengths, line_dedup, ngram_join, pii, quality, secret_scan
 from .common import remainder, table, tune
 from .spans import listed
 
@@ -18,6 +18,12 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.components_of(table(spark, sf_dir, "documents"), 3, 90).select("doc_id", "n_shingles", "component_id")
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that hold a benchmark item, with the item and how much of it was found."""
+    tune(spark)
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lattice likelihood of every text, learned from all rows but the held-out fifth."""
     tune(spark)
@@ -95,6 +101,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
+    "op2_decontamination": op2_decontamination,
     "op3_lm_scoring": op3_lm_scoring,
     "op4_quality_rules": op4_quality_rules,
     "op5_personal_data": op5_personal_data,

@@ -57,7 +57,7 @@ def free_name(df: DataFrame, stem: str) -> str:
     return name
 
 
-def _shared_dir(spark: SparkSession) -> str:
+def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder; a temporary one only where none is set, as in tests."""
     sc = spark.sparkContext
     found = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
@@ -70,7 +70,7 @@ def _shared_dir(spark: SparkSession) -> str:
 def cut(df: DataFrame) -> DataFrame:
     """df written to the shared checkpoint folder: what follows survives lost executors without recomputing it."""
     spark = df.sparkSession
-    folder = _shared_dir(spark)
+    folder = shared_dir(spark)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint()
@@ -78,7 +78,7 @@ def cut(df: DataFrame) -> DataFrame:
 
 def written(df: DataFrame) -> DataFrame:
     """As cut(), but as a Parquet table, for wide rows of which later steps read some columns."""
-    path = os.path.join(_shared_dir(df.sparkSession), f"table-{uuid.uuid4().hex}")
+    path = os.path.join(shared_dir(df.sparkSession), f"table-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 

@@ -66,9 +66,6 @@ class Sizes:
     def least(self, n: int) -> int:
         return -(-self.percent * n // 100)
 
-    def prefix(self, n: int) -> int:
-        return n - self.least(n) + 1
-
     def level(self, n: int) -> int:
         return bisect_right(self.starts, n) - 1
 
@@ -84,8 +81,9 @@ class Sizes:
         return sum(comb(n, self.common(n, m)) for m in self.partners(n, below) if not (m == n == self.common(n, m)))
 
     def list_rows(self, n: int) -> int:
+        """Segments, and the elements that are listed and compared if the set may have a partner."""
         level = self.level(n)
-        return self.segments(level) + (self.segments(level - 1) if level else 0) + self.prefix(n)
+        return self.segments(level) + (self.segments(level - 1) if level else 0) + n
 
     def boundary(self, histogram: dict[int, int], largest: int = MOST_LIGHT) -> int:
         """The first heavy size: the one for which both kinds of lists together have fewest rows."""

@@ -99,7 +99,7 @@ def _spots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _attach_roster(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fixtures.shifts(spark, sf_dir).withColumn("jersey_number", (F.col("playerId") + 9).cast("int"))
-    return shift_ops.attach_roster(rows.drop("playerId"), _spots(spark, sf_dir), "shift_id").select(
+    return shift_ops.attach_roster(rows.drop("playerId"), _spots(spark, sf_dir)).select(
         "shift_id", "gameId", "isHome", "jersey_number", "elapsed_time_start", "playerId", "fullName"
     )
 
@@ -107,7 +107,7 @@ def _attach_roster(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _attach_position(spark: SparkSession, sf_dir: str) -> DataFrame:
     shifts = fixtures.shifts(spark, sf_dir)
     rows = shift_ops.shift_events(shifts).select("shift_id", "gameId", "player1Id", "Event", "elapsedTime")
-    return shift_ops.attach_position(rows, shifts, "shift_id")
+    return shift_ops.attach_position(rows, shifts)
 
 
 SHIFTS: dict[str, Query] = {
@@ -200,7 +200,7 @@ def _on_ice_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id", (F.col("event_id") % 10).alias("gameId"),
         F.array(*[(F.col("event_id") * i % 14 + 8).cast("string") for i in (1, 2, 3)]).alias("home_on_ice"),
     )
-    joined = joins.join_dimension(rows, maps, ["gameId"], "event_id")
+    joined = joins.join_dimension(rows, maps, ["gameId"])
     out = onice.map_on_ice(joined, {"home_on_ice": "home_on_id"}, "ids")
     out = onice.map_on_ice(out, {"home_on_ice": "home_on_full_name"}, "names", keep_text=True)
     return out.select(
@@ -399,7 +399,7 @@ def _feed(table: str, key: str, name: str, envelope: str, record: Callable[[], C
     """Rows of a table rendered as payloads of a feed, read back and flattened."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         made = rendered.payloads(fixtures.table(spark, sf_dir, table), key, record(), envelope)
-        return tidy(flatten(feeds.parse_feed(made, name, **extra)).drop("scrapedOn"))
+        return tidy(flatten(feeds.parse_feed(made, name, **extra)).drop("scrapedOn", "raw"))
 
     return run
 
@@ -438,7 +438,7 @@ def _roster_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     record = F.struct(k.alias("id"), _default(F.col("c_name")).alias("lastName"), (k % 98 + 1).alias("sweaterNumber"))
     position = F.when(k % 4 == 0, "D").when(k % 9 == 0, "G").otherwise("C")
     made = rendered.roster_payloads(fixtures.table(spark, sf_dir, "customer"), "c_custkey", record, position)
-    return flatten(feeds.parse_feed(made, "roster")).drop("scrapedOn")
+    return flatten(feeds.parse_feed(made, "roster")).drop("scrapedOn", "raw")
 
 
 def _pick_record() -> Column:
@@ -461,7 +461,7 @@ def _feed_game(table: str) -> Query:
                 "gameId", "seq", "eventId", "period", "timeInPeriod", "event_api", "pptReplayUrl",
                 "scoringPlayerId", "shootingPlayerId", "xCoord", "homeScore", "eventOwnerTeamId"))
         if table == "roster_spots":
-            return feeds.roster_spots(games)
+            return feeds.roster_spots(games).drop("firstName", "lastName")
         return feeds.game_meta(games)
 
     return run
@@ -518,7 +518,7 @@ def _game_pbp(spark: SparkSession, sf_dir: str) -> DataFrame:
     events, _, payloads = _game_inputs(spark, sf_dir)
     pbp = plans.build_pbp(events, feeds.parse_game(payloads), _game_shifts(spark, sf_dir))
     return tidy(pbp.select(
-        "gameId", "eventId", "Event", "Per", "elapsedTime", F.when(is_play(F.col("Event")), F.col("#")).alias("position"),
+        "gameId", "eventId", "Event", "Per", "elapsedTime", F.col("#").alias("position"),
         "eventTeam", "player1Id", "player1Name", "homeScore", "strength", "gameStrength", "detailedGameStrength",
         _ids("home_on_id").alias("home_on_id"), _ids("away_on_id").alias("away_on_id"),
         _ids("homeGoalie_on_id").alias("homeGoalie_on_id"), "home_on_full_name", "unmapped_count",
@@ -538,7 +538,7 @@ GAMES: dict[str, Query] = {
         "gameId", "playerId", "fullName", "teamId", "isHome", "positionCode", "jersey_number", "team_name", "period_number",
         "elapsed_time_start", "elapsed_time_end", "duration_seconds", "homeTeam", "awayTeam"),
     "game_players": lambda s, d: plans.build_players(_game_shifts(s, d)).select(
-        "gameId", "playerId", "fullName", "team", "position", "sweaterNumber"),
+        "gameId", "playerId", "fullName", "firstName", "lastName", "team", "position", "sweaterNumber"),
     "game_pbp": _game_pbp,
     "game_pipeline": _game_pipeline,
 }

@@ -136,7 +136,7 @@ def _player_maps(players: DataFrame) -> DataFrame:
     """(gameId, players map): one map per game from a table with gameId, player1Id, name, pos, number,
     headshot; a player appears once per game."""
     entry = F.struct("name", "pos", "number", "headshot")
-    one = players.groupBy("gameId", "player1Id").agg(F.first(entry).alias("e"))
+    one = players.groupBy("gameId", "player1Id").agg(F.max(entry).alias("e"))
     return one.groupBy("gameId").agg(
         F.map_from_entries(F.collect_list(F.struct("player1Id", "e"))).alias("players")
     )
@@ -158,14 +158,18 @@ def _dimension(pbp: DataFrame, player_df: DataFrame | None) -> DataFrame:
         return F.lit(None).cast(kind) if c is None else F.col(c).cast(kind)
 
     keyed = ["gameId"] if "gameId" in player_df.columns else []
+    fields = ("name", "pos", "number", "headshot")
+    row = F.col("seq") if "seq" in player_df.columns else F.lit(0)
     listed = player_df.select(
-        *keyed, pick(("player1Id", "playerId", "id"), "bigint").alias("player1Id"),
+        *keyed, row.alias("row"), pick(("player1Id", "playerId", "id"), "bigint").alias("player1Id"),
         pick(("fullName", "player1Name", "Player", "name"), "string").alias("name"),
         position_letter(pick(("position", "positionCode", "pos", "Position"), "string")).alias("pos"),
         pick(("sweaterNumber", "number", "jerseyNumber"), "int").alias("number"),
         pick(("headshot", "Headshot"), "string").alias("headshot"),
-    ).where(F.col("player1Id").isNotNull()).dropDuplicates([*keyed, "player1Id"]).withColumn(
-        "listed", F.lit(True)
+    ).where(F.col("player1Id").isNotNull())
+    # of a player listed twice the last row counts, or the largest values where rows have no order
+    listed = listed.groupBy(*keyed, "player1Id").agg(F.max(F.struct("row", *fields)).alias("e")).select(
+        *keyed, "player1Id", *[f"e.{c}" for c in fields], F.lit(True).alias("listed")
     )
     return seen.join(listed, [*keyed, "player1Id"], "left").select(
         "gameId", "player1Id",

@@ -5,21 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-FAN = 32
 
+def join_dimension(rows: DataFrame, dim: DataFrame, on: list[str], how: str = "left") -> DataFrame:
+    """Joins a dimension of a few rows per key onto rows whose keys may be very uneven.
 
-def join_dimension(
-    rows: DataFrame, dim: DataFrame, on: list[str], spread: str, how: str = "left", fan: int = FAN
-) -> DataFrame:
-    """Joins a small-per-key dimension onto rows whose keys may be very uneven.
-
-    Rows are dealt to ``fan`` groups by ``spread``; each dimension row is repeated for the groups, so a
-    key with a third of all rows still spreads over ``fan`` tasks. Meant for dimensions of a few rows per
-    key; the result is that of the plain join.
+    A plain join: large partitions of the rows are split at run time (skew join), which copies the dimension
+    only where a key is found to be heavy.
     """
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(fan)).cast("int"))
-    copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(fan - 1))))
-    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+    return rows.join(dim, on, how)
 
 
 def jersey_maps(spots: DataFrame, keys: list[str]) -> DataFrame:

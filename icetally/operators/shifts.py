@@ -172,13 +172,13 @@ def shift_events_with_strength(shifts: DataFrame) -> DataFrame:
     return shift_events(shifts).join(states, ["gameId", "elapsedTime"], "left")
 
 
-def attach_roster(shifts: DataFrame, roster: DataFrame, spread: str = "seq") -> DataFrame:
+def attach_roster(shifts: DataFrame, roster: DataFrame) -> DataFrame:
     """Joins roster spots onto shifts by game, jersey number and side; a jersey listed twice matches twice."""
     spots = roster.withColumnRenamed("sweaterNumber", "jersey_number")
-    return join_dimension(shifts, spots, ["gameId", "jersey_number", "isHome"], spread)
+    return join_dimension(shifts, spots, ["gameId", "jersey_number", "isHome"])
 
 
-def attach_position(rows: DataFrame, shifts: DataFrame, spread: str = "seq") -> DataFrame:
+def attach_position(rows: DataFrame, shifts: DataFrame) -> DataFrame:
     """Joins the distinct (player, position) pairs of the shifts onto rows by player1Id."""
     pairs = shifts.select("gameId", F.col("playerId").alias("player1Id"), "positionCode").distinct()
-    return join_dimension(rows, pairs, ["gameId", "player1Id"], spread)
+    return join_dimension(rows, pairs, ["gameId", "player1Id"])

@@ -260,9 +260,12 @@ def lineups(
 
     slots = (
         book.selectExpr("gameId", "t1", "t2", f"explode(concat({', '.join(dealt)})) AS e")
-        .groupBy("gameId", F.expr("e.slot AS slot"))
+        .selectExpr("gameId", "t1", "t2", "e.slot", "e.span", "e.item")
+        # the windows above left a game in one partition; from here on its slots are spread over the tasks
+        .repartition("gameId", "slot")
+        .groupBy("gameId", "slot")
         .agg(F.expr("first(t1) AS t1"), F.expr("first(t2) AS t2"),
-             F.expr("sort_array(collect_list(e.span)) AS spans"), F.expr("collect_list(e.item) AS items"))
+             F.expr("sort_array(collect_list(span)) AS spans"), F.expr("collect_list(item) AS items"))
     )
     on = slots.selectExpr("gameId", "t1", "t2", "spans", "explode(items) AS i").selectExpr(
         "gameId", "t1", "t2", "i.*", "filter(spans, x -> x.t_on <= i.second AND x.t_off > i.second) AS there"

@@ -41,13 +41,14 @@ def _same(a: Column, b: Column) -> Column:
 def engineer_xg_features(
     pbp: DataFrame, goal_x: float = 89.0, goal_y: float = 0.0, rebound_window_s: int = 3,
     on_off_events: tuple[str, ...] = CHANGES, shot_like_events_prev: tuple[str, ...] = ("SHOT",),
-    shot_like_events: tuple[str, ...] | None = None,
+    shot_like_events: tuple[str, ...] | None = None, order: str = "seq",
 ) -> DataFrame:
     """Adds geometry, strength, score, empty-net, previous-play and rebound columns.
 
     A rebound is a ``shot_like_events`` play (default: the same types as the parent) by the team of the
     previous play, itself one of ``shot_like_events_prev``, within the window. Score differences are
-    those before a goal. Rows need ``seq`` to order plays of one second.
+    those before a goal. ``order`` names the column that orders plays of one second: the place in the source, or
+    ``#`` of a table that is in its final order.
     """
     df = rink_geometry(ensure_columns(pbp, _NEEDED), goal_x, goal_y)
     home = _same(F.col("eventTeam"), F.col("homeTeam"))
@@ -74,7 +75,7 @@ def engineer_xg_features(
     })
     play = ~F.coalesce(F.col("Event").isin(*on_off_events), F.lit(False))
     df = in_order(
-        df, [F.col("seq")],
+        df, [F.col(order)],
         previous={
             "previousEvent": F.col("Event"), "previousTeam": F.col("eventTeam"),
             "previousElapsedTime": F.col("elapsedTime"),

@@ -29,7 +29,7 @@ def build_shifts(shift_reports: DataFrame, games: DataFrame) -> DataFrame:
     """
     rows = reports.shift_rows(shift_reports).withColumn("isHome", (F.col("team_type") == "Home").cast("int"))
     meta = feeds.game_meta(games).select("gameId", "gameType", "homeTeam", "awayTeam")
-    rows = join_dimension(rows, meta, ["gameId"], "seq")
+    rows = join_dimension(rows, meta, ["gameId"])
     rows = shift_ops.attach_roster(rows, feeds.roster_spots(games))
     return rows.withColumns({
         "sweaterNumber": F.when(F.col("playerId").isNotNull(), F.col("jersey_number")),
@@ -86,7 +86,7 @@ def build_pbp(
     dim = _game_dimension(games)
     rows = join_dimension(
         rows, dim.select("gameId", "gameType", "home_ids", "home_names", "away_ids", "away_names", "player_names"),
-        ["gameId"], "seq",
+        ["gameId"],
     )
     for side in ("home", "away"):
         skaters, goalies = f"{side}_on_ice", f"{side}_goalie"
@@ -116,7 +116,7 @@ def build_pbp(
         merged, ordered.canonical_keys(merged), fill=ordered.SCOREBOARD, number="#"
     ).drop("merge_idx")
     facts = dim.select("gameId", "venue", "venueLocation", *feeds.META, "homeTeam", "awayTeam")
-    out = join_dimension(out, facts, ["gameId"], "seq")
+    out = join_dimension(out, facts, ["gameId"])
     return dedupe_columns(
         feeds.stamp(
             out.withColumns({
@@ -133,7 +133,7 @@ def build_players(shifts: DataFrame) -> DataFrame:
     """Distinct players of the shifts with team and position group."""
     columns = (
         "player_name", "jersey_number", "team_type", "team_name", "isHome", "teamId", "playerId",
-        "sweaterNumber", "positionCode", "headshot", "fullName", "gameId", "homeTeam", "awayTeam",
+        "sweaterNumber", "positionCode", "headshot", "fullName", "firstName", "lastName", "gameId", "homeTeam", "awayTeam",
     )
     return shifts.select(*[c for c in columns if c in shifts.columns]).distinct().withColumns({
         "team": player_team(F.col("isHome"), F.col("homeTeam"), F.col("awayTeam")),
@@ -148,6 +148,6 @@ def pipeline(
     """(play-by-play with features, xG when a model is given and wide on-ice columns, players)."""
     games = feeds.parse_game(payloads)
     shifts = build_shifts(shift_reports, games)
-    features = engineer_xg_features(build_pbp(event_reports, games, shifts))
+    features = engineer_xg_features(build_pbp(event_reports, games, shifts), order="#")
     scored = predict_xg(features, model) if model is not None else features.withColumn("xG", F.lit(None).cast("double"))
     return onice.on_ice_wide(scored, max_skaters=max_skaters), build_players(shifts)

@@ -114,6 +114,8 @@ def parse_feed(
 ) -> DataFrame:
     """Records of a feed from a table with one payload per row, with ``source`` and ``scrapedOn``.
 
+    ``raw`` is the record as it came, with the fields that have no column of their own.
+
     Elements that are no objects and payloads of another shape are left out (``bad_payloads`` lists the
     latter). ``record`` overrides the record schema, ``keep`` carries columns of the payload table along,
     ``extra`` gives constants such as the draft ``year``.
@@ -122,7 +124,7 @@ def parse_feed(
     rows = payloads.select(*keep, F.explode(_records(F.col(payload), feed)).alias("r")).where(
         F.ltrim("r").startswith("{")
     )
-    out = rows.select(*keep, F.from_json("r", record or feed.record).alias("r")).select(*keep, "r.*")
+    out = rows.select(*keep, F.from_json("r", record or feed.record).alias("r"), F.col("r").alias("raw")).select(*keep, "r.*", "raw")
     for c, kind in feed.extra.items():
         if c in extra:
             out = out.withColumn(c, F.lit(extra[c]).cast(kind))
@@ -179,7 +181,7 @@ def plays(games: DataFrame) -> DataFrame:
 
 
 def roster_spots(games: DataFrame) -> DataFrame:
-    """(gameId, teamId, playerId, sweaterNumber, positionCode, fullName, headshot, isHome)."""
+    """(gameId, teamId, playerId, sweaterNumber, positionCode, names, headshot, isHome)."""
     s = F.col("s")
     return games.select(
         F.col("id").alias("gameId"), F.col("homeTeam.id").alias("homeId"), F.explode("rosterSpots").alias("s")
@@ -187,6 +189,7 @@ def roster_spots(games: DataFrame) -> DataFrame:
         "gameId", s["teamId"].alias("teamId"), s["playerId"].alias("playerId"),
         s["sweaterNumber"].alias("sweaterNumber"), s["positionCode"].alias("positionCode"),
         F.concat(s["firstName"]["default"], F.lit(" "), s["lastName"]["default"]).alias("fullName"),
+        s["firstName"]["default"].alias("firstName"), s["lastName"]["default"].alias("lastName"),
         s["headshot"].alias("headshot"),
         F.coalesce((s["teamId"] == F.col("homeId")).cast("int"), F.lit(0)).alias("isHome"),
     )
@@ -219,11 +222,11 @@ def enrich_plays(play_rows: DataFrame, meta: DataFrame, replay: DataFrame | None
     from icetally.operators.joins import join_dimension
 
     facts = meta.select("gameId", "venue", "venueLocation", *META)
-    out = join_dimension(play_rows, facts, ["gameId"], "seq")
+    out = join_dimension(play_rows, facts, ["gameId"])
     if replay is None:
         return stamp(out.withColumn("pptReplayData", F.lit(None).cast("string")), "NHL Play-by-Play API")
     game, event = replay_ids(F.col("path"))
     data = replay.select(
-        game.alias("gameId"), event.alias("eventId"), F.col("payload").alias("pptReplayData")
-    ).dropDuplicates(["gameId", "eventId"])
+        game.alias("gameId"), event.alias("eventId"), "path", "payload"
+    ).groupBy("gameId", "eventId").agg(F.max_by("payload", "path").alias("pptReplayData"))
     return stamp(out.join(data, ["gameId", "eventId"], "left"), "NHL Play-by-Play API")

@@ -17,7 +17,6 @@ from icetally.functions.clock import clock_part, jersey_number, mmss_to_seconds,
 ROW = r"""(?s)<[tT][rR]\b[^>]*\b[cC][lL][aA][sS][sS]\s*=\s*["']?(?:[^"'>]*\s)?(?:oddColor|evenColor)(?=[\s"'>])[^>]*>"""
 CELL = r"(?is)<td\b[^>]*>(.*?)</td>"
 HEADING = r"""(?is)<td\b[^>]*\bclass\s*=\s*["']?[^"'>]*\b%s\b[^>]*>(.*?)</td>"""
-TOTAL_ROW = ROW + r"(?i:\s*<td\b[^>]*>(?:\s|&nbsp;|<(?!/?td)[^>]*>)*)TOT(?=(?:\s|&nbsp;|<(?!/?td)[^>]*>)*</td)"
 POSITIONS = ("C", "L", "R", "D", "G")
 
 
@@ -60,7 +59,8 @@ def _decoded(c: Column) -> Column:
 
 def inner_text(c: Column) -> Column:
     """Text of a piece of markup: every text node trimmed, then joined without separator."""
-    return _decoded(F.regexp_replace(_spaced(c), r"\s*<[^>]*>\s*", ""))
+    # a run of blanks is looked at from its start only, however long it is
+    return _decoded(F.regexp_replace(_spaced(c), r"(?<!\s)\s*+<[^>]*+>\s*+", ""))
 
 
 def _after_first(pieces: Column) -> Column:
@@ -76,40 +76,55 @@ def _flat_cells(row: Column) -> Column:
 # --- event rows ---------------------------------------------------------------------------------
 
 OPEN, CLOSE, HOLE = "\u0001", "\u0002", "\u0003"
-MAX_NESTING = 5
 
 
-def _nested_table() -> str:
-    """Pattern of a whole table between OPEN and CLOSE marks, tables inside it included."""
-    text = f"[^{OPEN}{CLOSE}]*+"
-    inside = text
-    for _ in range(MAX_NESTING - 1):
-        inside = f"{text}(?:{OPEN}{inside}{CLOSE}{text})*+"
-    return f"{OPEN}({inside}){CLOSE}"
+def _table_numbers(pieces: Column) -> Column:
+    """For each piece of a text cut at its table marks, the number of the outermost table it lies in; 0 outside.
+
+    A depth counter goes over the pieces, so tables may be nested as deep as they like. A closing mark without
+    its opening one belongs to a table around the row and counts as outside.
+    """
+    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("tables"), F.array().cast("array<int>").alias("of"))
+
+    def step(s: Column, piece: Column) -> Column:
+        opens, closes = piece == OPEN, piece == CLOSE
+        tables = s["tables"] + (opens & (s["depth"] == 0)).cast("int")
+        depth = F.greatest(s["depth"] + opens.cast("int") - closes.cast("int"), F.lit(0))
+        inside = (depth > 0) | (closes & (s["depth"] > 0))
+        return F.struct(
+            depth.alias("depth"), tables.alias("tables"),
+            F.concat(s["of"], F.array(F.when(inside, tables).otherwise(0))).alias("of"),
+        )
+
+    return F.aggregate(pieces, start, step, lambda s: s["of"])
 
 
 def extract_rows(reports: DataFrame) -> DataFrame:
     """One row per data row of each report: ``seq``, ``cells`` and the nested-table texts ``ice``.
 
-    A row's on-ice lists are tables inside its cells, nested two deep (up to MAX_NESTING). Tables are marked by single characters, whole ones
-    taken out as texts, and what is left is cut at the row's own end and split into cells.
+    A row's on-ice lists are tables inside its cells, nested to any depth. Tables are marked by single characters;
+    what lies in an outermost table becomes one text, and what is left is cut at the row's own end and split into
+    cells.
     """
     kept = [c for c in reports.columns if c != "html"]
-    table = _nested_table()
     marked = F.regexp_replace(
         F.regexp_replace("chunk", r"(?i)<table\b[^>]*>", OPEN), r"(?i)</table\s*>", CLOSE
     )
+    either = f"(?<=[{OPEN}{CLOSE}])|(?=[{OPEN}{CLOSE}])"
     rows = (
         _filled(reports)
         .select(*kept, F.posexplode(_after_first(F.split("html", ROW))).alias("seq", "chunk"))
-        .select(*kept, "seq", marked.alias("marked"))
-        .select(
-            *kept, "seq", "marked",
-            F.split(F.regexp_replace("marked", table, HOLE), "(?i)</tr>", 2).getItem(0).alias("own"),
-        )
+        .select(*kept, "seq", F.explode(F.array(F.split(marked, either))).alias("pieces"))
+        .select(*kept, "seq", "pieces", F.explode(F.array(_table_numbers(F.col("pieces")))).alias("of"))
     )
-    tables = F.slice(
-        F.regexp_extract_all("marked", F.lit(table), 1), F.lit(1), F.size(F.split("own", HOLE)) - 1
+    number = lambda i: F.get("of", i)
+    first = lambda i: (number(i) > 0) & ((i == 0) | (number(i) != F.coalesce(F.get("of", i - 1), F.lit(0))))
+    outside = F.transform("pieces", lambda p, i: F.when(number(i) == 0, F.translate(p, CLOSE, "")).when(first(i), F.lit(HOLE)).otherwise(""))
+    own = F.split(F.array_join(outside, ""), "(?i)</tr>", 2).getItem(0)
+    rows = rows.select(*kept, "seq", "pieces", "of", F.explode(F.array(own)).alias("own"))
+    tables = F.transform(
+        F.sequence(F.lit(0), F.size(F.split("own", HOLE)) - 1),
+        lambda k: F.translate(F.array_join(F.filter("pieces", lambda p, i: number(i) == k), ""), OPEN + CLOSE, ""),
     )
     cells = F.filter(
         F.regexp_extract_all("own", F.lit(CELL), 1), lambda c: ~F.contains(c, F.lit(HOLE))
@@ -117,7 +132,7 @@ def extract_rows(reports: DataFrame) -> DataFrame:
     return rows.where(F.col("own").rlike(r"(?i)</td>")).select(
         *kept, F.col("seq").cast("bigint").alias("seq"),
         F.transform(cells, inner_text).alias("cells"),
-        F.transform(tables, lambda t: inner_text(F.translate(t, OPEN + CLOSE, ""))).alias("ice"),
+        F.transform(_after_first(tables), inner_text).alias("ice"),
     )
 
 
@@ -174,35 +189,45 @@ def _shift_groups(reports: DataFrame) -> DataFrame:
     """Rows of shift reports next to the player they belong to.
 
     A TOT row ends a player's rows; the k-th group of rows belongs to the k-th player heading, groups
-    and headings without partner drop out, and of equal headings the last counts. The document is cut
-    at its TOT rows, then each group into rows.
+    and headings without partner drop out, and of equal headings the last counts. The document is cut into
+    rows once; a row's group is one more than that of the row before if a TOT row lies between.
+
+    ``seq`` orders the rows of a game: home before away, then part of the report, then place in it.
     """
     kept = [c for c in reports.columns if c != "html"]
-    groups = F.filter(F.split("html", TOTAL_ROW), lambda g: g.rlike(ROW))
+    cells = F.transform(
+        _after_first(F.split("html", ROW)), lambda r: _flat_cells(F.split(r, "(?i)</tr>", 2).getItem(0))
+    )
     docs = _filled(reports).select(
-        *kept, groups.alias("groups"),
+        *kept, F.explode(F.array(cells)).alias("rows"),
         F.transform(F.regexp_extract_all("html", F.lit(HEADING % "playerHeading"), 1), inner_text).alias("players"),
         inner_text(F.regexp_extract("html", HEADING % "teamHeading", 1)).alias("team"),
     )
+    total = lambda cells: F.coalesce(F.get(cells, F.lit(0)) == "TOT", F.lit(False))
+    start = F.struct(F.lit(-1).alias("k"), F.lit(True).alias("ended"), F.array().cast("array<int>").alias("of"))
+
+    def step(s: Column, cells: Column) -> Column:
+        k = s["k"] + (s["ended"] & ~total(cells)).cast("int")
+        return F.struct(
+            k.alias("k"), total(cells).alias("ended"),
+            F.concat(s["of"], F.array(F.when(~total(cells), k))).alias("of"),
+        )
+
     player = F.get("players", F.col("k"))
+    side = F.when(F.col("team_type") == "Home", 0).otherwise(1).cast("bigint") if "team_type" in kept else F.lit(0).cast("bigint")
+    part = F.coalesce(F.col("part").cast("bigint"), F.lit(0)) if "part" in kept else F.lit(0).cast("bigint")
+    numbered = docs.select(
+        *kept, "team", "players", "rows", F.explode(F.array(F.aggregate("rows", start, step, lambda s: s["of"]))).alias("of")
+    ).withColumn("matched", F.least(F.size("players"), F.coalesce(F.array_max("of") + 1, F.lit(0))))
     later = F.slice("players", F.col("k") + 2, F.greatest(F.col("matched") - F.col("k") - 1, F.lit(0)))
     return (
-        docs.select(
-            *kept, "team", "players", F.least(F.size("players"), F.size("groups")).alias("matched"),
-            # the outer form, as the plain one would cut the document twice to drop empty lists first
-            F.posexplode_outer("groups").alias("k", "group"),
-        )
+        numbered.select(*kept, "team", "players", "matched", "of", F.posexplode("rows").alias("i", "cells"))
+        .withColumn("k", F.get("of", F.col("i")))
         .where(F.col("k") < F.col("matched"))
         .where(~F.array_contains(later, player))
         .select(
-            *kept, "team", "k", player.alias("player_name"),
-            F.posexplode(_after_first(F.split("group", ROW))).alias("i", "row"),
-        )
-        .select(
-            *kept, (F.shiftleft(F.col("k").cast("bigint"), 32) + F.col("i")).alias("seq"),
-            # generated, so that later conditions on the cells do not work them out again
-            F.explode(F.array(_flat_cells(F.split("row", "(?i)</tr>", 2).getItem(0)))).alias("cells"), "player_name",
-            jersey_number(F.col("player_name")).alias("jersey_number"),
+            *kept, (F.shiftleft(side, 60) + F.shiftleft(part, 40) + F.col("i")).alias("seq"),
+            "cells", player.alias("player_name"), jersey_number(player).alias("jersey_number"),
             F.when(F.col("team") != "", F.col("team"))
             .otherwise(F.concat(F.lit("Unknown "), F.col("team_type"))).alias("team_name"),
         )

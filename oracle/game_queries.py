@@ -28,7 +28,7 @@ SQL = {
   b as elapsed_time_end, 30 as duration_seconds, case when known.g is not null then 'AAA' end as homeTeam, case when known.g is not null then 'BBB' end as awayTeam
  from sh left join known using (g)""",
     "game_players": f"""with {GAMES}
- select distinct sh.g as gameId, 1000+pid as playerId, 'F'||pid||' L'||pid as fullName, case when home then 'AAA' else 'BBB' end as team,
+ select distinct sh.g as gameId, 1000+pid as playerId, 'F'||pid||' L'||pid as fullName, 'F'||pid as firstName, 'L'||pid as lastName, case when home then 'AAA' else 'BBB' end as team,
   case when pid<2 then 'G' when pid%3<>0 then 'D' else 'F' end as position, cast(10+pid as int) as sweaterNumber
  from sh join known using (g)""",
     "game_pbp": f"""with {GAMES}
@@ -45,13 +45,16 @@ SQL = {
   cast(hn-2 as int) as unmapped_count
  from plays p
  union all
- select ch.g, null, ch.Event, ch.period, ch.t, null, case when home then 'AAA' else 'BBB' end, 1000+pid, 'F'||pid||' L'||pid,
+ select ch.g, null, ch.Event, ch.period, ch.t,
+  (select count(*) from plays b where b.g=ch.g and (b.elapsedTime, b.rank) <= (ch.t, 8))
+   + (select count(*) from ch c where c.g=ch.g and (c.t, c.Event='OFF', not c.home, c.pid, c.event_id) <= (ch.t, ch.Event='OFF', not ch.home, ch.pid, ch.event_id)),
+  case when home then 'AAA' else 'BBB' end, 1000+pid, 'F'||pid||' L'||pid,
   coalesce((select arg_max(hs, (b.elapsedTime, b.rank, b.event_id)) from plays b where b.g=ch.g and (b.elapsedTime, b.rank) < (ch.t, 8)),0),
   null, case when ch.t<m then h||'v'||w end,
   case when ch.t<m then h||case when hg=0 then '*' else '' end||'v'||w||case when wg=0 then '*' else '' end end, null, null, null, null, null
  from ch join lab on lab.g=ch.g and lab.t=ch.t join tail on tail.g=ch.g""",
     "game_pipeline": f"""with {GAMES},
- o as (select *, lag(Event) over (partition by g order by elapsedTime, event_id) as pe, lag(elapsedTime) over (partition by g order by elapsedTime, event_id) as pt from plays)
+ o as (select *, lag(Event) over (partition by g order by elapsedTime, rank, event_id) as pe, lag(elapsedTime) over (partition by g order by elapsedTime, rank, event_id) as pt from plays)
  select g as gameId, event_id as eventId, Event, case when xCoord<0 then -xCoord else xCoord end as x_norm, pe as previousEvent, elapsedTime-pt as timeDiff,
   h1 as home_skater_id_1, 'F'||(h2-1000)||' L'||(h2-1000) as home_skater_name_2, a2 as away_skater_id_2,
   cast(case when hn=2 then 1000 end as bigint) as home_goalie_id, 'F1 L1' as away_goalie_name, Event='GOAL' as isGoal from o""",

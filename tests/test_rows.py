@@ -112,7 +112,7 @@ def test_shift_strengths(spark):
 def test_salted_join(spark):
     rows = spark.range(500).select(F.when(F.col("id") < 400, 1).otherwise(F.col("id")).alias("gameId"), F.col("id").alias("seq"))
     dim = spark.createDataFrame([(1, "x"), (450, "y")], "gameId long, v string")
-    got = joins.join_dimension(rows, dim, ["gameId"], "seq")
+    got = joins.join_dimension(rows, dim, ["gameId"])
     assert got.count() == 500 and got.where("v = 'x'").count() == 400 and got.where("v = 'y'").count() == 1
 
 
@@ -167,6 +167,16 @@ def test_features(spark):
     assert {r.seq: r for r in asked.collect()}[4].isRebound is True
 
 
+def test_previous_play_in_final_order(spark):
+    """Three plays of one second: the final order has the stoppage first, the source the penalty."""
+    rows = [(1, 1, 180, "PENL", 2), (1, 2, 180, "STOP", 1), (1, 3, 180, "FAC", 3)]
+    df = spark.createDataFrame(rows, "gameId int, seq int, elapsedTime int, Event string, `#` int")
+    got = {r.Event: r.previousEvent for r in xg.engineer_xg_features(df, order="#").collect()}
+    assert got == {"STOP": None, "PENL": "STOP", "FAC": "PENL"}
+    got = {r.Event: r.previousEvent for r in xg.engineer_xg_features(df).collect()}
+    assert got == {"PENL": None, "STOP": "PENL", "FAC": "STOP"}
+
+
 def test_align(spark):
     df = spark.createDataFrame([(1.0, 2.0)], "a double, b double")
     got = xg.align_columns(df, ["b", "z", "b"])

@@ -35,6 +35,42 @@ EVENTS = "<html><table>" + "".join([
 ]) + "</table><table><tr><td>99C98C97C</td></tr></table></html>"
 
 
+def deep(text, depth):
+    for _ in range(depth):
+        text = f"<table><tr><td>{text}</td></tr></table>"
+    return text
+
+
+def test_nesting_has_no_bound(spark):
+    row = '<tr class="oddColor"><td>1</td><td>2</td><td>{a}</td><td>{h}</td></tr>'
+    html = "<table>" + "".join(row.format(a=deep("18C71C7L", d), h=deep("8C9D10D", d)) for d in range(1, 9)) + "</table>"
+    rows = reports.extract_rows(spark.createDataFrame([(html,)], "html string")).orderBy("seq").collect()
+    assert [(r.cells, r.ice) for r in rows] == [(["1", "2"], ["18C71C7L", "8C9D10D"])] * 8
+    # a row without lists, and one whose table is never closed
+    odd = '<tr class="oddColor"><td>1</td></tr><tr class="oddColor"><td>2</td><td><table><tr><td>x</td></tr>'
+    assert [r.cells for r in reports.extract_rows(spark.createDataFrame([(odd,)], "html string")).orderBy("seq").collect()] == [["1"], ["2"]]
+
+
+def test_long_blanks_do_not_end_the_job(spark):
+    blanks = " " * 100_000 + "&nbsp;" * 1000
+    doc = shift_doc("HOMES", [("8 HOME, EIGHT", [("1", "0:00", "1:00", "01:00")]), ("9 HOME, NINE", [("1", "0:00", "0:45", "00:45")])])
+    doc = doc.replace("<td>1</td><td>1</td>", f"<td>{blanks}1{blanks}</td><td>1</td>").replace("<td>TOT</td>", f"<td>{blanks}<b>TOT</b>{blanks}</td>")
+    rows = reports.shift_rows(spark.createDataFrame([(1, "Home", doc)], "gameId int, team_type string, html string")).orderBy("seq").collect()
+    assert [(r.player_name, r.shift_number) for r in rows] == [("8 HOME, EIGHT", 1), ("9 HOME, NINE", 1)]
+
+
+def test_shift_order_is_unique_in_a_game(spark):
+    docs = spark.createDataFrame([(1, "Away", 0, AWAY), (1, "Home", 0, HOME), (1, "Home", 1, HOME)], "gameId int, team_type string, part int, html string")
+    rows = reports.shift_rows(docs).orderBy("seq").collect()
+    assert len({r.seq for r in rows}) == len(rows)
+    assert [(r.team_type, r.part) for r in rows] == sorted(((r.team_type, r.part) for r in rows), key=lambda x: (x[0] != "Home", x[1]))
+
+
+def test_records_keep_unlisted_fields(spark):
+    df = spark.createDataFrame([(json.dumps({"games": [{"id": 1, "season": 2, "oddField": {"x": [1]}}]}),)], "payload string")
+    assert json.loads(feeds.parse_feed(df, "schedule").first().raw)["oddField"] == {"x": [1]}
+
+
 def shift_doc(team, players):
     out = [f'<table><tr><td class="teamHeading + border">{team}</td></tr>']
     for name, shifts in players:

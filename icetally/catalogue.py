@@ -64,7 +64,8 @@ ICE: dict[str, Query] = {
     "shared_toi_opponents": _on_pbp(pairs.shared_toi_opponents),
     "combos_teammates": _on_pbp(combos.teammate_combo_toi),
     "combos_opponents": _on_pbp(combos.player_vs_opponent_combo_toi),
-    "combo_toi": _on_pbp(lambda p: combos.combo_toi(p, 2, 1, min_seconds=10)),
+    "combo_toi": _on_pbp(lambda p: combos.combo_toi(p, 2, 1)),
+    "combo_toi_long": _on_pbp(lambda p: combos.combo_toi(p, 2, 1, min_seconds=10)),
     "combo_on_ice_stats": _on_pbp(lambda p: combos.combo_on_ice_stats(p, "AAA", rates=True), True),
     "combo_on_ice_stats_both": _combo_both,
     "combo_shot_metrics": _on_pbp(combos.combo_shot_metrics),
@@ -93,8 +94,7 @@ def _shift_event_strength(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _spots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Roster spots of every game: its players with the roster's names and numbers."""
     players = fixtures.shifts(spark, sf_dir).select("gameId", "playerId").distinct()
-    # the roster has 24 rows by its key filter
-    return players.join(F.broadcast(fixtures.roster(spark, sf_dir)), "playerId").drop("positionCode")
+    return players.join(fixtures.roster(spark, sf_dir), ["gameId", "playerId"]).drop("positionCode")
 
 
 def _attach_roster(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,19 +194,22 @@ def _on_ice_strengths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _on_ice_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Jersey lists to ids and names through one map per game."""
-    spots = _spots(spark, sf_dir).where("isHome = 1")
-    maps = jersey_maps(spots, ["gameId"])
-    rows = _plays(spark, sf_dir).select(
-        "event_id", (F.col("event_id") % 10).alias("gameId"),
-        F.array(*[(F.col("event_id") * i % 14 + 8).cast("string") for i in (1, 2, 3)]).alias("home_on_ice"),
+    spots = _spots(spark, sf_dir)
+    out = _plays(spark, sf_dir).select(
+        "event_id", (F.col("event_id") % 97).alias("gameId"),
+        *[F.array(*[(F.col("event_id") * i % 14 + low).cast("string") for i in (1, 2, 3)]).alias(f"{side}_on_ice")
+          for side, low in (("home", 8), ("away", 20))],
     )
-    joined = joins.join_dimension(rows, maps, ["gameId"])
-    out = onice.map_on_ice(joined, {"home_on_ice": "home_on_id"}, "ids")
-    out = onice.map_on_ice(out, {"home_on_ice": "home_on_full_name"}, "names", keep_text=True)
+    for side, flag in (("home", 1), ("away", 0)):
+        maps = jersey_maps(spots.where(F.col("isHome") == flag), ["gameId"])
+        out = joins.join_dimension(out, maps, ["gameId"])
+        out = onice.map_on_ice(out, {f"{side}_on_ice": f"{side}_on_id"}, "ids")
+        out = onice.map_on_ice(out, {f"{side}_on_ice": f"{side}_on_full_name"}, "names", keep_text=True).drop("ids", "names")
+    unmapped = onice.unmapped_count("home_on_id") + onice.unmapped_count("away_on_id")
     return out.select(
         "event_id", "gameId",
-        F.transform("home_on_id", lambda x: F.coalesce(x, F.lit(-1))).alias("home_on_id"),
-        "home_on_full_name", onice.unmapped_count("home_on_id").alias("unmapped_count"),
+        *[F.transform(f"{side}_on_id", lambda x: F.coalesce(x, F.lit(-1))).alias(f"{side}_on_id") for side in ("home", "away")],
+        "home_on_full_name", "away_on_full_name", unmapped.alias("unmapped_count"),
     )
 
 

@@ -11,10 +11,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def roster(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """24 players."""
-    k = F.col("c_custkey")
-    return table(spark, sf_dir, "customer").where(k < 24).select(
-        k.alias("playerId"), F.col("c_name").alias("fullName"),
+    """Every customer has a seat: 24 players in each game."""
+    key = F.col("c_custkey")
+    k = key % 24
+    return table(spark, sf_dir, "customer").select(
+        F.floor(key / 24).alias("gameId"), k.alias("playerId"), F.col("c_name").alias("fullName"),
         F.when(k < 12, 1).otherwise(0).alias("isHome"),
         F.when(k % 12 == 0, "G").when(k % 12 < 5, "D").when(k % 3 == 0, "L").otherwise("C").alias("positionCode"),
         (k + 10).cast("int").alias("sweaterNumber"),
@@ -62,11 +63,10 @@ def pbp(spark: SparkSession, sf_dir: str, names: bool = False) -> DataFrame:
         F.when(k % 20 == 1, 1).otherwise(0).alias("pulled_away"),
     )
     if names:
-        # twelve names, bounded by the key filter of roster()
         who = roster(spark, sf_dir).select(
-            F.col("playerId").alias("player1Id"), F.col("fullName").alias("player1Name")
+            "gameId", F.col("playerId").alias("player1Id"), F.col("fullName").alias("player1Name")
         )
-        out = out.join(F.broadcast(who), "player1Id", "left")
+        out = out.join(who, ["gameId", "player1Id"], "left")
     return out
 
 

@@ -27,10 +27,10 @@ pbp as (
 
 ROSTER = """
 roster as (
- select c_custkey as playerId, c_name as fullName, case when c_custkey<12 then 1 else 0 end as isHome,
+ select c_custkey//24 as gameId, c_custkey%24 as playerId, c_name as fullName, case when c_custkey%24<12 then 1 else 0 end as isHome,
   case when c_custkey%12=0 then 'G' when c_custkey%12<5 then 'D' when c_custkey%3=0 then 'L' else 'C' end as positionCode,
-  cast(c_custkey+10 as int) as sweaterNumber
- from customer where c_custkey<24
+  cast(c_custkey%24+10 as int) as sweaterNumber
+ from customer
 )"""
 
 SHIFTS = """

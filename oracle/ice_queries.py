@@ -6,7 +6,7 @@ NAMED_LAST = """names as (
  select gameId, player1Id, max_by(fullName, o) as name, max_by(eventTeam, o) as team from (
   select p.gameId, p.player1Id, r.fullName, p.eventTeam,
    (cast(p.elapsedTime as bigint)*2 + case when p.Event='ON' then 1 else 0 end) * 1000000000 + p.seq as o
-  from pbp p left join roster r on r.playerId=p.player1Id where p.Event in ('ON','OFF')) group by 1,2)"""
+  from pbp p left join roster r on r.playerId=p.player1Id and r.gameId=p.gameId where p.Event in ('ON','OFF')) group by 1,2)"""
 
 # plays with the second whose ice they see and their credit from the view of team `v`
 CREDIT = """
@@ -115,16 +115,16 @@ def combo_stats(n: int, m: int, min_toi: int, both: bool) -> str:
 
     def nm(col):
         if both:
-            return f"(select fullName from roster r where r.playerId=t.{col})"
+            return f"(select fullName from roster r where r.playerId=t.{col} and r.gameId=t.gameId)"
         return f"(select name from names r where r.player1Id=t.{col} and r.gameId=t.gameId)"
 
-    team_combo = " || ' / ' || ".join(nm(f"p{i}") for i in range(1, n + 1))
-    opp_combo = " || ' / ' || ".join(nm(f"o{i}") for i in range(1, m + 1)) if m else "'ANY'"
+    team_combo = " || ' / ' || ".join(f"coalesce({nm(f'p{i}')}, cast(t.p{i} as varchar))" for i in range(1, n + 1))
+    opp_combo = " || ' / ' || ".join(f"coalesce({nm(f'o{i}')}, cast(t.o{i} as varchar))" for i in range(1, m + 1)) if m else "'ANY'"
     extra = ""
     if both:
         def pos(col):
             return (f"(select case when positionCode in ('F','D','G') then positionCode end from roster r"
-                    f" where r.playerId=t.{col})")
+                    f" where r.playerId=t.{col} and r.gameId=t.gameId)")
 
         def sig(prefix, count):
             if not count:
@@ -139,7 +139,7 @@ def combo_stats(n: int, m: int, min_toi: int, both: bool) -> str:
             for i in range(1, count + 1):
                 extra += (f", t.{prefix}{i} as {out}{i}Id, {nm(f'{prefix}{i}')} as {out}{i}Name,"
                           f" {pos(f'{prefix}{i}')} as {out}{i}Position,"
-                          f" (select sweaterNumber from roster r where r.playerId=t.{prefix}{i}) as {out}{i}Number,"
+                          f" (select sweaterNumber from roster r where r.playerId=t.{prefix}{i} and r.gameId=t.gameId) as {out}{i}Number,"
                           f" cast(null as varchar) as {out}{i}Headshot")
         extra += ", " + " || ',' || ".join(f"cast(t.p{i} as varchar)" for i in range(1, n + 1)) + " as team_combo_ids"
         extra += (", " + " || ',' || ".join(f"cast(t.o{i} as varchar)" for i in range(1, m + 1)) if m else ", cast(null as varchar)") + " as opp_combo_ids"
@@ -234,7 +234,8 @@ SQL = {
  join lab on lab.gameId=a.gameId and lab.s=a.s group by 1,2,3,4,5,6""",
     "combos_teammates": combo_toi(3, 0),
     "combos_opponents": combo_toi(1, 2, goalies_team=True, player=True),
-    "combo_toi": combo_toi(2, 1, min_seconds=10),
+    "combo_toi": combo_toi(2, 1),
+    "combo_toi_long": combo_toi(2, 1, min_seconds=10),
     "combo_on_ice_stats": combo_stats(2, 0, 15, both=False),
     "combo_on_ice_stats_both": combo_stats(2, 1, 15, both=True),
     "combo_shot_metrics": combo_shots(),

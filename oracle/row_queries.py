@@ -115,7 +115,7 @@ SQL = {
  select ev.*, team_str_home as gameStrength, home_strength || 'v' || away_strength as detailedGameStrength
  from ev left join lab on lab.gameId=ev.gameId and lab.t_start<=ev.elapsedTime and ev.elapsedTime<lab.t_end""",
     "attach_roster": f"""with {SHIFTS}, {ROSTER},
- spots as (select distinct s.gameId, r.playerId, r.fullName, r.isHome, r.sweaterNumber from shifts s join roster r on r.playerId=s.playerId)
+ spots as (select distinct s.gameId, r.playerId, r.fullName, r.isHome, r.sweaterNumber from shifts s join roster r on r.playerId=s.playerId and r.gameId=s.gameId)
  select s.shift_id, s.gameId, s.isHome, cast(s.playerId+9 as int) as jersey_number, s.elapsed_time_start, p.playerId, p.fullName
  from shifts s left join spots p on p.gameId=s.gameId and p.isHome=s.isHome and p.sweaterNumber=s.playerId+9""",
     "attach_position": f"""with {SHIFTS}, {EVENTS}
@@ -152,13 +152,16 @@ SQL = {
   case when a>0 then case when isHome=1 then h || 'v' || a else a || 'v' || h end end as gameStrength,
   case when a>0 then case when isHome=1 then hs || 'v' || as_ else as_ || 'v' || hs end end as detailedGameStrength from d""",
     "on_ice_mapping": f"""with {PBP}, {SHIFTS}, {ROSTER},
- spots as (select distinct s.gameId, r.playerId, r.fullName, r.sweaterNumber from shifts s
-   join roster r on r.playerId=s.playerId where r.isHome=1),
- e as (select event_id, event_id%10 as gameId, i, event_id*i%14+8 as j from pbp, (select unnest([1,2,3]) as i) x where Event not in ('ON','OFF'))
- select e.event_id, e.gameId, string_agg(cast(coalesce(playerId,-1) as varchar), ',' order by i) as home_on_id,
-  string_agg(coalesce(fullName, cast(j as varchar)), ',' order by i) as home_on_full_name,
+ spots as (select distinct s.gameId, r.playerId, r.fullName, r.sweaterNumber, r.isHome from shifts s
+   join roster r on r.playerId=s.playerId and r.gameId=s.gameId),
+ e as (select event_id, event_id%97 as gameId, i, home, event_id*i%14+case when home=1 then 8 else 20 end as j
+  from pbp, (select unnest([1,2,3]) as i) x, (select unnest([0,1]) as home) y where Event not in ('ON','OFF'))
+ select e.event_id, e.gameId, string_agg(cast(coalesce(playerId,-1) as varchar), ',' order by i) filter (home=1) as home_on_id,
+  string_agg(coalesce(fullName, cast(j as varchar)), ',' order by i) filter (home=1) as home_on_full_name,
+  string_agg(cast(coalesce(playerId,-1) as varchar), ',' order by i) filter (home=0) as away_on_id,
+  string_agg(coalesce(fullName, cast(j as varchar)), ',' order by i) filter (home=0) as away_on_full_name,
   cast(count(*) filter (playerId is null) as int) as unmapped_count
- from e left join spots s on s.gameId=e.gameId and s.sweaterNumber=e.j group by 1,2""",
+ from e left join spots s on s.gameId=e.gameId and s.isHome=e.home and s.sweaterNumber=e.j group by 1,2""",
     "event_players": f"""with {PBP}
  select event_id, event_api, Event, cast({RANK} as int) as rank,
   user_id*100 + case Event when 'FAC' then 0 when 'HIT' then 2 when 'BLOCK' then 4 when 'SHOT' then 4 when 'MISS' then 4

@@ -364,10 +364,20 @@ def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return xg.predict_xg(feats, model).select("event_id", "gameId", "Event", "xG")
 
 
+def _xg_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold for the scores of any model: a score exactly on the shot rows, inside [0, 1], no row lost."""
+    score = F.col("xG")
+    return _scores(spark, sf_dir).groupBy("Event").agg(
+        F.count("*").alias("n"), F.count(score).alias("scored"),
+        F.count(F.when(~score.between(0, 1), 1)).alias("outside"), F.countDistinct("event_id").alias("events"),
+    )
+
+
 SHOTS: dict[str, Query] = {
     "xg_features": lambda s, d: tidy(_features(s, d).select(*_FEATURES)),
     "shots_design_matrix": lambda s, d: tidy(_design(s, d)),
     "xg_scores": lambda s, d: tidy(_scores(s, d)),
+    "xg_frame": _xg_frame,
 }
 
 # --- reports --------------------------------------------------------------------------------------

@@ -46,6 +46,7 @@ EVENT_PLAYERS = {
     "failed-shot-attempt": ("shootingPlayerId",),
 }
 
+# Event codes by kind, and the names an expected-goals column may have.
 CHANGES = ("ON", "OFF")
 XG_EVENTS = ("GOAL", "SHOT", "MISS")
 PENALTIES = ("PENL", "PEN", "PENALTY")

@@ -200,6 +200,9 @@ SQL = {
   previousElapsedTime, round(previousEventDistanceFromGoal,6) as previousEventDistanceFromGoal,
   round(previousEventAngleSigned,6) as previousEventAngleSigned, previousEventXNorm, previousEventYNorm, timeDiff, isRebound, isGoal from f""",
     "shots_design_matrix": _design(),
+    "xg_frame": f"""with {PBP}
+ select Event, count(*) as n, count(*) filter (Event in ('GOAL','SHOT','MISS')) as scored, 0::bigint as outside,
+  count(distinct event_id) as events from pbp group by 1""",
 }
 
 SQL["shift_events_with_strength"] = SQL["shift_event_strength"]

@@ -528,8 +528,11 @@ def _ids(c: str) -> Column:
 
 
 def _game_pbp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events, _, payloads = _game_inputs(spark, sf_dir)
-    pbp = plans.build_pbp(events, feeds.parse_game(payloads), _game_shifts(spark, sf_dir))
+    events, shift_docs, payloads = _game_inputs(spark, sf_dir)
+    held: list[DataFrame] = []
+    games = plans.hold(feeds.parse_game(payloads), held)
+    shifts = plans.hold(plans.build_shifts(shift_docs, games), held)
+    pbp = plans.build_pbp(events, games, shifts, held=held)
     return tidy(pbp.select(
         "gameId", "eventId", "Event", "Per", "elapsedTime", F.col("#").alias("position"),
         "eventTeam", "player1Id", "player1Name", "homeScore", "strength", "gameStrength", "detailedGameStrength",
@@ -539,7 +542,7 @@ def _game_pbp(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _game_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wide, _ = plans.pipeline(*_game_inputs(spark, sf_dir), max_skaters=2)
+    wide, _ = plans.pipeline(*_game_inputs(spark, sf_dir), max_skaters=2, held=[])
     return tidy(wide.where(is_play(F.col("Event"))).select(
         "gameId", "eventId", "Event", "x_norm", "previousEvent", "timeDiff", "home_skater_id_1", "home_skater_name_2",
         "away_skater_id_2", "home_goalie_id", "away_goalie_name", "isGoal",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +23,24 @@ _PLAY_COLUMNS = (
 )
 
 
+def hold(df: DataFrame, held: list[DataFrame] | None) -> DataFrame:
+    """df, kept in memory and on disk if the caller gives a list to take it; ``release`` frees what the list holds.
+
+    Parsed documents are used by several branches of a whole-game plan; without holding them every branch parses
+    its own. A lost executor's part is parsed again.
+    """
+    if held is not None:
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        held.append(df)
+    return df
+
+
+def release(held: list[DataFrame]) -> None:
+    """Frees the held tables; to be called when the results have been written."""
+    while held:
+        held.pop().unpersist()
+
+
 def build_shifts(shift_reports: DataFrame, games: DataFrame) -> DataFrame:
     """Shift rows with roster spot, side, team codes and game seconds.
 
@@ -74,16 +93,18 @@ def _api_plays(games: DataFrame) -> DataFrame:
 
 
 def build_pbp(
-    event_reports: DataFrame, games: DataFrame, shifts: DataFrame, strict_compat: bool = False
+    event_reports: DataFrame, games: DataFrame, shifts: DataFrame, strict_compat: bool = False,
+    held: list[DataFrame] | None = None,
 ) -> DataFrame:
     """Report rows joined to feed plays, with on-ice lists and strengths, merged with ON/OFF rows into
     one ordered table per game.
 
-    ``strict_compat`` leaves period 5 without game seconds even in playoff games.
+    ``strict_compat`` leaves period 5 without game seconds even in playoff games. ``held`` takes the tables that are
+    kept because several branches read them (see ``hold``).
     """
-    html = reports.event_table(event_reports).withColumn("Time", F.col("timeInPeriod"))
+    html = hold(reports.event_table(event_reports), held).withColumn("Time", F.col("timeInPeriod"))
     rows = ordered.occurrence_join(html, _api_plays(games)).drop("seq_api")
-    dim = _game_dimension(games)
+    dim = hold(_game_dimension(games), held)
     rows = join_dimension(
         rows, dim.select("gameId", "gameType", "home_ids", "home_names", "away_ids", "away_names", "player_names"),
         ["gameId"],
@@ -112,6 +133,7 @@ def build_pbp(
     merged = rows.withColumn("src", F.lit(0)).unionByName(
         changes.withColumn("src", F.when(F.col("Event") == "ON", 1).otherwise(2)), allowMissingColumns=True
     )
+    merged = hold(merged, held)
     out = ordered.in_order(
         merged, ordered.canonical_keys(merged), fill=ordered.SCOREBOARD, number="#"
     ).drop("merge_idx")
@@ -143,11 +165,12 @@ def build_players(shifts: DataFrame) -> DataFrame:
 
 def pipeline(
     event_reports: DataFrame, shift_reports: DataFrame, payloads: DataFrame, model: PipelineModel | None = None,
-    max_skaters: int = 6,
+    max_skaters: int = 6, held: list[DataFrame] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(play-by-play with features, xG when a model is given and wide on-ice columns, players)."""
-    games = feeds.parse_game(payloads)
-    shifts = build_shifts(shift_reports, games)
-    features = engineer_xg_features(build_pbp(event_reports, games, shifts), order="#")
+    games = hold(feeds.parse_game(payloads), held)
+    shifts = hold(build_shifts(shift_reports, games), held)
+    pbp = hold(build_pbp(event_reports, games, shifts, held=held), held)
+    features = engineer_xg_features(pbp, order="#")
     scored = predict_xg(features, model) if model is not None else features.withColumn("xG", F.lit(None).cast("double"))
     return onice.on_ice_wide(scored, max_skaters=max_skaters), build_players(shifts)

@@ -172,6 +172,19 @@ def test_hot_game(spark):
         assert sorted(map(str, query(pbp).collect())) == sorted(map(str, query(calm).collect()))
 
 
+def test_one_game_spreads_over_tasks(spark):
+    """The slots of a single game lie in several partitions when combinations are made of them."""
+    rows = [x for k in range(40) for x in (("ON", 120 * k, "A", 2 + 2 * (k % 4), 0), ("ON", 120 * k + 1, "B", 3 + 2 * (k % 4), 0),
+                                           ("OFF", 120 * k + 90, "A", 2 + 2 * (k % 4), 0))]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        lined = timeline.lineups(game(spark, rows))
+        used = lined.select(F.spark_partition_id().alias("p")).distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert used > 1
+
+
 def test_result_order(pbp):
     rows = sorting.in_result_order(toi.toi_by_strength(pbp), "toi_by_strength").collect()
     assert rows == sorted(rows, key=lambda r: (r.gameId, -r.seconds)) or all(

@@ -83,11 +83,16 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-#: Rows of a few numbers each up to which a table is broadcast (some 10 MB); above that it is shuffled.
-BROADCAST_ROWS = 200_000
+#: Numbers up to which a table is broadcast (some 20 MB); above that it is shuffled.
+BROADCAST_NUMBERS = 1_000_000
 
 
-def sized(small: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """small, written to the shared folder and counted: to be broadcast if it has few rows, else as it is."""
+def sized(small: DataFrame, more: Column | None = None, numbers: int = BROADCAST_NUMBERS) -> DataFrame:
+    """small, written to the shared folder and measured: to be broadcast if it holds few numbers, else as it is.
+
+    A row counts with two numbers for each column, and with `more` for what its arrays hold.
+    """
     small = cut(small)
-    return F.broadcast(small) if small.count() <= rows else small
+    each = F.lit(2 * len(small.columns)) if more is None else more + 2 * len(small.columns)
+    total = small.agg(F.sum(each.cast("bigint"))).first()[0] or 0
+    return F.broadcast(small) if total <= numbers else small

@@ -189,7 +189,7 @@ def scan(docs: DataFrame, text: str = "text", base: tuple[Rule, ...] = BASE, add
     digest, listed_rules = free_name(docs, "digest"), free_name(docs, "rules")
     found = candidates(docs, rules, text).select(F.col("digest").alias(digest), F.col("rules").alias(listed_rules))
     keyed = docs.withColumn(digest, F.md5(text_of(text).cast("binary")))
-    joined = keyed.join(sized(found), digest, "left")
+    joined = keyed.join(sized(found, F.size(listed_rules)), digest, "left")
 
     def spans_of(number: int, rule: Rule) -> Column:
         if trigram_query(rule.pattern):

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import RANKS, token_counts
+from .common import cut
 
 #: Lengths in a block of the suffix sums.
 BLOCK = 1024
@@ -32,6 +33,7 @@ def suffix_sums(lengths: DataFrame, block: int = BLOCK) -> DataFrame:
     docs_longer, tokens_longer: of documents over L; docs_total, tokens_total: of all; truncated_total: tokens
     left if each document is cut at L; quantile: the share of documents of length L or less.
     """
+    lengths = cut(lengths)  # one row per length; read three times below, and the texts are encoded once
     tokens = F.col("n_tokens") * F.col("docs")
     blocked = lengths.withColumn("block", F.expr(f"n_tokens div {block}")).withColumn("tokens", tokens)
     sums = blocked.groupBy("block").agg(F.sum("docs").alias("block_docs"), F.sum("tokens").alias("block_tokens"))

@@ -86,7 +86,7 @@ def test_boundary_follows_cost():
             if sizes.common(n, m) <= n:
                 level = sizes.level(n)
                 assert sizes.level(m) in (level, level + 1)
-                assert n + m - 2 * sizes.common(n, m) < sizes.segments(level)
+                assert n + m - 2 * sizes.common(n, m) <= sizes.differing(level) < sizes.segments(level)
 
 
 def test_components_of_long_chains(spark):
@@ -137,6 +137,18 @@ def test_lines_match_brute_force(spark):
     assert got == brute_dedup(rows, line_dedup.THRESHOLD, line_dedup.MIN_CHARS)
 
 
+def test_without_broadcasts(spark, monkeypatch):
+    """Tables too large to broadcast are shuffled, with the same results."""
+    for module in (line_dedup, ngram_join):
+        monkeypatch.setattr(module, "sized", lambda df, more=None: df)
+    rows = near_texts(4, 12)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.components_of(frame(spark, rows), 3, 80).collect()}
+    assert got == brute_components(rows, 3, 80)
+    lines = [(i, "\n".join([f"a shared line number {i % 7} of the text", f"own line of document {i} {'x' * i}"])) for i in range(25)]
+    got = {r.doc_id: r.text for r in line_dedup.deduped(frame(spark, lines), drop_emptied=False).collect()}
+    assert got == brute_dedup(lines, line_dedup.THRESHOLD, line_dedup.MIN_CHARS)
+
+
 def test_odd_rows_of_line_dedup(spark):
     kept = line_dedup.deduped(frame(spark, odd_rows(), clashes=True)).collect()
     assert kept_clashes(kept) and sorted(r.doc_id or 0 for r in kept) == [0, 1, 2, 3, 4, 5, 7, 8, 9, 10]

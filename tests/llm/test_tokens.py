@@ -80,6 +80,15 @@ def test_leaks(spark):
     assert decontaminate.leaks(docs, bench.where("false")).collect() == []
 
 
+def test_benchmark_in_several_blocks(spark, monkeypatch):
+    rng = random.Random(13)
+    items = [(i, invented(rng, 30)) for i in range(9)]
+    rows = [(i, invented(rng, 80) + " " + (items[i][1] if i < 9 else "") + " " + invented(rng, 80)) for i in range(30)]
+    monkeypatch.setattr(decontaminate, "BLOCK", 4)
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    assert {(r.doc_id, r.item_id) for r in decontaminate.leaks(frame(spark, rows), bench).collect()} == {(i, i) for i in range(9)}
+
+
 def test_lcs_and_svd(spark):
     def plain(a, b):
         last = [0] * (len(b) + 1)

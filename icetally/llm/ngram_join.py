@@ -69,10 +69,15 @@ class Sizes:
     def level(self, n: int) -> int:
         return bisect_right(self.starts, n) - 1
 
-    def segments(self, level: int) -> int:
-        """One more than the elements in which linked sets of this level and the next can differ."""
+    def differing(self, level: int) -> int:
+        """The most elements in which linked sets of this level and the next can differ."""
         n = self.starts[level + 1] - 1
-        return (n + 100 * n // self.percent) * (100 - self.percent) // (100 + self.percent) + 1
+        return (n + 100 * n // self.percent) * (100 - self.percent) // (100 + self.percent)
+
+    def segments(self, level: int) -> int:
+        """More than those elements, and some more, so that nearly all sets fill one segment more than that."""
+        least = self.differing(level) + 1
+        return least + max(2, least // 10)
 
     def partners(self, n: int, below: int) -> list[int]:
         return [m for m in range(self.least(n), min(below - 1, 100 * n // self.percent) + 1) if self.common(n, m) <= min(n, m)]
@@ -103,7 +108,11 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 def segment_keys(elements: np.ndarray, sizes: Sizes) -> np.ndarray:
-    """A hash of each segment of the set, for its own level and the one below."""
+    """A hash of each filled segment of the set, for its own level and the one below.
+
+    A set that fills more segments than a link may have differing elements agrees on a filled segment with each
+    partner. The few that fill no more get a common mark, by which they meet each other.
+    """
     x = _mixed(elements.astype(np.uint64))
     level, keys = sizes.level(len(x)), []
     for base in (level, level - 1):
@@ -113,8 +122,11 @@ def segment_keys(elements: np.ndarray, sizes: Sizes) -> np.ndarray:
         place = ((x >> np.uint64(20)) % np.uint64(parts)).astype(np.int64)
         content = np.zeros(parts, np.uint64)
         np.bitwise_xor.at(content, place, x)
-        tag = np.arange(parts, dtype=np.uint64) + np.uint64((base + 1) << 40)
-        keys.append(_mixed(content + _mixed(tag)))
+        filled = np.unique(place)
+        tag = np.arange(parts + 1, dtype=np.uint64) + np.uint64((base + 1) << 40)
+        keys.append(_mixed(content[filled] + _mixed(tag[filled])))
+        if len(filled) <= sizes.differing(base):
+            keys.append(_mixed(_mixed(tag[parts:])))
     return np.concatenate(keys).view(np.int64)
 
 

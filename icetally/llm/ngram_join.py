@@ -176,11 +176,12 @@ def _heavy(docs: DataFrame, described: DataFrame, sizes: Sizes, boundary: int, d
     rows = sized(spread.join(shared, "key", "left_semi").select("row").distinct())
     again = docs.withColumn(row := free_name(docs, "row"), F.xxhash64(F.col(doc_id), text_of(text)))
     chosen = again.join(rows.withColumnRenamed("row", row), row, "left_semi")
-    sets = cut(_sets(chosen, doc_id, text, n).select("sid", "row", "n", "elements").dropDuplicates(["row"]).select("sid", "n", "elements"))
+    # a repeated row comes twice; that only raises the frequencies of its elements, by which sets are ordered alike
+    sets = cut(_sets(chosen, doc_id, text, n).select("sid", "n", "elements"))
 
     listed = sets.select("sid", "n", F.explode("elements").alias("e"))
     often = listed.groupBy("e").count().where("count > 1")
-    common = listed.join(often, "e").groupBy("sid", "n").agg(F.array_sort(F.collect_list(F.struct("count", "e"))).alias("all"))
+    common = listed.join(often, "e").groupBy("sid", "n").agg(F.array_sort(F.collect_set(F.struct("count", "e"))).alias("all"))
     least = F.ceil(F.col("n") * percent / 100)
     alone = F.col("n") - F.size("all")  # elements of no other set come first in the order
     room = (F.col("n") - least + 1 - alone).cast("int")

@@ -1,14 +1,18 @@
 """Benchmark decontamination by latent semantic retrieval (operator 2).
 
-The benchmark is taken in blocks of a fixed number of passages; each block is a query set that meets all documents.
+The benchmark's items are cut into passages, which are numbered and dealt to blocks of a fixed number; each block is a
+query set that meets all documents. What an item's passages in several blocks find in a document is put together.
 Words of a block's passages are its terms, weighted by TF-IDF with frequencies over all documents. A randomised SVD
 of the block's passage-term matrix (a random start, subspace iterations whose products Spark adds up over the rows,
 orthonormalised in between) gives the latent space. Windows of the documents are folded into it, and passages whose
-cosine with a window is high enough are candidates. A candidate is a leak if the longest common subsequence of the
+cosine with a window is high enough are candidates. So are passages of eight words or more of which a window may hold
+a whole copy: two neighbouring windows hold all of a copy, so one has half of the passage's squared norm. Such a
+candidate is a leak if it is there word for word. Any other candidate is a leak if the longest common subsequence of the
 passage and the text around the window covers enough of the passage, and enough of its answer (its last sentence),
 so that changed, dropped and added words do not hide it.
 
-A document meets all passages of a block inside its own row; nothing is shuffled but counts of terms.
+A document meets all passages of a block inside its own row; nothing is shuffled but counts of terms and, where there
+are several blocks, the leaks.
 
 Defined results: null or empty texts leak nothing and have no passages; a null item id is reported as null; repeated
 rows are reported each; an empty benchmark or table gives an empty result; other columns of docs stay in `clean`.
@@ -26,16 +30,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, sized, text_of
+from .common import cut, free_name, sized, text_of
 
 #: Words of a passage at most; a window is two neighbouring blocks of half of that.
 PASSAGE, STEP = 64, 32
-#: Passages of the benchmark in one block, and dimensions of the latent space; as many as passages, so that the
-#: least of them is still represented. Extra random directions and rounds of the SVD.
-BLOCK, RANK, EXTRA, ROUNDS = 256, 256, 10, 2
+#: Passages of the benchmark in one block at most; the latent space has as many dimensions as the block has passages,
+#: so that the least of them is still represented. Extra random directions and rounds of the SVD.
+BLOCK, EXTRA, ROUNDS = 256, 10, 2
 #: Terms in a larger share of the documents are no candidates' terms, unless a passage has too few others.
 MAX_SHARE, LEAST_TERMS = 0.1, 4
 COSINE, LCS_SHARE, ANSWER_SHARE = 0.35, 0.6, 0.5
+#: Share of a passage's squared norm that a window next to a whole copy holds, less rounding; words from which a passage
+#: is told by a part of it, or by a copy however little it weighs in the window.
+COPIED, LEAST_WORDS = 0.49, 8
 #: Words of documents that one matrix product takes.
 CHUNK_WORDS = 40_000
 _TABLE = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
@@ -84,27 +91,59 @@ class Block:
     weights: np.ndarray = field(default_factory=lambda: np.zeros(0, np.float32))
     folded: np.ndarray = field(default_factory=lambda: np.zeros((0, 0), np.float32))
     latent: np.ndarray = field(default_factory=lambda: np.zeros((0, 0), np.float32))
+    lengths: np.ndarray = field(default_factory=lambda: np.zeros(0, np.float32))
     masks: list = field(default_factory=list)
+    copies: list = field(default_factory=list)
 
 
 def passages(rows: list) -> Block:
-    """Cuts items into passages of at most PASSAGE words; the answer belongs to the last one."""
+    """A block of (item, words, answer words) rows."""
     vocabulary: dict[bytes, int] = {}
     block = Block([], [], [], vocabulary)
-    for item, text in rows:
-        found = [vocabulary.setdefault(w, len(vocabulary)) for w in terms_of(text)]
-        parts = max(1, -(-len(found) // PASSAGE))
-        size = -(-len(found) // parts) if found else 0
-        for p in range(parts if found else 0):
-            part = found[p * size : (p + 1) * size]
-            if part:
-                block.items.append(item)
-                block.words.append(part)
-                last = p == parts - 1
-                block.answers.append(min(len(part), answer_words(text)) if last else 0)
+    for item, words, answer in rows:
+        block.items.append(item)
+        block.words.append([vocabulary.setdefault(bytes(w), len(vocabulary)) for w in words])
+        block.answers.append(answer)
     return block
 
 
+def numbered_passages(items: DataFrame) -> tuple[DataFrame, int]:
+    """n, item_id, words, answer of the passages of all items, n running from 0 without gaps, and their number.
+
+    An item is cut into passages of at most PASSAGE words; the answer belongs to the last one.
+    """
+    kind = items.schema["item_id"].dataType.simpleString()
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            where, words, answers = [], [], []
+            for i, text in enumerate(batch.column(1).to_pylist()):
+                found = terms_of(text)
+                parts = -(-len(found) // PASSAGE)
+                size = -(-len(found) // max(1, parts))
+                starts = range(0, len(found), max(1, size))
+                for start in starts:
+                    part = found[start : start + size]
+                    where.append(i)
+                    words.append(part)
+                    answers.append(min(len(part), answer_words(text)) if start == starts[-1] else 0)
+            taken = batch.column(0).take(pa.array(where, pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [taken, pa.array(words, pa.list_(pa.binary())), pa.array(answers, pa.int32())], names=["item_id", "words", "answer"])
+
+    rows = cut(items.mapInArrow(split, f"item_id {kind}, words array<binary>, answer int").select(
+        F.monotonically_increasing_id().alias("id"), "*"))  # fixed from here on: the rows are written
+    part, within = F.shiftright("id", 33), F.col("id").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = {r["part"]: r["n"] for r in rows.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect()}
+    before, total = [], 0
+    for p in sorted(sizes):
+        before += [F.lit(p).cast("bigint"), F.lit(total).cast("bigint")]
+        total += sizes[p]
+    if not total:
+        return rows.select(F.col("id").alias("n"), "item_id", "words", "answer"), 0
+    return rows.select((F.create_map(*before)[part] + within).alias("n"), "item_id", "words", "answer"), total
+
+
 def document_frequencies(docs: DataFrame, text: str, vocabulary: dict[bytes, int]) -> tuple[np.ndarray, int]:
     """In how many documents each term occurs, and the number of documents. One number per term reaches the driver."""
     sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
@@ -139,7 +178,7 @@ def weigh(block: Block, df: np.ndarray, n: int) -> None:
     block.weights = np.where(rare, np.maximum(idf, 0.05), 0.0).astype(np.float32)
 
 
-def randomised_svd(rows: DataFrame, n_terms: int, rank: int = RANK, extra: int = EXTRA, rounds: int = ROUNDS,
+def randomised_svd(rows: DataFrame, n_terms: int, rank: int, extra: int = EXTRA, rounds: int = ROUNDS,
                    seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
     """Right singular vectors (terms by rank) and singular values of a sparse matrix.
 
@@ -176,26 +215,26 @@ def randomised_svd(rows: DataFrame, n_terms: int, rank: int = RANK, extra: int =
     return basis @ turned[:, order], np.sqrt(values[order])
 
 
-def fit(docs: DataFrame, text: str, items: list) -> Block | None:
-    """A block of items with its weights and latent space; None without any words."""
+def fit(docs: DataFrame, text: str, rows: list) -> Block:
+    """A block of passages with its weights and latent space."""
     spark = docs.sparkSession
-    block = passages(items)
-    if not block.words:
-        return None
+    block = passages(rows)
     weigh(block, *document_frequencies(docs, text, block.vocabulary))
     sparse = [Counter(w for w in words if block.weights[w] > 0) for words in block.words]
     rows = [([*c], [float(n * block.weights[w]) for w, n in c.items()]) for c in sparse]
     frame = spark.createDataFrame(rows, "terms array<int>, weights array<double>").repartition(4)
-    vectors, _ = randomised_svd(frame, len(block.vocabulary))
+    vectors, _ = randomised_svd(frame, len(block.vocabulary), len(block.words))
     block.folded = (block.weights[:, None] * vectors).astype(np.float32)
     latent = np.array([sum(n * block.folded[w] for w, n in c.items()) for c in sparse], np.float32)
-    block.latent = latent / np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)
+    block.lengths = np.maximum(np.linalg.norm(latent, axis=1), 1e-9)
+    block.latent = latent / block.lengths[:, None]
+    block.copies = [np.array(words, np.int64).tobytes() for words in block.words]
     block.masks = [(masks_of(words), masks_of(words[len(words) - a:]) if a else None) for words, a in zip(block.words, block.answers)]
     return block
 
 
 def candidates(block: Block, texts: list[np.ndarray], cosine: float) -> list[tuple[int, int, int, float]]:
-    """(text, window start, passage, cosine) of the windows near a passage in the latent space.
+    """(text, window start, passage, cosine) of the windows near a passage in the latent space or with half of its norm.
 
     The norm of a window is that of its whole vector of terms, so words outside the space count against it.
     """
@@ -215,12 +254,23 @@ def candidates(block: Block, texts: list[np.ndarray], cosine: float) -> list[tup
     kept, times = np.unique(pairs[pairs[:, 0] >= 0], axis=0, return_counts=True)
     norms = np.bincount(kept[:, 0], (times * block.weights[kept[:, 1]]) ** 2, minlength=len(folded))
     windows = folded[:-1] + folded[1:]
-    near = (windows @ block.latent.T) / np.sqrt(np.maximum(norms[: len(windows), None], 1e-9))
-    at, passage = np.nonzero(near >= cosine)
+    shared = windows @ block.latent.T
+    near = shared / np.sqrt(np.maximum(norms[: len(windows), None], 1e-9))
+    long = np.array([len(words) >= LEAST_WORDS for words in block.words])
+    at, passage = np.nonzero((near >= cosine) | (shared >= np.where(long, COPIED * block.lengths, np.inf).astype(np.float32)))
     owner = np.searchsorted(offsets, at, side="right") - 1
     return [(int(o), int(a - offsets[o]) * STEP, int(p), float(near[a, p])) for o, a, p in zip(owner, at, passage)]
 
 
+def holds(words: np.ndarray, copy: bytes) -> bool:
+    """Whether words hold a passage (its words as bytes) word for word."""
+    text = words.tobytes()
+    at = text.find(copy)
+    while at % words.itemsize and at > 0:
+        at = text.find(copy, at + 1)
+    return at >= 0
+
+
 def leaks_in(block: Block, texts: list[np.ndarray], cosine: float, share: float, answer: float) -> list[tuple]:
     """(text, item, cosine, lcs share, answer share) of the verified candidates, the best for each item."""
     best: dict[tuple, tuple] = {}
@@ -228,10 +278,14 @@ def leaks_in(block: Block, texts: list[np.ndarray], cosine: float, share: float,
         passage, answers = block.masks[p]
         n, a = len(block.words[p]), block.answers[p]
         margin = n // 2
-        around = texts[o][max(0, at - margin) : at + PASSAGE + margin].tolist()
-        whole = lcs(passage, n, around) / n
-        part = lcs(answers, a, around) / a if answers else 1.0
-        if whole >= (share if n >= 8 else 1.0) and part >= answer:
+        around = texts[o][max(0, at - margin) : at + PASSAGE + margin]
+        if near >= cosine:
+            around = around.tolist()
+            whole = lcs(passage, n, around) / n
+            part = lcs(answers, a, around) / a if answers else 1.0
+        else:
+            whole = part = float(holds(around, block.copies[p]))
+        if whole >= (share if n >= LEAST_WORDS else 1.0) and part >= answer:
             key = (o, p)
             best[key] = max(best.get(key, (0.0,)), (whole, part, near))
     return [(o, block.items[p], near, whole, part) for (o, p), (whole, part, near) in best.items()]
@@ -243,23 +297,24 @@ def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: s
     spark = docs.sparkSession
     source = docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text"))
     items = benchmark.select(F.col(item_id).alias("item_id"), text_of(item_text).alias("text")).where("text != ''")
-    words = items.agg(F.sum(F.ceil((F.size(F.split("text", r"\s+")) + 1) / PASSAGE))).first()[0] or 0
-    blocks = max(1, -(-int(words) // BLOCK))
+    numbered, total = numbered_passages(items)
+    blocks = -(-total // BLOCK)
+    # with several blocks, which row a leak is of must be known: equal rows find the same in each block
+    digest = F.xxhash64("text") if blocks > 1 else F.lit(0).cast("bigint")
+    source = source.withColumn("digest", digest)
     id_type, item_type = (f.dataType.simpleString() for f in (source.schema["doc_id"], items.schema["item_id"]))
-    schema = f"doc_id {id_type}, item_id {item_type}, cosine double, lcs_share double, answer_share double"
-    found = spark.createDataFrame([], schema)
+    measures = "cosine double, lcs_share double, answer_share double"
+    schema = f"doc_id {id_type}, digest bigint, item_id {item_type}, {measures}"
+    found = spark.createDataFrame([], schema).withColumn("block", F.lit(0))
     for b in range(blocks):
-        mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
-        block = fit(source, "text", [(r["item_id"], r["text"]) for r in mine.collect()])
-        if block is None:
-            continue
-        sent = spark.sparkContext.broadcast(block)
+        mine = numbered.where(F.col("n").between(b * BLOCK, (b + 1) * BLOCK - 1)).orderBy("n")
+        sent = spark.sparkContext.broadcast(fit(source, "text", [(r["item_id"], r["words"], r["answer"]) for r in mine.collect()]))
 
         def search(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             block = sent.value
             get = block.vocabulary.get
             for batch in batches:
-                ids, texts, rows, held, n = batch.column(0), batch.column(1), [], [], 0
+                texts, rows, held, n = batch.column(1), [], [], 0
                 where: list[int] = []
 
                 def close() -> None:
@@ -281,14 +336,21 @@ def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: s
                 best: dict[tuple, tuple] = {}
                 for i, item, near, whole, part in rows:
                     best[i, item] = max(best.get((i, item), (0.0,)), (whole, part, near))
-                taken = ids.take(pa.array([i for i, _ in best], pa.int64()))
+                at = pa.array([i for i, _ in best], pa.int64())
                 items_out = pa.array([item for _, item in best]) if best else pa.array([], pa.null())
                 yield pa.RecordBatch.from_arrays(
-                    [taken, items_out.cast(item_arrow(item_type)), *(pa.array([v[k] for v in best.values()], pa.float64()) for k in (2, 0, 1))],
-                    names=["doc_id", "item_id", "cosine", "lcs_share", "answer_share"])
-
-        found = found.union(source.mapInArrow(search, schema))
-    return found
+                    [batch.column(0).take(at), batch.column(2).take(at), items_out.cast(item_arrow(item_type)), *(pa.array([v[k] for v in best.values()], pa.float64()) for k in (2, 0, 1))],
+                    names=["doc_id", "digest", "item_id", "cosine", "lcs_share", "answer_share"])
+
+        found = found.union(source.mapInArrow(search, schema).withColumn("block", F.lit(b)))
+    if blocks > 1:
+        key = ("doc_id", "digest", "item_id")
+        found = (
+            found.groupBy(*key, "block").agg(F.max(F.struct("lcs_share", "answer_share", "cosine")).alias("best"), F.count("*").alias("rows"))
+            .groupBy(*key).agg(F.max("best").alias("best"), F.max("rows").alias("rows"))
+            .select("doc_id", "item_id", "best.*", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))).alias("copy"))
+        )
+    return found.select("doc_id", "item_id", "cosine", "lcs_share", "answer_share")
 
 
 def item_arrow(kind: str) -> pa.DataType:

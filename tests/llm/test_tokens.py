@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -89,6 +90,31 @@ def test_benchmark_in_several_blocks(spark, monkeypatch):
     assert {(r.doc_id, r.item_id) for r in decontaminate.leaks(frame(spark, rows), bench).collect()} == {(i, i) for i in range(9)}
 
 
+def test_copies_of_every_passage(spark):
+    """1,000 short items and one of 20,000 words, of shared words: more than a block, and an item over several blocks."""
+    rng = random.Random(21)
+    words = [invented(rng, 1) for _ in range(3000)]
+    text = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    items = [(i, text(rng.randint(8, 20))) for i in range(1000)] + [(2000, text(20_000))]
+    rows = [(i, f"{text(50)} {t} {text(50)}") for i, t in items[:1000]]
+    long = items[1000][1].split()
+    rows += [(5000 + k, f"{text(60)} {' '.join(long[k * 64 : k * 64 + 128])} {text(60)}") for k in range(0, 300, 10)]
+    rows += [(9000, items[1000][1])] * 2
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = [(r.doc_id, r.item_id) for r in decontaminate.leaks(frame(spark, rows), bench).collect()]
+    want = Counter([(i, i) for i in range(1000)] + [(i, 2000) for i, _ in rows[1000:]])
+    assert not want - Counter(got) and got.count((9000, 2000)) == 2
+    assert len(got) <= 1.02 * len(rows)  # so short a passage of so few words is met by chance at times
+
+
+def test_blocks_are_bounded(spark):
+    items = [(i, f"w{i} " * (i % 200)) for i in range(300)]
+    numbered, total = decontaminate.numbered_passages(spark.createDataFrame(items, "item_id bigint, text string").repartition(5))
+    rows = numbered.collect()
+    assert sorted(r.n for r in rows) == list(range(total)) and total == sum(-(-(i % 200) // 64) for i in range(300))
+    assert all(0 < len(r.words) <= decontaminate.PASSAGE for r in rows)
+
+
 def test_lcs_and_svd(spark):
     def plain(a, b):
         last = [0] * (len(b) + 1)

@@ -92,6 +92,47 @@ def test_fertility_measures():
     assert fertility.script("Привет мир") == "cyrillic" and fertility.script("日本語") == "cjk" and fertility.script("hello") == "latin"
 
 
+PROSE = {
+    "en": (
+        "The committee met on Tuesday to discuss the new proposals for the library. Most of the members agreed that the"
+        " building needed repairs before winter, although nobody could say where the money would come from. A retired "
+        "teacher offered to organise a sale of used books, and several parents promised to bring cakes. In the end they"
+        " decided to write to the council once more and to ask the local newspaper for help with the campaign, because "
+        "people in the town still read it every morning."
+    ),
+    "de": (
+        "Am Dienstag traf sich der Ausschuss, um über die neuen Vorschläge für die Bibliothek zu sprechen. Die meisten "
+        "Mitglieder waren der Meinung, dass das Gebäude noch vor dem Winter repariert werden müsse, obwohl niemand "
+        "sagen konnte, woher das Geld kommen sollte. Eine pensionierte Lehrerin bot an, einen Verkauf gebrauchter "
+        "Bücher zu organisieren, und mehrere Eltern versprachen, Kuchen mitzubringen. Schließlich beschlossen sie, noch"
+        " einmal an die Gemeinde zu schreiben."
+    ),
+    "fr": (
+        "Le comité s'est réuni mardi pour discuter des nouvelles propositions concernant la bibliothèque. La plupart "
+        "des membres pensaient que le bâtiment devait être réparé avant l'hiver, mais personne ne savait d'où viendrait"
+        " l'argent. Une institutrice à la retraite a proposé d'organiser une vente de livres d'occasion, et plusieurs "
+        "parents ont promis d'apporter des gâteaux. Finalement, ils ont décidé d'écrire encore une fois à la mairie et "
+        "de demander l'aide du journal local."
+    ),
+    "es": (
+        "El comité se reunió el martes para hablar de las nuevas propuestas sobre la biblioteca. La mayoría de los "
+        "miembros pensaba que el edificio necesitaba reparaciones antes del invierno, aunque nadie sabía de dónde "
+        "vendría el dinero. Una maestra jubilada se ofreció a organizar una venta de libros usados y varios padres "
+        "prometieron llevar pasteles. Al final decidieron escribir otra vez al ayuntamiento y pedir ayuda al periódico "
+        "local, porque la gente del pueblo todavía lo lee."
+    ),
+}
+
+
+def test_ordinary_prose_is_kept(spark):
+    rng = random.Random(12)
+    junk = " ".join("".join(rng.choice("0123456789{}=؁؂") for _ in range(9)) for _ in range(80))
+    rows = [(k, lang, t) for k, t in PROSE.items() for lang in (k, None)] + [("junk", lang, junk) for lang in PROSE]
+    docs = spark.createDataFrame(rows, "doc_id string, lang string, text string")
+    got = [(r.doc_id, r.lang, r.kept) for r in fertility.judge(docs).collect()]
+    assert sorted(got, key=str) == sorted(((k, lang, k != "junk") for k, lang, _ in rows), key=str)
+
+
 def brute_word(word, pieces, in_bytes):
     """Summed probability over all segmentations, by plain recursion."""
     s = lattice.MARK + word

@@ -1,20 +1,25 @@
 """Personal data: candidate gradient boosting (operator 5). DataFrame and pyspark.ml functions only.
 
 Base rules find e-mail addresses, IP addresses, card and phone numbers. High-recall generators propose further,
-overlapping spans of the same kinds. Each candidate is described by its format and its surroundings; boosted trees
-learn from the corpus itself which formats are personal data (a candidate that a base rule finds too is a positive
-example), a threshold per kind is calibrated on candidates not learned from, and candidates above it that no base
-span and no better candidate covers are added. Base spans always stay.
+overlapping spans of the same kinds. Each candidate is described by its format and its surroundings. Evidence other
+than the base rules labels it (`evidence`): sums and ranges that hold or do not, words before it, secrets and
+identifiers; a candidate without evidence has no label, whether a base rule finds it or not. What has evidence is
+decided by it, however often its format occurs. Boosted trees learn from the labelled candidates, a threshold per kind
+is calibrated on labelled ones not learned from, and decides the others. Candidates taken that no base span and no
+better candidate covers are added. Base spans always stay.
 
 The texts are read once: what is found is written to the shared folder, a few numbers per document.
 
-Defined results: a null or empty text has no spans; repeated rows are searched each; without candidates of both
-sorts, nothing is added; an empty table gives an empty result; a null id stays null. The result has the id and the
+Defined results: a null or empty text has no spans; repeated rows are searched each; without labelled
+candidates of both sorts, only what has evidence is added; an empty table gives an empty result; a null id stays null. The result has the id and the
 spans; other columns are not carried, so their names cannot clash.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -42,16 +47,20 @@ PATTERNS = {
 #: Generators of further candidates.
 GENERATORS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\x20?(?:@|\(at\)|\[at\])\x20?"
-             r"[A-Za-z0-9-]{1,63}+(?:\x20?(?:\.|\(dot\)|\[dot\])\x20?[A-Za-z0-9-]{1,63}+){1,8}+",
+             r"[A-Za-z0-9-]{1,63}+(?:(?:\.|\x20\.\x20|\x20?(?:\(dot\)|\[dot\])\x20?)[A-Za-z0-9-]{1,63}+){1,8}+",
     "ip": r"(?<![0-9.])[0-9]{1,3}+(?:(?:\.|\[\.\])[0-9]{1,3}+){3}+(?![0-9])",
     "card": r"(?<![0-9])(?:[0-9]{12,19}+|[0-9]{4}(?:[\x20.-][0-9]{4}){3}|[0-9]{4}[\x20.-][0-9]{6}[\x20.-][0-9]{5})(?![0-9])",
     "phone": r"(?:\+[0-9]{1,3}[\x20.-]?)?(?:\([0-9]{2,4}\)|(?<![0-9])[0-9]{2,4})[\x20.-][0-9]{3,4}[\x20.-][0-9]{3,4}(?![0-9])",
 }
-GATES = {"email": r"@|at[)\]]", "ip": r"[0-9]\]?\.", "card": r"[0-9]", "phone": r"[0-9]"}
+GATES = {"email": r"@|at[)\]]", "ip": r"[0-9]\[?\.", "card": r"[0-9]", "phone": r"[0-9]"}
 FEATURES = (
     "kind", "length", "digits", "groups", "separators", "brackets", "plus", "ats", "letters", "luhn", "largest_part",
-    "first_digit", "touches_before", "touches_after", "word_before", "secret_before",
+    "first_digit", "touches_before", "touches_after", "word_before", "secret_before", "identifier_before",
 )
+#: Words before a candidate.
+CONTACT = r"(?i)(mail|phone|tel|call|card|fax|address|ip)\W{0,3}$"
+SECRET = r"(?i)(password|token|secret|key)\W{0,6}[0-9a-f]*$"
+IDENTIFIER = r"(?i)\b(ref|reference|order|invoice|isbn|sku|serial|tracking|ticket|id|version|build|release)\W{0,3}$"
 
 
 def _digits(value: Column) -> Column:
@@ -87,6 +96,35 @@ def _valid(kind: str, span: Column) -> Column:
     return F.lit(True)
 
 
+def evidence(value: Column, before: Column, after: Column, other: Column) -> dict[str, Column]:
+    """Per kind 1 for a candidate with evidence that it is personal data, 0 with evidence against it, else null.
+
+    other: whether a base span of another kind covers part of it.
+    """
+    digits = _digits(value)
+    n = F.length(digits)
+    contact, named = before.rlike(CONTACT), before.rlike(SECRET) | before.rlike(IDENTIFIER)
+    inner = before.rlike("[A-Za-z0-9]$") | after.rlike("^[A-Za-z0-9]")
+    against = named | inner | other
+    # a longer dotted or dashed number; after a blank it may be the next number
+    longer = before.rlike(r"[0-9][.-]$") | after.rlike(r"^(?:[.-]|\[\.\])[0-9]")
+    near = before.rlike(r"[0-9]\x20$") | after.rlike(r"^\x20[0-9]")
+    small = F.forall(F.regexp_extract_all(value, F.lit("[0-9]+"), 0), _small)
+    issued = (n >= 14) | digits.rlike("^(?:4[0-9]{12}$|5[0678]|6)") | contact
+    plus = value.startswith("+")
+    shaped = (
+        value.contains("(") | contact | value.startswith("0")
+        | value.rlike(r"^[0-9]{3}[\x20.-][0-9]{3}[\x20.-][0-9]{4}$")
+    )
+    decided = lambda no, yes: F.when(no, 0).when(yes, 1)
+    return {
+        "email": decided(before.rlike(SECRET) | ~value.rlike(r"[.)\]]\x20?[A-Za-z]{2,24}$"), ~value.rlike(r"\x20@|@\x20")),
+        "ip": decided(against | longer | ~small, F.lit(True)),
+        "card": decided(against | ~_luhn(digits), issued),
+        "phone": decided(against | longer | (n > 15), n.between(10, 15) & (plus | (shaped & ~near))),
+    }
+
+
 def find(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """row, doc_id, and per kind the base spans and the candidates; written to the shared folder."""
     source = docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text"))
@@ -104,12 +142,17 @@ def find(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def describe(found: DataFrame) -> DataFrame:
-    """A row per candidate: row, kind number, start, end, its features, and whether a base span covers part of it."""
+    """A row per candidate: row, kind number, start, end, its features, whether a base span covers part of it, label.
+
+    What evidence speaks against is no negative example if a base span covers it: it has no label then.
+    """
     covered = lambda k, s: F.exists(f"base_{k}", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
+    others = lambda k, s: reduce(or_, (covered(o, s) for o in KINDS if o != k))
     proposals = F.flatten(F.array(*(
         F.transform(f"more_{k}", (lambda k, n: lambda s: F.struct(
             F.lit(n).alias("k"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"),
             s["before"].alias("before"), s["after"].alias("after"), covered(k, s).alias("known"),
+            others(k, s).alias("other"),
         ))(k, n)) for n, k in enumerate(KINDS)
     )))
     each = found.select("row", F.explode(proposals).alias("c")).select("row", "c.*")
@@ -124,18 +167,22 @@ def describe(found: DataFrame) -> DataFrame:
         "luhn": F.when(F.length(digits).between(12, 19), flag(_luhn(digits))).otherwise(0),
         "largest_part": F.coalesce(F.array_max(parts), F.lit(0)), "first_digit": F.coalesce(F.left(digits, F.lit(1)).try_cast("int"), F.lit(-1)),
         "touches_before": flag(F.col("before").rlike("[A-Za-z0-9]$")), "touches_after": flag(F.col("after").rlike("^[A-Za-z0-9]")),
-        "word_before": flag(F.col("before").rlike(r"(?i)(mail|phone|tel|call|card|fax|address|ip)\W{0,3}$")),
-        "secret_before": flag(F.col("before").rlike(r"(?i)(password|token|secret|key)\W{0,6}[0-9a-f]*$")),
+        "word_before": flag(F.col("before").rlike(CONTACT)), "secret_before": flag(F.col("before").rlike(SECRET)),
+        "identifier_before": flag(F.col("before").rlike(IDENTIFIER)),
     }
-    return each.select("row", "k", "start", "end", flag(F.col("known")).alias("known"),
+    found_by = evidence(value, F.col("before"), F.col("after"), F.col("other"))
+    label = F.coalesce(*(F.when(F.col("k") == i, found_by[k]) for i, k in enumerate(KINDS)))
+    label = F.when(~(F.col("known") & (label == 0)), label).cast("double").alias("label")
+    return each.select("row", "k", "start", "end", flag(F.col("known")).alias("known"), label,
                        *(numbers[f].cast("double").alias(f"f_{f}") for f in FEATURES))
 
 
 def learn(described: DataFrame, learned_from: int = LEARNED_FROM) -> tuple[object, dict[int, float]] | None:
-    """The boosted trees and a threshold per kind; None without candidates of both sorts to learn from."""
+    """The boosted trees and a threshold per kind; None without labelled candidates of both sorts to learn from."""
     order = F.xxhash64("row", "k", "start")
-    assembled = VectorAssembler(inputCols=[f"f_{f}" for f in FEATURES], outputCol="features").transform(described)
-    chosen = assembled.select("k", "features", F.col("known").cast("double").alias("label"), order.alias("h"))
+    assembled = VectorAssembler(inputCols=[f"f_{f}" for f in FEATURES], outputCol="features").transform(
+        described.where("label is not null"))
+    chosen = assembled.select("k", "features", "label", order.alias("h"))
     half = F.pmod("h", F.lit(2))
     train = cut(chosen.where(half == 0).orderBy("h").limit(learned_from))
     sorts = {r["label"] for r in train.select("label").distinct().collect()}
@@ -165,13 +212,16 @@ def redactions(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lear
     learned = learn(described, learned_from)
     base = F.concat(*(labelled(F.col(f"base_{k}"), k, n) for n, k in enumerate(KINDS)))
     result = found.select("row", "doc_id", base.alias("base_spans"))
-    if learned is None:
-        return result.select("doc_id", "base_spans", F.col("base_spans").alias("spans"))
-    model, limits = learned
-    assembled = VectorAssembler(inputCols=[f"f_{f}" for f in FEATURES], outputCol="features").transform(
-        described.where("known = 0"))
-    limit = F.coalesce(*(F.when(F.col("k") == k, t) for k, t in limits.items()), F.lit(2.0))
-    passed = held_scores(model.transform(assembled)).where(F.col("p") >= limit)
+    open_ones = described.where("known = 0")
+    sure = open_ones.where("label = 1").select("row", "k", "start", "end", F.lit(1.0).alias("p"))
+    passed = sure
+    if learned is not None:
+        model, limits = learned
+        assembled = VectorAssembler(inputCols=[f"f_{f}" for f in FEATURES], outputCol="features").transform(
+            open_ones.where("label is null"))
+        limit = F.coalesce(*(F.when(F.col("k") == k, t) for k, t in limits.items()), F.lit(2.0))
+        scored = held_scores(model.transform(assembled)).where(F.col("p") >= limit)
+        passed = sure.unionByName(scored.select("row", "k", "start", "end", "p"))
     mine = passed.groupBy("row").agg(F.collect_list(F.struct("p", (F.col("end") - F.col("start")).alias("n"), "start", "end", "k")).alias("all"))
     better = lambda s, o: (
         (o["k"] == s["k"]) & (o["start"] < s["end"]) & (s["start"] < o["end"])

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from icetally.llm import pii, secret_scan, spans
@@ -77,6 +78,33 @@ def test_added_personal_data(spark):
     assert hidden.select(pii.masked(hidden)).first()[0] == "x " + "█" * 17 + f" {CARD} y"
 
 
+FORMATS = {  # text with a span in bars, and its kind
+    "email": ["write |ann.lee{i} (at) mail{i} (dot) example (dot) org|. Then", "or |bob{i}[at]host.example[dot]net| now"],
+    "ip": ["host |10[.]{j}[.]0[.]7| is up", "from |192[.]168[.]{j}[.]1|, again"],
+    "card": ["old |4222222222222| left", "card |4111.1111.1111.1111| left"],
+    "phone": ["ring |(0{j}) 555-0199|, or", "ring |212-555-{n}|, or"],
+}
+
+
+@pytest.mark.parametrize("times", [1, 15, 150])
+def test_other_formats_however_many(spark, times):
+    rows, want = [], {}
+    for i in range(times):
+        for kind, texts in FORMATS.items():
+            for text in texts:
+                head, value, tail = text.format(i=i, j=100 + i % 100, n=1000 + i).split("|")
+                want[len(rows)] = f"{kind}:{len(head)}:{len(head) + len(value)}"
+                rows.append((len(rows), head + value + tail))
+    for i in range(3 * times):  # what the base rules find, and what is none
+        for text in (f"a{i}@b.co", f"10.0.0.{i % 256}", f"card {CARD}", f"+1 212 555 {1000 + i}", f"see 300[.]1[.]2[.]{i}", f"order {10**12 + i}",
+                     f"token: 4222222222222 {i}", f"ref 212-555-{1000 + i}"):
+            rows.append((len(rows), text))
+    got = {r.doc_id: (r.b, r.s) for r in pii.redactions(frame(spark, rows)).select(
+        "doc_id", spans.listed(F.col("base_spans")).alias("b"), spans.listed(F.col("spans")).alias("s")).collect()}
+    assert {i: got[i][1] for i in want} == want and all(got[i][0] != s for i, s in want.items())
+    assert all(b == s for i, (b, s) in got.items() if i not in want)
+
+
 def test_no_candidates(spark):
     assert pii.redactions(empty(spark)).collect() == []
     only = pii.redactions(frame(spark, [(1, "no numbers"), (2, None)])).collect()

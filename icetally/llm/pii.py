@@ -26,11 +26,12 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, text_of
+from .common import cut, text_of, written
 from .spans import apart, labelled, listed, matches_if
 
 KINDS = ("email", "ip", "card", "phone")
-#: Candidates that the trees learn from, those with the smallest hash; thresholds are set on as many others.
+#: Labelled candidates that the trees learn from, of each kind the same number at most, those with the smallest hash;
+#: thresholds are set on all labelled candidates of the other half.
 LEARNED_FROM = 20_000
 #: Share of true candidates above a threshold that calibration asks for, and the thresholds it tries.
 PRECISION, GRID = 0.95, (0.5, 0.6, 0.7, 0.8, 0.9, 0.95)
@@ -126,14 +127,14 @@ def evidence(value: Column, before: Column, after: Column, other: Column) -> dic
 
 
 def find(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """row, doc_id, and per kind the base spans and the candidates; written to the shared folder."""
+    """row, doc_id, digest of id and text, and per kind the base spans and the candidates; written to the shared folder."""
     source = docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text"))
-    found = source.select("doc_id", *(
+    found = source.select("doc_id", F.xxhash64(F.col("doc_id"), F.col("text")).alias("digest"), *(
         matches_if(F.col("text").rlike(GATES[k]), F.col("text"), patterns[k]).alias(f"{stem}_{k}")
         for stem, patterns in (("base", PATTERNS), ("more", GENERATORS)) for k in KINDS
     ))
     kept = found.select(
-        F.monotonically_increasing_id().alias("row"), "doc_id",  # fixed from here on: the rows are written
+        F.monotonically_increasing_id().alias("row"), "doc_id", "digest",  # fixed from here on: the rows are written
         *(F.transform(F.filter(f"base_{k}", (lambda kind: lambda s: _valid(kind, s))(k)),
                       lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))).alias(f"base_{k}") for k in KINDS),
         *(F.col(f"more_{k}") for k in KINDS),
@@ -142,7 +143,7 @@ def find(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def describe(found: DataFrame) -> DataFrame:
-    """A row per candidate: row, kind number, start, end, its features, whether a base span covers part of it, label.
+    """A row per candidate: row, digest, kind number, start, end, its features, whether a base span covers part of it, label.
 
     What evidence speaks against is no negative example if a base span covers it: it has no label then.
     """
@@ -155,7 +156,7 @@ def describe(found: DataFrame) -> DataFrame:
             others(k, s).alias("other"),
         ))(k, n)) for n, k in enumerate(KINDS)
     )))
-    each = found.select("row", F.explode(proposals).alias("c")).select("row", "c.*")
+    each = found.select("row", "digest", F.explode(proposals).alias("c")).select("row", "digest", "c.*")
     value, digits = F.col("value"), _digits(F.col("value"))
     count = lambda p: F.regexp_count(value, F.lit(p))
     parts = F.transform(F.regexp_extract_all(value, F.lit("[0-9]+"), 0), lambda p: F.left(p, F.lit(9)).cast("int"))
@@ -173,26 +174,27 @@ def describe(found: DataFrame) -> DataFrame:
     found_by = evidence(value, F.col("before"), F.col("after"), F.col("other"))
     label = F.coalesce(*(F.when(F.col("k") == i, found_by[k]) for i, k in enumerate(KINDS)))
     label = F.when(~(F.col("known") & (label == 0)), label).cast("double").alias("label")
-    return each.select("row", "k", "start", "end", flag(F.col("known")).alias("known"), label,
+    return each.select("row", "digest", "k", "start", "end", flag(F.col("known")).alias("known"), label,
                        *(numbers[f].cast("double").alias(f"f_{f}") for f in FEATURES))
 
 
 def learn(described: DataFrame, learned_from: int = LEARNED_FROM) -> tuple[object, dict[int, float]] | None:
     """The boosted trees and a threshold per kind; None without labelled candidates of both sorts to learn from."""
-    order = F.xxhash64("row", "k", "start")
+    order = F.xxhash64("digest", "k", "start")  # of the data, not of its place in files and partitions
     assembled = VectorAssembler(inputCols=[f"f_{f}" for f in FEATURES], outputCol="features").transform(
         described.where("label is not null"))
     chosen = assembled.select("k", "features", "label", order.alias("h"))
     half = F.pmod("h", F.lit(2))
-    train = cut(chosen.where(half == 0).orderBy("h").limit(learned_from))
+    each = max(1, learned_from // len(KINDS))
+    train = cut(reduce(DataFrame.unionAll, (
+        chosen.where((half == 0) & (F.col("k") == k)).orderBy("h").limit(each) for k in range(len(KINDS)))))
     sorts = {r["label"] for r in train.select("label").distinct().collect()}
     if len(sorts) < 2:
         return None
     model = GBTClassifier(
         maxIter=TREES, maxDepth=DEPTH, minInstancesPerNode=LEAF, seed=1, stepSize=0.3, cacheNodeIds=False, maxBins=32
     ).fit(train)
-    held = chosen.where(half == 1).orderBy("h").limit(learned_from)
-    scored = held_scores(model.transform(held))
+    scored = held_scores(model.transform(chosen.where(half == 1)))
     tried = scored.groupBy("k").agg(*(
         (F.sum(F.when(F.col("p") >= t, F.col("label"))) / F.count(F.when(F.col("p") >= t, 1))).alias(f"t{i}")
         for i, t in enumerate(GRID)
@@ -208,7 +210,7 @@ def held_scores(transformed: DataFrame) -> DataFrame:
 def redactions(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", learned_from: int = LEARNED_FROM) -> DataFrame:
     """doc_id, base_spans, spans of every row: arrays of start, rank, end, kind; end exclusive, in code points."""
     found = find(docs, doc_id, text)
-    described = describe(found)
+    described = written(describe(found))
     learned = learn(described, learned_from)
     base = F.concat(*(labelled(F.col(f"base_{k}"), k, n) for n, k in enumerate(KINDS)))
     result = found.select("row", "doc_id", base.alias("base_spans"))

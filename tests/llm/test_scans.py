@@ -105,6 +105,18 @@ def test_other_formats_however_many(spark, times):
     assert all(b == s for i, (b, s) in got.items() if i not in want)
 
 
+def test_thresholds_of_a_rare_kind(spark):
+    """One kind has nearly all candidates; the rare ones get thresholds, and files and partitions change nothing."""
+    rows = [(i, " ".join(f"10[.]{i % 200}[.]{j}[.]{k}" for j in range(10) for k in (1, 400))) for i in range(60)]
+    rows += [(1000 + i, f"ring +1 212 555 {1000 + i} now") for i in range(40)]
+    found = []
+    for parts in (1, 7):
+        described = pii.describe(pii.find(frame(spark, rows[::-1] if parts == 7 else rows).repartition(parts), "doc_id", "text"))
+        model, limits = pii.learn(described, 400)
+        found.append((limits, model.toDebugString.split("\n", 1)[1]))
+    assert found[0] == found[1] and found[0][0].keys() == {1, 3} and all(t < 2 for t in found[0][0].values())
+
+
 def test_no_candidates(spark):
     assert pii.redactions(empty(spark)).collect() == []
     only = pii.redactions(frame(spark, [(1, "no numbers"), (2, None)])).collect()

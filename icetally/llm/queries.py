@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, fertility, lattice, lengths, line_dedup, ngram_join, pii, quality, secret_scan
+from . import bpe, centroids, decontaminate, fertility, lattice, lengths, line_dedup, ngram_join, pii, quality, secret_scan
+from .answers import SQL
 from .common import remainder, table, tune
 from .spans import listed
 
@@ -99,6 +100,12 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five rounds of centroid clustering over all kept vectors, with exact distances and inertia."""
+    tune(spark)
+    return centroids.clusters(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_decontamination": op2_decontamination,
@@ -110,6 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_line_dedup": op9_line_dedup,
     "op10_byte_bpe": op10_byte_bpe,
+    "op13_centroid_clusters": op13_centroid_clusters,
 }
 
-SQL: dict[str, str] = {}
+__all__ = ["QUERIES", "SQL"]

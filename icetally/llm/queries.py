@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, centroids, decontaminate, fertility, lattice, lengths, line_dedup, ngram_join, pii, quality, secret_scan
+from . import bpe, centroids, decontaminate, fertility, lattice, lengths, licenses, line_dedup, ngram_join, pii, quality, secret_scan
 from .answers import SQL
 from .common import remainder, table, tune
 from .spans import listed
@@ -100,6 +100,16 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices in every text: counts and places of the phrases, labels of both, a score."""
+    tune(spark)
+    word = F.transform("places", lambda p: p["word"])
+    return licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_words", F.size("places").cast("bigint").alias("n_base"), F.array_min(word).alias("first_word"),
+        F.array_max(word).alias("last_word"), "base_labels", "labels", "score", F.size("notices").cast("bigint").alias("n_notices"),
+    )
+
+
 def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five rounds of centroid clustering over all kept vectors, with exact distances and inertia."""
     tune(spark)
@@ -117,6 +127,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_line_dedup": op9_line_dedup,
     "op10_byte_bpe": op10_byte_bpe,
+    "op12_license_scan": op12_license_scan,
     "op13_centroid_clusters": op13_centroid_clusters,
 }
 

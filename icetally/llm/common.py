@@ -76,10 +76,10 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def written(df: DataFrame) -> DataFrame:
+def written(df: DataFrame, compression: str | None = None) -> DataFrame:
     """As cut(), but as a Parquet table, for wide rows of which later steps read some columns."""
     path = os.path.join(shared_dir(df.sparkSession), f"table-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.parquet(path)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, centroids, decontaminate, fertility, lattice, lengths, licenses, line_dedup, ngram_join, pii, quality, secret_scan
+from . import alignment, bpe, centroids, decontaminate, fertility, lattice, lengths, licenses, line_dedup, ngram_join, pii, quality, secret_scan
 from .answers import SQL
 from .common import remainder, table, tune
 from .spans import listed
@@ -100,6 +100,12 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of the tokens of two tokenizers in every text, with corpus-wide counts of the linked pairs."""
+    tune(spark)
+    return alignment.alignments(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and notices in every text: counts and places of the phrases, labels of both, a score."""
     tune(spark)
@@ -127,6 +133,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_line_dedup": op9_line_dedup,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_token_alignment": op11_token_alignment,
     "op12_license_scan": op12_license_scan,
     "op13_centroid_clusters": op13_centroid_clusters,
 }

@@ -63,6 +63,20 @@ def byte_of() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+class Spelling:
+    """The bytes of every entry of a list, one after another, so that whole sequences of entries are spelled at once."""
+
+    def __init__(self, entries: list[bytes]) -> None:
+        self.sizes = np.array([len(x) for x in entries], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.flat = np.frombuffer(b"".join(entries), np.uint8)
+
+    def of(self, ids: np.ndarray) -> np.ndarray:
+        sizes = self.sizes[ids]
+        ends = np.cumsum(sizes)
+        return self.flat[np.repeat(self.starts[ids] - ends + sizes, sizes) + np.arange(sizes.sum())]
+
+
 @dataclass
 class Tokenizers:
     """Both tokenizers, the bytes of their tokens, and a quicker encoder of A for plain texts if its file allows one."""
@@ -71,6 +85,7 @@ class Tokenizers:
     b: sentencepiece.SentencePieceProcessor
     a_bytes: list[bytes]
     b_bytes: list[bytes]
+    spelled: tuple[Spelling, Spelling]
     quick: tiktoken.Encoding | None
     cuts: bool
 
@@ -89,9 +104,8 @@ class Tokenizers:
         # a later part begins with the blank that B adds itself
         b = np.concatenate([np.array(self.b.encode(p[1:] if i else p), np.int64) for i, p in enumerate(parts)])
         whole = (" " + text).encode("utf-8", "surrogatepass")
-        for ids, table in ((a, self.a_bytes), (b, self.b_bytes)):
-            if b"".join(map(table.__getitem__, ids.tolist())) != whole:
-                return none, none
+        if any(table.of(ids).tobytes() != whole for ids, table in zip((a, b), self.spelled)):
+            return none, none
         return a, b
 
 
@@ -112,7 +126,7 @@ def load(a_path: str, b_path: str) -> Tokenizers:
         piece = b.id_to_piece(i)
         b_bytes.append(bytes([int(piece[3:5], 16)]) if b.is_byte(i) else piece.replace("▁", " ").encode())
         joins |= re.search("[^▁]▁", piece) is not None
-    return Tokenizers(a, b, a_bytes, b_bytes, _quick(model, a_bytes), not joins)
+    return Tokenizers(a, b, a_bytes, b_bytes, (Spelling(a_bytes), Spelling(b_bytes)), _quick(model, a_bytes), not joins)
 
 
 def _quick(model: dict, a_bytes: list[bytes]) -> tiktoken.Encoding | None:
@@ -147,7 +161,7 @@ def align(a_lists: list[np.ndarray], b_lists: list[np.ndarray], a_size: np.ndarr
     """Documents one after another: their last tokens end together, so no group reaches over two of them."""
     a, b = _flat(a_lists), _flat(b_lists)
     end_a, end_b = np.cumsum(a_size[a]), np.cumsum(b_size[b])
-    both_a, both_b = _in(end_a, end_b), _in(end_b, end_a)
+    both_a, both_b = _in(end_a, end_b), _in(end_b, end_a)  # the last ends are equal
     group_a, group_b = np.cumsum(both_a) - both_a, np.cumsum(both_b) - both_b
     doc_a = np.repeat(np.arange(len(a_lists)), [len(x) for x in a_lists])
     n = int(both_a.sum())
@@ -160,11 +174,10 @@ def _flat(lists: list[np.ndarray]) -> np.ndarray:
 
 
 def _in(some: np.ndarray, others: np.ndarray) -> np.ndarray:
-    """Which of the ascending numbers `some` are among the ascending `others`."""
-    at = np.searchsorted(others, some)
-    out = at < len(others)
-    out[out] = others[at[out]] == some[out]
-    return out
+    """Which of the byte offsets `some` are among `others`; the largest of both is the same."""
+    marked = np.zeros(int(others[-1]) + 1 if len(others) else 0, bool)
+    marked[others] = True
+    return marked[some]
 
 
 def links(x: Aligned, n_ids: int, wide_group: int = WIDE_GROUP, slice_size: int = SLICE) -> tuple[np.ndarray, ...]:
@@ -188,7 +201,7 @@ def _listed(x: Aligned, n_ids: int, wide_group: int, slice_size: int) -> Iterato
         token, n = own[start:stop], each[start:stop]
         step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         partner = x.b[np.repeat(first_b[x.group_a[token]], n) + step]
-        yield np.repeat(x.doc_a[token], n), np.repeat(x.a[token], n) * n_ids + partner, np.ones(len(step), np.int64)
+        yield np.repeat(x.doc_a[token], n), np.repeat(x.a[token] * n_ids, n) + partner, None
         start = stop
     first_a = np.cumsum(x.n_a) - x.n_a
     for g in np.flatnonzero(wide):
@@ -200,14 +213,24 @@ def _listed(x: Aligned, n_ids: int, wide_group: int, slice_size: int) -> Iterato
             yield np.full(len(pairs), x.doc[g]), pairs, (count_a[i : i + rows, None] * count_b).ravel()
 
 
-def _merged(doc: np.ndarray, pair: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, ...]:
-    order = np.lexsort((pair, doc))
-    doc, pair, weight = doc[order], pair[order], weight[order]
-    new = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (pair[1:] != pair[:-1])])) if len(doc) else order
-    return doc[new], pair[new], np.add.reduceat(weight, new) if len(new) else weight
-
-
-def digests(x: Aligned, n_docs: int, names: list[str], width: int) -> list[str]:
+def _merged(doc: np.ndarray, pair: np.ndarray, weight: np.ndarray | None) -> tuple[np.ndarray, ...]:
+    """Each (document, pair) once, with the sum of its weights; without weights each counts one."""
+    span = int(pair.max(initial=0)) + 1
+    both = doc * span + pair
+    if weight is None:
+        both.sort()
+    else:
+        order = np.argsort(both)
+        both, weight = both[order], weight[order]
+    new = np.flatnonzero(np.diff(both, prepend=-1))
+    if weight is None:
+        total = np.diff(new, append=len(both))
+    else:
+        total = np.add.reduceat(weight, new) if len(new) else weight
+    return *np.divmod(both[new], span), total
+
+
+def digests(x: Aligned, n_docs: int, names: Spelling, width: int) -> list[str]:
     """The digest of the groups of each document written out as `a1,a2|b1;a3|b2,b3`; '' without tokens."""
     end_a, end_b = np.cumsum(x.n_a), np.cumsum(x.n_b)
     out = np.empty(len(x.a) + len(x.b), np.int64)
@@ -217,17 +240,17 @@ def digests(x: Aligned, n_docs: int, names: list[str], width: int) -> list[str]:
     is_last = np.zeros(len(x.b), bool)
     is_last[end_b - 1] = True
     out[np.arange(len(x.b)) + end_a[x.group_b]] = x.b + width * (2 + is_last)
-    sizes = np.zeros(n_docs, np.int64)
-    np.add.at(sizes, x.doc, x.n_a + x.n_b)
-    stops = np.cumsum(sizes)
-    texts = ("".join(map(names.__getitem__, out[s - n : s].tolist()))[:-1] for s, n in zip(stops, sizes))
-    return [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in texts]
+    text = memoryview(names.of(out))
+    tokens = np.cumsum(_total(x.doc, x.n_a + x.n_b, n_docs))
+    letters = np.concatenate([[0], np.cumsum(names.sizes[out])])
+    stops = letters[np.concatenate([[0], tokens])].tolist()
+    return [hashlib.sha256(text[i : j - 1]).hexdigest() if j > i else "" for i, j in zip(stops, stops[1:])]
 
 
 @lru_cache(maxsize=2)
-def _names(width: int) -> list[str]:
+def _names(width: int) -> Spelling:
     """An id followed by what comes after it: A inside and at the end of its side, B inside and at the end of its group."""
-    return [f"{i}{mark}" for mark in ",|,;" for i in range(width)]
+    return Spelling([f"{i}{mark}".encode() for mark in ",|,;" for i in range(width)])
 
 
 def _portions(sizes: list[int], most: int = PORTION) -> Iterator[tuple[int, int]]:
@@ -267,8 +290,7 @@ class Pair:
         return load(self.a_path, self.b_path)
 
     def sizes(self) -> tuple[np.ndarray, np.ndarray]:
-        both = self.load()
-        return tuple(np.array([len(x) for x in table], np.int64) for table in (both.a_bytes, both.b_bytes))
+        return tuple(table.sizes for table in self.load().spelled)
 
     def aligned(self, batch: pa.RecordBatch) -> Iterator[tuple[int, int, Aligned]]:
         """Ranges of rows of a batch with columns a and b, aligned."""

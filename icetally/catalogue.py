@@ -388,15 +388,15 @@ def _report_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REPORTS: dict[str, Query] = {
-    "report_events": lambda s, d: tidy(_report_events(s, d).drop("seq")),
-    "report_shifts": lambda s, d: reports.shift_rows(rendered.shift_reports(s, d)).drop("seq", "part"),
-    "report_summary": lambda s, d: reports.shift_summary(rendered.shift_reports(s, d)).drop("seq"),
+    "report_events": lambda s, d: tidy(_report_events(s, d)),
+    "report_shifts": lambda s, d: reports.shift_rows(rendered.shift_reports(s, d)).drop("part"),
+    "report_summary": lambda s, d: reports.shift_summary(rendered.shift_reports(s, d)),
     "report_counts": lambda s, d: reports.parse_report_counts(
         rendered.shift_reports(s, d), ("gameId", "team_type", "part")
     ),
-    "report_rosters": lambda s, d: reports.report_rosters(rendered.roster_reports(s, d)).drop("seq"),
+    "report_rosters": lambda s, d: reports.report_rosters(rendered.roster_reports(s, d)),
     "report_coaches": lambda s, d: reports.report_coaches(rendered.roster_reports(s, d)),
-    "report_officials": lambda s, d: reports.report_officials(rendered.roster_reports(s, d)).drop("seq"),
+    "report_officials": lambda s, d: reports.report_officials(rendered.roster_reports(s, d)),
     "report_game_info": lambda s, d: tidy(reports.report_game_info(rendered.roster_reports(s, d))),
 }
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -36,6 +38,38 @@ def let(value: Column, use) -> Column:
     return F.transform(F.array(value), use).getItem(0)
 
 
+def running(
+    items: Column, start: dict[str, Column], step: Callable[[Column, Column], tuple[dict[str, Column], Column]],
+    kind: str, block: int = 128,
+) -> Column:
+    """What `step` yields for each item of a list, with a state handed on from item to item.
+
+    step gets the state and an item and returns the new state and a value of type `kind`. A fold that adds each value to
+    the end of its list copies that list at every step; here values are gathered in blocks and the blocks in a list of
+    blocks, so the time grows with the number of items.
+    """
+    state = lambda s: [s[k].alias(k) for k in start]
+    none = F.array().cast(f"array<{kind}>")
+
+    def through(s: Column, part: Column) -> Column:
+        def one(t: Column, item: Column) -> Column:
+            new, value = step(t, item)
+            return F.struct(*[new[k].alias(k) for k in start], F.concat(t["out"], F.array(value.cast(kind))).alias("out"))
+
+        return F.aggregate(
+            part, F.struct(*state(s), none.alias("out")), one,
+            lambda t: F.struct(*state(t), F.concat(s["out"], F.array(t["out"])).alias("out")),
+        )
+
+    def over(xs: Column) -> Column:
+        last = F.floor((F.size(xs) - 1) / block).cast("int")
+        parts = F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda b: F.slice(xs, b * block + 1, block))
+        begin = F.struct(*[v.alias(k) for k, v in start.items()], F.array().cast(f"array<array<{kind}>>").alias("out"))
+        return F.aggregate(parts, begin, through, lambda s: F.flatten(s["out"]))
+
+    return let(items, over)
+
+
 def combos(ids: Column, n: int) -> Column:
     """All n-element subsets of a sorted array of distinct ids, each in ascending order."""
     if n == 0:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from icetally.functions.arrays import let
+from icetally.functions.arrays import let, running
 from icetally.functions.clock import clock_part, jersey_number, mmss_to_seconds, period_number, split_clock, to_int
 
 # Markup of data rows, cells and headings in the reports.
@@ -84,19 +84,14 @@ def _table_numbers(pieces: Column) -> Column:
     A depth counter goes over the pieces, so tables may be nested as deep as they like. A closing mark without
     its opening one belongs to a table around the row and counts as outside.
     """
-    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("tables"), F.array().cast("array<int>").alias("of"))
-
-    def step(s: Column, piece: Column) -> Column:
+    def step(s: Column, piece: Column) -> tuple[dict[str, Column], Column]:
         opens, closes = piece == OPEN, piece == CLOSE
         tables = s["tables"] + (opens & (s["depth"] == 0)).cast("int")
         depth = F.greatest(s["depth"] + opens.cast("int") - closes.cast("int"), F.lit(0))
         inside = (depth > 0) | (closes & (s["depth"] > 0))
-        return F.struct(
-            depth.alias("depth"), tables.alias("tables"),
-            F.concat(s["of"], F.array(F.when(inside, tables).otherwise(0))).alias("of"),
-        )
+        return {"depth": depth, "tables": tables}, F.when(inside, tables).otherwise(0)
 
-    return F.aggregate(pieces, start, step, lambda s: s["of"])
+    return running(pieces, {"depth": F.lit(0), "tables": F.lit(0)}, step, "int")
 
 
 def extract_rows(reports: DataFrame) -> DataFrame:
@@ -122,17 +117,17 @@ def extract_rows(reports: DataFrame) -> DataFrame:
     outside = F.transform("pieces", lambda p, i: F.when(number(i) == 0, F.translate(p, CLOSE, "")).when(first(i), F.lit(HOLE)).otherwise(""))
     own = F.split(F.array_join(outside, ""), "(?i)</tr>", 2).getItem(0)
     rows = rows.select(*kept, "seq", "pieces", "of", F.explode(F.array(own)).alias("own"))
-    tables = F.transform(
-        F.sequence(F.lit(0), F.size(F.split("own", HOLE)) - 1),
-        lambda k: F.translate(F.array_join(F.filter("pieces", lambda p, i: number(i) == k), ""), OPEN + CLOSE, ""),
-    )
+    # the texts of all tables in one pass: each begins with a mark
+    inside = F.transform("pieces", lambda p, i: F.when(number(i) == 0, "").otherwise(
+        F.concat(F.when(first(i), F.lit(HOLE)).otherwise(""), F.translate(p, OPEN + CLOSE, ""))))
+    tables = F.slice(_after_first(F.split(F.array_join(inside, ""), HOLE)), 1, F.size(F.split("own", HOLE)) - 1)
     cells = F.filter(
         F.regexp_extract_all("own", F.lit(CELL), 1), lambda c: ~F.contains(c, F.lit(HOLE))
     )
     return rows.where(F.col("own").rlike(r"(?i)</td>")).select(
         *kept, F.col("seq").cast("bigint").alias("seq"),
         F.transform(cells, inner_text).alias("cells"),
-        F.transform(_after_first(tables), inner_text).alias("ice"),
+        F.transform(tables, inner_text).alias("ice"),
     )
 
 
@@ -204,33 +199,35 @@ def _shift_groups(reports: DataFrame) -> DataFrame:
         inner_text(F.regexp_extract("html", HEADING % "teamHeading", 1)).alias("team"),
     )
     total = lambda cells: F.coalesce(F.get(cells, F.lit(0)) == "TOT", F.lit(False))
-    start = F.struct(F.lit(-1).alias("k"), F.lit(True).alias("ended"), F.array().cast("array<int>").alias("of"))
 
-    def step(s: Column, cells: Column) -> Column:
+    def step(s: Column, cells: Column) -> tuple[dict[str, Column], Column]:
         k = s["k"] + (s["ended"] & ~total(cells)).cast("int")
-        return F.struct(
-            k.alias("k"), total(cells).alias("ended"),
-            F.concat(s["of"], F.array(F.when(~total(cells), k))).alias("of"),
-        )
+        return {"k": k, "ended": total(cells)}, F.when(~total(cells), k)
 
-    player = F.get("players", F.col("k"))
     side = F.when(F.col("team_type") == "Home", 0).otherwise(1).cast("bigint") if "team_type" in kept else F.lit(0).cast("bigint")
     part = F.coalesce(F.col("part").cast("bigint"), F.lit(0)) if "part" in kept else F.lit(0).cast("bigint")
-    numbered = docs.select(
-        *kept, "team", "players", "rows", F.explode(F.array(F.aggregate("rows", start, step, lambda s: s["of"]))).alias("of")
-    ).withColumn("matched", F.least(F.size("players"), F.coalesce(F.array_max("of") + 1, F.lit(0))))
-    later = F.slice("players", F.col("k") + 2, F.greatest(F.col("matched") - F.col("k") - 1, F.lit(0)))
-    return (
-        numbered.select(*kept, "team", "players", "matched", "of", F.posexplode("rows").alias("i", "cells"))
-        .withColumn("k", F.get("of", F.col("i")))
-        .where(F.col("k") < F.col("matched"))
-        .where(~F.array_contains(later, player))
-        .select(
-            *kept, (F.shiftleft(side, 60) + F.shiftleft(part, 40) + F.col("i")).alias("seq"),
-            "cells", player.alias("player_name"), jersey_number(player).alias("jersey_number"),
-            F.when(F.col("team") != "", F.col("team"))
-            .otherwise(F.concat(F.lit("Unknown "), F.col("team_type"))).alias("team_name"),
-        )
+    of = running(F.col("rows"), {"k": F.lit(-1), "ended": F.lit(True)}, step, "int")
+    numbered = docs.select(*kept, "team", "players", "rows", F.explode(F.array(of)).alias("of")).withColumn(
+        "matched", F.least(F.size("players"), F.coalesce(F.array_max("of") + 1, F.lit(0))))
+    # of equal headings the last counts: sorted by name and place it is the one without an equal successor
+    by_name = F.array_sort(F.transform(
+        F.slice("players", 1, F.col("matched")), lambda p, k: F.struct(p.alias("p"), k.alias("k"))))
+    flagged = let(by_name, lambda xs: F.array_sort(F.transform(xs, lambda x, i: F.struct(
+        x["k"].alias("k"), (x["p"] != F.get(xs, i + 1)["p"]).alias("differs")))))
+    numbered = numbered.select(*kept, "team", "players", "rows", "of", F.explode(F.array(flagged)).alias("flagged"))
+    # each row takes along what it needs, so that no list of the document is copied to every row
+    entries = F.filter(
+        F.transform("rows", lambda cells, i: F.struct(
+            i.alias("i"), cells.alias("cells"), F.get("players", F.get("of", i)).alias("player_name"),
+            F.get("flagged", F.get("of", i)).alias("flag"))),
+        lambda e: e["flag"].isNotNull() & F.coalesce(e["flag"]["differs"], F.lit(True)),
+    )
+    return numbered.select(*kept, "team", F.explode(entries).alias("e")).select(
+        *kept, (F.shiftleft(side, 60) + F.shiftleft(part, 40) + F.col("e.i")).alias("seq"),
+        F.col("e.cells").alias("cells"), F.col("e.player_name").alias("player_name"),
+        jersey_number(F.col("e.player_name")).alias("jersey_number"),
+        F.when(F.col("team") != "", F.col("team"))
+        .otherwise(F.concat(F.lit("Unknown "), F.col("team_type"))).alias("team_name"),
     )
 
 

@@ -15,6 +15,13 @@ SHIFT_ROWS = f"""{SHIFTS},
  q as (select gameId, case when isHome=1 then 'Home' else 'Away' end as team_type, shift_id//50000 as part, playerId, shift_id,
    elapsed_time_start%1200 as tip, elapsed_time_start//1200+1 as per, elapsed_time_end-elapsed_time_start as len from shifts)"""
 
+#: A player's rows stand in the order of their text, then a row of sums and one that ends the player.
+SHIFT_PLACES = f"""{SHIFT_ROWS},
+ per_player as (select gameId, team_type, part, playerId, count(*) as n from q group by all),
+ before as (select gameId, team_type, part, playerId, n, cast(coalesce(sum(n+2) over (partition by gameId, team_type, part order by playerId
+   rows between unbounded preceding and 1 preceding),0) as bigint) as ahead from per_player),
+ place as (select *, (case when team_type='Home' then 0 else 1152921504606846976 end) + cast(part as bigint)*1099511627776 + ahead as start from before)"""
+
 CUSTOMERS = """c as (select *, c_custkey//40 as report, c_custkey%40 as spot, ['C','L','R','D','G'][c_custkey%5+1] as letter from customer),
  docs as (select report, count(*) filter (spot<16) as na, count(*) filter (spot between 16 and 31) as nh from c group by 1)"""
 
@@ -26,41 +33,46 @@ def nulls(names: dict[str, str]) -> str:
 SQL = {
     "report_events": f"""with {PBP},
  q as (select *, elapsedTime%1200 as c, event_id%23<>0 as iced, pulled_home=0 as hg from pbp where Event not in ('ON','OFF'))
- select gameId, cast(event_id as varchar) as "#", cast(period as varchar) as Per, 'EV' as Str,
+ select gameId, row_number() over (partition by gameId, event_id//100 order by event_id)-1 as seq, cast(event_id as varchar) as "#", cast(period as varchar) as Per, 'EV' as Str,
   {mm('c')} || {mm('1200-c')} as "Time:Elapsed Game", Event, 'AAA #' || k || ' A&B' as Description,
   case when iced then (10+event_id%12) || ',' || (30+event_id%7) || case when hg then '' else ',99' end else '' end as home_on_ice,
   case when iced then (50+k%5) || ',' || (70+k%3) else '' end as away_on_ice,
   case when iced and hg then '91' else '' end as home_goalie, case when iced then '90' else '' end as away_goalie,
   {mm2('c')} as timeInPeriod, {mm2('1200-c')} as timeRemaining, c as timeInPeriodSec, 1200-c as timeRemainingSec from q""",
-    "report_shifts": f"""with {SHIFT_ROWS}
- select gameId, team_type, (playerId+10) || ' PLAYER, NR' || playerId as player_name, cast(playerId+10 as int) as jersey_number,
+    "report_shifts": f"""with {SHIFT_PLACES}
+ select gameId, team_type, start + row_number() over (partition by gameId, team_type, part, playerId
+   order by shift_id, {mm('tip+len')}) - 1 as seq, (playerId+10) || ' PLAYER, NR' || playerId as player_name, cast(playerId+10 as int) as jersey_number,
   'TEAM ' || team_type as team_name, cast(shift_id%10 as int) as shift_number,
   case when shift_id%50=0 then 'OT' else cast(per as varchar) end as period,
   {mm('tip')} || ' / ' || {mm('1200-tip')} as start_time_elapsed_game, {mm('tip+len')} || ' / ' || {mm('1200-tip')} as end_time_elapsed_game,
   {mm('len')} as duration, '' as event, {mm('tip')} as start_time_in_period, {mm('1200-tip')} as start_time_remaining,
   {mm('tip+len')} as end_time_in_period, {mm('1200-tip')} as end_time_remaining, len as duration_seconds,
   cast(case when shift_id%50=0 then 4 else per end as int) as period_number, tip as start_time_in_period_seconds,
-  1200-tip as start_time_remaining_seconds, tip+len as end_time_in_period_seconds, 1200-tip as end_time_remaining_seconds from q""",
-    "report_summary": f"""with {SHIFT_ROWS},
+  1200-tip as start_time_remaining_seconds, tip+len as end_time_in_period_seconds, 1200-tip as end_time_remaining_seconds
+ from q join place using (gameId, team_type, part, playerId)""",
+    "report_summary": f"""with {SHIFT_PLACES},
  s as (select gameId, team_type, part, playerId, count(*) as n, cast(sum(len) as bigint) as t from q group by 1,2,3,4)
- select gameId, team_type, part, (playerId+10) || ' PLAYER, NR' || playerId as player_name, cast(playerId+10 as int) as jersey_number,
-  'TEAM ' || team_type as team_name, case when playerId%5=0 then 'OT' else '1' end as period, cast(n as int) as shifts_count,
-  {mm('t//n')} as average_duration, {mm('t')} as total_ice_time, {mm('t-1')} as even_strength_total, '0:01' as power_play_total,
-  '' as short_handed_total, cast(t//n as int) as average_duration_seconds, cast(t as int) as total_ice_time_seconds,
+ select gameId, team_type, part, start + s.n as seq, (playerId+10) || ' PLAYER, NR' || playerId as player_name, cast(playerId+10 as int) as jersey_number,
+  'TEAM ' || team_type as team_name, case when playerId%5=0 then 'OT' else '1' end as period, cast(s.n as int) as shifts_count,
+  {mm('t//s.n')} as average_duration, {mm('t')} as total_ice_time, {mm('t-1')} as even_strength_total, '0:01' as power_play_total,
+  '' as short_handed_total, cast(t//s.n as int) as average_duration_seconds, cast(t as int) as total_ice_time_seconds,
   cast(t-1 as int) as even_strength_total_seconds, 1 as power_play_total_seconds, cast(null as int) as short_handed_total_seconds,
-  case when playerId%5=0 then 4 else 1 end as period_number from s""",
+  case when playerId%5=0 then 4 else 1 end as period_number
+ from s join place using (gameId, team_type, part, playerId)""",
     "report_counts": f"""with {SHIFT_ROWS}
  select gameId, team_type, part, count(distinct playerId) as players_count, true as parsing_successful, count(*) as total_shifts,
   count(distinct playerId) as total_summary_records from q group by 1,2,3""",
     "report_rosters": f"""with {CUSTOMERS}
  select c.report, case when spot<16 or spot between 32 and 35 then 'Away' else 'Home' end as team_type,
-  case when spot<32 then 'roster' else 'scratch' end as status, cast(c_custkey%98+1 as varchar) as number, letter as position,
+  case when spot<32 then 'roster' else 'scratch' end as status,
+  cast(row_number() over (partition by c.report, case when spot<32 then spot//16 else spot//4 end order by spot)-1 as int) as seq, cast(c_custkey%98+1 as varchar) as number, letter as position,
   c_name as name, case when letter='G' then 1 else 0 end as is_goalie
  from c join docs using (report) where spot>=32 or (spot<16 and na>=15) or (spot between 16 and 31 and nh>=15)""",
     "report_coaches": f"""with {CUSTOMERS}
  select report, coalesce(max(c_name) filter (spot=0),'') as away_coach, coalesce(max(c_name) filter (spot=16),'') as home_coach from c group by 1""",
     "report_officials": f"""with {CUSTOMERS}
- select report, case when spot<3 then 'referees' when spot=3 then 'linesmen' else 'standby' end as section, lower(c_name) as name
+ select report, case when spot<3 then 'referees' when spot=3 then 'linesmen' else 'standby' end as section, [1,2,4,6][spot] as seq,
+  lower(c_name) as name
  from c where spot between 1 and 4""",
     "report_game_info": f"""with {CUSTOMERS}, d as (select report, report%3=0 as l, report%2=0 as ev, date '2024-01-01' + cast(report%365 as int) as day from docs)
  select report, case when l then 'unknown day' else strftime(day,'%Y-%m-%dT00:00:00') end as date,

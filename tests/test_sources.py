@@ -2,10 +2,12 @@
 
 import json
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from icetally.functions.arrays import running
 from icetally.operators import metrics
 from icetally.plans import game as plans
 from icetally.sources import feeds, reports
@@ -220,3 +222,49 @@ def test_small_pieces(spark):
         ["a", "b", "c", "d", "e", "f"], ["x", "", "", "", "", ""]]
     day = spark.range(1).select(feeds.default_standings_date().alias("d"), F.year(F.current_date()).alias("y")).first()
     assert (day.d.year, day.d.month, day.d.day) == (day.y - 1, 1, 1)
+
+
+def _shift_report(n: int) -> str:
+    rows = "".join(
+        f'<tr class="oddColor"><td>{i}</td><td>1</td><td>0:0{i % 10} / 19:00</td><td>0:40 / 1:00</td><td>00:40</td><td></td></tr>'
+        + (f'<tr class="oddColor"><td>TOT</td></tr><tr><td class="playerHeading">{i} P{i % 500}</td></tr>' if i % 40 == 39 else "")
+        for i in range(n)
+    )
+    return f'<td class="teamHeading">T</td><td class="playerHeading">1 FIRST</td>{rows}'
+
+
+def test_values_along_a_list(spark):
+    """Blocks of any size give what a plain fold gives."""
+    df = spark.createDataFrame([([3, 1, None, 4, 1, 5, 9, 2],), ([],), (None,)], "xs array<int>")
+
+    def step(s, x):
+        total = s["total"] + F.coalesce(x, F.lit(0))
+        return {"total": total}, F.when(x.isNotNull(), total)
+
+    for block in (1, 3, 8, 100):
+        got = [r.out for r in df.select(running(F.col("xs"), {"total": F.lit(0)}, step, "int", block).alias("out")).collect()]
+        assert got[:2] == [[3, 4, None, 8, 9, 14, 23, 25], []] and not got[2]
+
+
+def test_reports_are_linear(spark):
+    """A report of twice the rows takes about twice the time, and no row is lost."""
+    took = {}
+    for n in (200, 10_000, 40_000):
+        docs = spark.createDataFrame([(1, "Home", _shift_report(n))], "gameId bigint, team_type string, html string")
+        start = time.time()
+        rows = reports.shift_rows(docs).agg(
+            F.count("*").alias("n"), F.countDistinct("seq").alias("seqs"), F.max("shift_number").alias("last")).first()
+        took[n] = time.time() - start
+        headings = ["1 FIRST"] + [f"{i} P{i % 500}" for i in range(39, n, 40)]
+        lost = n % 40 == 0  # the last heading has no rows
+        assert rows.n == rows.seqs == 40 * len(set(headings[: len(headings) - lost])) and rows.last == n - 1
+    assert took[40_000] < 8 * took[10_000]
+
+
+def test_many_tables_in_one_row(spark):
+    """On-ice tables are cut in one pass, however many lie in a row; nested ones belong to their outermost one."""
+    n = 20_000
+    cells = "".join(f"<td><table><tr><td>{i}C<table><tr><td>x</td></tr></table></td></tr></table></td>" for i in range(n))
+    docs = spark.createDataFrame([(f'<tr class="evenColor"><td>1</td>{cells}</tr>',)], "html string")
+    row = reports.extract_rows(docs).first()
+    assert row.cells == ["1"] and row.ice == [f"{i}Cx" for i in range(n)]

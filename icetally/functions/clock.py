@@ -29,12 +29,16 @@ def mmss_to_seconds(c: Column) -> Column:
 
 def split_clock(c: Column) -> Column:
     """Two clocks glued together (``"0:0020:00"``) as a struct of zero-padded elapsed / remaining."""
-    pattern = r"^(\d{1,2}:\d{2})(\d{1,2}:\d{2})"
-
-    def part(i: int) -> Column:
-        return F.when(c.rlike(pattern), F.lpad(F.regexp_extract(c, pattern, i), 5, "0"))
-
-    return F.struct(part(1).alias("elapsed"), part(2).alias("remaining"))
+    width = F.instr(c, ":") + 2
+    rest = F.substring(c, width + 1, F.length(c))
+    rest_width = F.instr(rest, ":") + 2
+    elapsed, remaining = F.substring(c, F.lit(1), width), F.substring(rest, F.lit(1), rest_width)
+    whole = (
+        width.between(4, 5) & rest_width.between(4, 5) & (F.length(elapsed) == width) & (F.length(remaining) == rest_width)
+        & (F.translate(F.concat(elapsed, remaining), "0123456789", "") == "::")
+    )
+    return F.struct(*[F.when(whole, F.lpad(part, 5, "0")).alias(name)
+                      for part, name in ((elapsed, "elapsed"), (remaining, "remaining"))])
 
 
 def period_number(c: Column) -> Column:

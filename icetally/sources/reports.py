@@ -437,21 +437,35 @@ def report_game_info(reports: DataFrame) -> DataFrame:
     date_text = F.regexp_extract("date_raw", rf"^(?:{days}), (\w+ \d{{1,2}}, \d{{4}})$", 1)
     docs = docs.withColumn("day", F.to_date(F.try_to_timestamp(date_text, F.lit("MMMM d, yyyy"))))
 
-    def found(c: str, pattern: str, i: int = 1) -> Column:
-        hit = F.regexp_extract(c, pattern, i)
-        return F.when(hit != "", F.trim(hit))
+    def words(c: Column) -> Column:
+        return F.filter(F.split(c, r"\s+"), lambda w: w != "")
+
+    def from_word(c: Column, word: str) -> Column:
+        """The words of a text behind the first one that equals `word`, whatever its case; none without it."""
+        return let(words(c), lambda ws: let(F.array_position(F.transform(ws, F.lower), word).cast("int"), lambda at: F.when(
+            at > 0, F.slice(ws, at + 1, F.size(ws))).otherwise(F.array().cast("array<string>"))))
+
+    def filled(c: Column) -> Column:
+        return F.when(c != "", c)
 
     docs = docs.withColumns({
-        "attendance": F.replace(found("place", r"(?i)Attendance\s+([\d,]+)"), F.lit(","), F.lit("")),
-        "venue": found("place", r"(?i)at\s+(.+)$"),
-        "start_time_raw": found("times", r"(?i)Start\s+([^;]+)"),
-        "end_time_raw": found("times", r"(?i)End\s+(.+)$"),
+        "attendance": filled(F.regexp_replace(F.get(from_word(F.col("place"), "attendance"), F.lit(0)), "[^0-9]", "")),
+        "venue": filled(F.array_join(from_word(F.col("place"), "at"), " ")),
+        **{
+            # times stand apart by semicolons, each behind its name
+            f"{end}_time_raw": F.array_max(F.transform(
+                F.split("times", ";"), lambda t: filled(F.array_join(from_word(t, end), " "))))
+            for end in ("start", "end")
+        },
     })
-    clock = r"(?i)(\d{1,2}):(\d{2})(?:\s*(AM|PM))?\s*([A-Z]{3,4})?"
     for end in ("start", "end"):
         raw = f"{end}_time_raw"
-        hour, minute = to_int(F.regexp_extract(raw, clock, 1)), to_int(F.regexp_extract(raw, clock, 2))
-        half = F.upper(F.regexp_extract(raw, clock, 3))
+        ws = F.split(raw, " ")
+        clock = F.split(F.get(ws, F.lit(0)), ":")
+        hour, minute = to_int(F.get(clock, F.lit(0))), to_int(F.get(clock, F.lit(1)))
+        after = F.upper(F.coalesce(F.get(ws, F.lit(1)), F.lit("")))
+        half = F.when(after.isin("AM", "PM"), after).otherwise("")
+        is_clock = (F.size(clock) == 2) & hour.isNotNull() & minute.isNotNull()
         h24 = (
             F.when((half == "") & hour.between(0, 23), hour)
             .when((half == "AM") & hour.between(1, 12), hour % 12)
@@ -460,9 +474,9 @@ def report_game_info(reports: DataFrame) -> DataFrame:
         valid = h24.isNotNull() & minute.between(0, 59)
         hhmm = F.concat(F.lpad(h24.cast("string"), 2, "0"), F.lit(":"), F.lpad(minute.cast("string"), 2, "0"), F.lit(":00"))
         full = F.when(F.col("day").isNotNull(), F.concat(F.col("day").cast("string"), F.lit("T"), hhmm)).otherwise(hhmm)
-        zone = F.regexp_extract(raw, clock, 4)
+        zone = F.coalesce(F.when(half == "", F.get(ws, F.lit(1))).otherwise(F.get(ws, F.lit(2))), F.lit(""))
         docs = docs.withColumns({
-            f"{end}_time": F.when(valid, full).when(F.col(raw).rlike(clock), F.col(raw)),
+            f"{end}_time": F.when(valid, full).when(is_clock, F.col(raw)),
             f"{end}_timezone": F.when(valid & (zone != ""), zone),
         })
     return docs.select(

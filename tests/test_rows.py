@@ -20,6 +20,13 @@ def test_clock(spark):
     ]
 
 
+def test_glued_clocks(spark):
+    texts = ["0:0020:00", "10:059:55", "12:3407:26", "1:2:3", "12:34", "x0:0020:00", "0:0a20:00", "", None, "0:0020:00 x"]
+    got = spark.createDataFrame([(t,) for t in texts], "c string").select(clock.split_clock(F.col("c")).alias("s")).select("s.*")
+    assert [tuple(r) for r in got.collect()] == [
+        ("00:00", "20:00"), ("10:05", "09:55"), ("12:34", "07:26"), *[(None, None)] * 6, ("00:00", "20:00")]
+
+
 def test_geometry_edges(spark):
     df = spark.createDataFrame([(-95.0, 0.0), (None, 3.0), (95.0, 0.0), (-50.0, 10.0)], "xCoord double, yCoord double")
     rows = geometry.rink_geometry(df).collect()

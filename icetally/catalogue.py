@@ -359,6 +359,10 @@ def _design(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return xg.predict_xg(_features(spark, sf_dir), fixtures.forest()).select("event_id", "gameId", "Event", "xG")
+
+
+def _fitted_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     feats = _features(spark, sf_dir)
     model = xg.fit_xg(feats, max_iter=5, max_depth=3)
     return xg.predict_xg(feats, model).select("event_id", "gameId", "Event", "xG")
@@ -367,7 +371,7 @@ def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _xg_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What must hold for the scores of any model: a score exactly on the shot rows, inside [0, 1], no row lost."""
     score = F.col("xG")
-    return _scores(spark, sf_dir).groupBy("Event").agg(
+    return _fitted_scores(spark, sf_dir).groupBy("Event").agg(
         F.count("*").alias("n"), F.count(score).alias("scored"),
         F.count(F.when(~score.between(0, 1), 1)).alias("outside"), F.countDistinct("event_id").alias("events"),
     )
@@ -377,6 +381,7 @@ SHOTS: dict[str, Query] = {
     "xg_features": lambda s, d: tidy(_features(s, d).select(*_FEATURES)),
     "shots_design_matrix": lambda s, d: tidy(_design(s, d)),
     "xg_scores": lambda s, d: tidy(_scores(s, d)),
+    "xg_fitted_scores": lambda s, d: tidy(_fitted_scores(s, d)),
     "xg_frame": _xg_frame,
 }
 
@@ -529,7 +534,7 @@ def _ids(c: str) -> Column:
 
 def _game_pbp(spark: SparkSession, sf_dir: str) -> DataFrame:
     events, shift_docs, payloads = _game_inputs(spark, sf_dir)
-    held: list[DataFrame] = []
+    held: list[str] = []
     games = plans.hold(feeds.parse_game(payloads), held)
     shifts = plans.hold(plans.build_shifts(shift_docs, games), held)
     pbp = plans.build_pbp(events, games, shifts, held=held)
@@ -542,10 +547,13 @@ def _game_pbp(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _game_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wide, _ = plans.pipeline(*_game_inputs(spark, sf_dir), max_skaters=2, held=[])
-    return tidy(wide.where(is_play(F.col("Event"))).select(
-        "gameId", "eventId", "Event", "x_norm", "previousEvent", "timeDiff", "home_skater_id_1", "home_skater_name_2",
-        "away_skater_id_2", "home_goalie_id", "away_goalie_name", "isGoal",
+    """Plays and changes of whole games with previous play, xG of the stored model and all on-ice slots."""
+    wide, _ = plans.pipeline(*_game_inputs(spark, sf_dir), model=fixtures.forest(), held=[])
+    slots = [f"{side}_{kind}" for side in ("home", "away")
+             for kind in (*(f"skater_{what}_{i}" for i in range(1, 7) for what in ("id", "name")), "goalie_id", "goalie_name")]
+    return tidy(wide.select(
+        "gameId", "eventId", "Event", F.col("#").alias("position"), "elapsedTime", "x_norm", "previousEvent", "timeDiff",
+        "strengthDiff", "scoreDiff", "shootEmptyNet", "isRebound", "isGoal", "xG", *slots,
     ))
 
 

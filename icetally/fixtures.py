@@ -82,3 +82,23 @@ def shifts(spark: SparkSession, sf_dir: str) -> DataFrame:
         start.alias("elapsed_time_start"),
         (start + F.floor("l_quantity").cast("int")).alias("elapsed_time_end"),
     )
+
+
+def forest() -> dict:
+    """A small stored shot model: numbers, a flag, categories and a missing value."""
+    def split(name: str, limit: object, yes: object, no: object) -> dict:
+        test = {"among": limit} if isinstance(limit, list) else {"at_most": limit}
+        return {"input": name, **test, **{k: v if isinstance(v, dict) else {"value": v} for k, v in (("yes", yes), ("no", no))}}
+
+    return {
+        "scale": 2.0, "base": -0.25, "missing": {"distanceFromGoal": 60.0, "timeDiff": 9.0},
+        "trees": [
+            {"weight": 1.0, "root": split(
+                "distanceFromGoal", 30.5, split("angle_signed", -10.0, 0.4, split("isRebound", 0.5, 0.2, 0.9)),
+                split("shotType", ["wrist", "<NA>"], -0.6, -0.9))},
+            {"weight": 0.5, "root": split(
+                "previousEvent", ["FAC", "STOP"], split("timeDiff", 4.0, 0.3, -0.1),
+                split("strengthDiff", 0.0, -0.2, split("shootEmptyNet", 0.5, 0.1, 0.7)))},
+            {"weight": 0.25, "root": split("scoreDiff", -1.0, 0.15, split("previousEventXNorm", 25.0, -0.35, 0.05))},
+        ],
+    }

@@ -6,7 +6,6 @@ from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +13,7 @@ from icetally.functions.clock import to_double
 from icetally.functions.columns import ensure_columns
 from icetally.functions.events import CHANGES, XG_EVENTS
 from icetally.functions.geometry import rink_geometry
+from icetally.operators.forest import compile_forest, filled, forest_score, inputs_of
 from icetally.operators.ordered import in_order
 
 # The model's inputs.
@@ -151,20 +151,23 @@ def fit_xg(pbp_features: DataFrame, seed: int = 7, max_iter: int = 20, max_depth
         shots.unpersist()
 
 
-def predict_xg(pbp_features: DataFrame, model: PipelineModel, xg_col: str = "xG") -> DataFrame:
-    """The input with an ``xg_col`` filled on shot rows; rows are scored in place, nothing is joined back."""
+def predict_xg(pbp_features: DataFrame, model: PipelineModel | dict, xg_col: str = "xG") -> DataFrame:
+    """The input with an ``xg_col`` filled on shot rows, by a fitted pipeline or a forest (see ``operators.forest``).
+
+    The trees become one expression that is evaluated on shot rows only; no vectors are built, nothing is joined back.
+    """
+    forest = model if isinstance(model, dict) else compile_forest(model)
+    used = inputs_of(forest)
     wanted = {c: "double" for c in NUMERIC} | {c: "boolean" for c in FLAGS} | {c: "string" for c in CATEGORIES}
+    if unknown := used - set(wanted):
+        raise ValueError(f"inputs that shots do not have: {sorted(unknown)}")
     df = ensure_columns(pbp_features, wanted)
     shot = F.coalesce(F.col("Event").isin(*XG_EVENTS), F.lit(False))
-    originals = {c: f"_raw_{c}" for c in (*NUMERIC, *FLAGS, *CATEGORIES)}
-    staged = df.withColumns({raw: F.col(c) for c, raw in originals.items()}).withColumns(
-        {c: to_double(F.col(c)) for c in NUMERIC}
+    inputs = (
+        {c: filled(forest, c, to_double(F.col(c))) for c in NUMERIC}
         | {c: F.coalesce(F.col(c).cast("boolean"), F.lit(False)).cast("int") for c in FLAGS}
         | {c: F.coalesce(F.trim(F.col(c).cast("string")), F.lit("<NA>")) for c in CATEGORIES}
     )
-    scored = model.transform(staged).withColumn(
-        xg_col, F.when(shot, vector_to_array("probability")[1])
-    )
-    back = [F.col(raw).alias(c) for c, raw in originals.items() if c in pbp_features.columns]
-    rest = [c for c in pbp_features.columns if c not in originals and c != xg_col]
-    return scored.select(*rest, *back, xg_col).select(*[c for c in pbp_features.columns if c != xg_col], xg_col)
+    staged = df.withColumns({f"_in_{c}": inputs[c] for c in sorted(used)})
+    scored = staged.withColumn(xg_col, F.when(shot, forest_score(forest, "_in_{}")))
+    return scored.select(*[c for c in pbp_features.columns if c != xg_col], xg_col)

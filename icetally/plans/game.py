@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from icetally.functions.clock import elapsed_time, player_team, position_group, to_int
@@ -14,6 +13,7 @@ from icetally.functions.strength import on_ice_counts, strength_strings
 from icetally.operators import onice, ordered, shifts as shift_ops
 from icetally.operators.joins import jersey_maps, join_dimension
 from icetally.operators.xg import engineer_xg_features, predict_xg
+from icetally.session import delete_path, shared_path
 from icetally.sources import feeds, reports
 
 _PLAY_COLUMNS = (
@@ -23,22 +23,24 @@ _PLAY_COLUMNS = (
 )
 
 
-def hold(df: DataFrame, held: list[DataFrame] | None) -> DataFrame:
-    """df, kept in memory and on disk if the caller gives a list to take it; ``release`` frees what the list holds.
+def hold(df: DataFrame, held: list[str] | None) -> DataFrame:
+    """df, written to the shared folder if the caller gives a list to take its path; ``release`` deletes what it lists.
 
     Parsed documents are used by several branches of a whole-game plan; without holding them every branch parses
-    its own. A lost executor's part is parsed again.
+    its own. Nothing stays in executors' memory, and what follows survives lost executors without parsing again.
     """
-    if held is not None:
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
-        held.append(df)
-    return df
+    if held is None:
+        return df
+    path = shared_path(df.sparkSession, "held")
+    df.write.parquet(path)
+    held.append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release(held: list[DataFrame]) -> None:
-    """Frees the held tables; to be called when the results have been written."""
+def release(spark: SparkSession, held: list[str]) -> None:
+    """Deletes the held tables; to be called when the results have been written."""
     while held:
-        held.pop().unpersist()
+        delete_path(spark, held.pop())
 
 
 def build_shifts(shift_reports: DataFrame, games: DataFrame) -> DataFrame:
@@ -94,7 +96,7 @@ def _api_plays(games: DataFrame) -> DataFrame:
 
 def build_pbp(
     event_reports: DataFrame, games: DataFrame, shifts: DataFrame, strict_compat: bool = False,
-    held: list[DataFrame] | None = None,
+    held: list[str] | None = None,
 ) -> DataFrame:
     """Report rows joined to feed plays, with on-ice lists and strengths, merged with ON/OFF rows into
     one ordered table per game.
@@ -164,8 +166,8 @@ def build_players(shifts: DataFrame) -> DataFrame:
 
 
 def pipeline(
-    event_reports: DataFrame, shift_reports: DataFrame, payloads: DataFrame, model: PipelineModel | None = None,
-    max_skaters: int = 6, held: list[DataFrame] | None = None,
+    event_reports: DataFrame, shift_reports: DataFrame, payloads: DataFrame, model: PipelineModel | dict | None = None,
+    max_skaters: int = 6, held: list[str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(play-by-play with features, xG when a model is given and wide on-ice columns, players)."""
     games = hold(feeds.parse_game(payloads), held)

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -27,3 +31,30 @@ def build_session(app: str = "icetally", master: str | None = None, **conf: obje
     for key, value in settings.items():
         builder = builder.config(key, str(value))
     return builder.getOrCreate()
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that all executors and the driver see, from ``spark.checkpoint.dir``.
+
+    Where it is unset a local session takes a temporary folder; on a cluster that would be the driver's own disk, so it
+    is an error there.
+    """
+    context = spark.sparkContext
+    found = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    if not found:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors see")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
+        found = context.getCheckpointDir()
+    return found
+
+
+def shared_path(spark: SparkSession, stem: str) -> str:
+    """A new path in the shared folder."""
+    return os.path.join(shared_dir(spark), f"{stem}-{uuid.uuid4().hex}")
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of any store."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

@@ -1,7 +1,7 @@
 """Answers for whole games, straight from the rows the documents were rendered from."""
 
 from oracle.base import PBP
-from oracle.row_queries import RANK
+from oracle.row_queries import _GEO, RANK, shot_score
 
 GAMES = f"""{PBP},
  e as (select *, event_id//100 as g, elapsedTime%1200 as clock, user_id%12 as pid, {RANK} as rank from pbp),
@@ -19,6 +19,49 @@ GAMES = f"""{PBP},
   from e where Event not in ('ON','OFF')),
  ch as (select g, event_id, 'ON' as Event, a as t, pid, home, period from sh union all select g, event_id, 'OFF', b, pid, home, period from sh)"""
 
+def _pipeline() -> str:
+    """Plays with the play before them, its geometry and the stored model's score; changes without any of it."""
+    def slots(ids: dict[str, str], names: dict[str, str], goalies: dict[str, tuple[str, str]]) -> str:
+        out = []
+        for side in ("home", "away"):
+            for i in range(1, 7):
+                out += [f"{ids.get(f'{side}{i}', 'null')}::bigint as {side}_skater_id_{i}",
+                        f"{names.get(f'{side}{i}', 'null')}::varchar as {side}_skater_name_{i}"]
+            gid, name = goalies.get(side, ("null", "null"))
+            out += [f"{gid}::bigint as {side}_goalie_id", f"{name}::varchar as {side}_goalie_name"]
+        return ", ".join(out)
+
+    def name(c: str) -> str:
+        return f"('F'||({c}-1000)||' L'||({c}-1000))"
+
+    ids = {"home1": "h1", "home2": "h2", "away1": "a1", "away2": "a2"}
+    names = {k: name(v) for k, v in ids.items()}
+    goalies = {"home": ("case when hn=2 then 1000 end", "case when hn=2 then 'F0 L0' end"), "away": ("1001", "'F1 L1'")}
+    return f"""with {GAMES},
+ w as (select *, {_GEO}, eventTeam='AAA' as isH from plays),
+ x as (select *, sqrt((89-xn)*(89-xn)+yn*yn) as distanceFromGoal, degrees(atan2(yn, 89-xn)) as angle_signed,
+   (select count(*) from plays b where b.g=w.g and (b.elapsedTime, b.rank, b.event_id) <= (w.elapsedTime, w.rank, w.event_id))
+    + (select count(*) from ch where ch.g=w.g and (ch.t, 8) < (w.elapsedTime, w.rank)) as position from w),
+ o as (select *, lag(Event) over p as pe, lag(elapsedTime) over p as pt, lag(eventTeam) over p as pteam, lag(xn) over p as px
+  from x window p as (partition by g order by elapsedTime, rank, event_id)),
+ f as (select *, pe as previousEvent, elapsedTime-pt as timeDiff, px as previousEventXNorm,
+   cast(case when isH then hn-2 else 2-hn end as double) as strengthDiff,
+   cast(case when isH then hs - (case when Event='GOAL' then 1 else 0 end) else -(case when Event='GOAL' then 1 else 0 end) - hs end as double)+0.0 as scoreDiff,
+   not isH and hn=3 as shootEmptyNet,
+   coalesce(pe='SHOT' and Event='SHOT' and pteam=eventTeam and elapsedTime-pt between 0 and 3, false) as isRebound from o)
+ select g as gameId, event_id as eventId, Event, position, elapsedTime, xn as x_norm, previousEvent, timeDiff, strengthDiff, scoreDiff,
+  shootEmptyNet, isRebound, Event='GOAL' as isGoal,
+  case when Event in ('GOAL','SHOT','MISS') then round({shot_score("'<NA>'")},6) end as xG, {slots(ids, names, goalies)} from f
+ union all
+ select ch.g, null, ch.Event,
+  (select count(*) from plays b where b.g=ch.g and (b.elapsedTime, b.rank) <= (ch.t, 8))
+   + (select count(*) from ch c where c.g=ch.g and (c.t, c.Event='OFF', not c.home, c.pid, c.event_id) <= (ch.t, ch.Event='OFF', not ch.home, ch.pid, ch.event_id)),
+  ch.t, null, null, null, null,
+  (case when home then 1 else -1 end) * coalesce((select arg_max(hs, (b.elapsedTime, b.rank, b.event_id)) from plays b
+    where b.g=ch.g and (b.elapsedTime, b.rank) < (ch.t, 8)),0)::double + 0.0,
+  false, null, false, null, {slots({}, {}, {})} from ch"""
+
+
 SQL = {
     "game_shifts": f"""with {GAMES}
  select sh.g as gameId, case when known.g is not null then 1000+pid end as playerId, case when known.g is not null then 'F'||pid||' L'||pid end as fullName,
@@ -53,9 +96,5 @@ SQL = {
   null, case when ch.t<m then h||'v'||w end,
   case when ch.t<m then h||case when hg=0 then '*' else '' end||'v'||w||case when wg=0 then '*' else '' end end, null, null, null, null, null
  from ch join lab on lab.g=ch.g and lab.t=ch.t join tail on tail.g=ch.g""",
-    "game_pipeline": f"""with {GAMES},
- o as (select *, lag(Event) over (partition by g order by elapsedTime, rank, event_id) as pe, lag(elapsedTime) over (partition by g order by elapsedTime, rank, event_id) as pt from plays)
- select g as gameId, event_id as eventId, Event, case when xCoord<0 then -xCoord else xCoord end as x_norm, pe as previousEvent, elapsedTime-pt as timeDiff,
-  h1 as home_skater_id_1, 'F'||(h2-1000)||' L'||(h2-1000) as home_skater_name_2, a2 as away_skater_id_2,
-  cast(case when hn=2 then 1000 end as bigint) as home_goalie_id, 'F1 L1' as away_goalie_name, Event='GOAL' as isGoal from o""",
+    "game_pipeline": _pipeline(),
 }

@@ -104,6 +104,17 @@ def _design() -> str:
     return f"with {FEATURES} select {', '.join(cols)} from f where Event in ('GOAL','SHOT','MISS')"
 
 
+def shot_score(shot_type: str) -> str:
+    """The three trees of the stored shot model, written out."""
+    first = f"""case when coalesce(distanceFromGoal,60) <= 30.5
+      then case when angle_signed <= -10 then 0.4 when isRebound then 0.9 else 0.2 end
+      when {shot_type} in ('wrist','<NA>') then -0.6 else -0.9 end"""
+    second = """case when coalesce(previousEvent,'<NA>') in ('FAC','STOP') then case when coalesce(timeDiff,9) <= 4 then 0.3 else -0.1 end
+      when strengthDiff <= 0 then -0.2 when shootEmptyNet then 0.7 else 0.1 end"""
+    third = "case when scoreDiff <= -1 then 0.15 when previousEventXNorm <= 25 then -0.35 else 0.05 end"
+    return f"1/(1+exp(-2*(-0.25 + ({first})::double + 0.5*({second})::double + 0.25*({third})::double)))"
+
+
 SQL = {
     "shift_events": f"with {SHIFTS}, {EVENTS} select * from ev",
     "strength_segments_multiset": f"""with {SEGMENTS}
@@ -200,6 +211,8 @@ SQL = {
   previousElapsedTime, round(previousEventDistanceFromGoal,6) as previousEventDistanceFromGoal,
   round(previousEventAngleSigned,6) as previousEventAngleSigned, previousEventXNorm, previousEventYNorm, timeDiff, isRebound, isGoal from f""",
     "shots_design_matrix": _design(),
+    "xg_scores": f"""with {FEATURES}
+ select event_id, gameId, Event, case when Event in ('GOAL','SHOT','MISS') then round({shot_score("(case k%3 when 0 then 'wrist' when 1 then 'slap' else '<NA>' end)")},6) end as xG from f""",
     "xg_frame": f"""with {PBP}
  select Event, count(*) as n, count(*) filter (Event in ('GOAL','SHOT','MISS')) as scored, 0::bigint as outside,
   count(distinct event_id) as events from pbp group by 1""",

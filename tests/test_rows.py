@@ -1,10 +1,11 @@
 """Row order, on-ice lists, shifts, scalar functions and shot features on hand cases."""
 
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from icetally.functions import arrays, clock, columns, geometry, rates
-from icetally.operators import joins, onice, ordered, shifts, xg
+from icetally.operators import forest, joins, onice, ordered, shifts, xg
 from icetally.sources import sinks
 
 
@@ -208,6 +209,43 @@ def test_model(spark):
     assert min(r.xG for r in rows if r.Event == "GOAL") > max(r.xG for r in rows if r.Event == "SHOT")
 
 
+def test_compiled_trees_equal_the_fitted_model(spark, tmp_path):
+    """Random shots with missing numbers, unseen texts and flags: the expression gives the model's own probabilities."""
+    rng = F.rand(5)
+    n = 3000
+    shots = spark.range(n).select(
+        F.col("id").alias("event_id"), F.lit("SHOT").alias("Event"), F.lit(1).alias("gameId"),
+        *[F.when(F.rand(i) > 0.1, F.round(F.rand(i + 50) * 100 - 40, 1)).alias(c) for i, c in enumerate(xg.NUMERIC)],
+        *[(F.rand(i + 100) > 0.5).alias(c) for i, c in enumerate(xg.FLAGS)],
+        F.element_at(F.array(*[F.lit(x) for x in ("wrist ", "slap", "tip-in", None)]), (F.col("id") % 4 + 1).cast("int")).alias("shotType"),
+        F.element_at(F.array(F.lit("EV"), F.lit("it's")), (F.col("id") % 2 + 1).cast("int")).alias("strength"),
+        F.element_at(F.array(F.lit("SHOT"), F.lit("FAC"), F.lit("HIT")), (F.col("id") % 3 + 1).cast("int")).alias("previousEvent"),
+        (rng < F.when(F.col("id") % 4 == 1, 0.7).otherwise(0.2)).alias("isGoal"),
+    ).cache()
+    model = xg.fit_xg(shots.where("event_id % 4 != 2"), max_iter=6, max_depth=4)
+    stored = forest.compile_forest(model)
+    kinds = {k for t in stored["trees"] for k in _tests(t["root"])}
+    assert kinds == {"at_most", "among"}
+    forest.write_forest(spark, stored, str(tmp_path / "model"))
+    assert forest.read_forest(spark, str(tmp_path / "model")) == stored
+    own = {r.event_id: r.p for r in model.transform(xg.shots_design_matrix(shots)).select(
+        "event_id", vector_to_array("probability")[1].alias("p")).collect()}
+    got = {r.event_id: r.xG for r in xg.predict_xg(shots, stored).collect()}
+    assert len(got) == n and max(abs(own[i] - got[i]) for i in own) < 1e-12
+    assert len({round(p, 9) for p in got.values()}) > 50
+    plan = xg.predict_xg(shots, stored)._jdf.queryExecution().executedPlan().toString()
+    assert "UDF" not in plan and "Python" not in plan
+    with pytest.raises(ValueError, match="do not have"):
+        xg.predict_xg(shots, {"trees": [{"root": {"input": "weather", "at_most": 1.0, "yes": {"value": 1}, "no": {"value": 0}}}]})
+
+
+def _tests(node):
+    if "input" in node:
+        yield "at_most" if "at_most" in node else "among"
+        yield from _tests(node["yes"])
+        yield from _tests(node["no"])
+
+
 @pytest.mark.parametrize("fmt", ["csv", "json", "parquet"])
 def test_write(spark, tmp_path, fmt):
     df = spark.createDataFrame([(1, [1, 2])], "a int, b array<int>")

@@ -135,7 +135,7 @@ def _occurrence_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The k-th play of a key in row order meets the k-th in reverse row order."""
     rows = _plays(spark, sf_dir).select("gameId", "Event", F.col("period").alias("Per"),
                                         F.col("elapsedTime").alias("Time"), "seq")
-    return ordered.occurrence_join(rows, rows, right_order=F.col("seq").desc()).select(
+    return ordered.occurrence_join(rows, rows, right_descending=True).select(
         "gameId", "Event", "Per", "Time", "merge_idx", "seq", "seq_api"
     )
 

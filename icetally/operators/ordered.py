@@ -2,19 +2,25 @@
 
 A game may hold a large share of all rows, so no window runs over a whole game of rows. Rows are ordered
 inside one (game, second) cell; what crosses cells (the last known value, the last row, the number of
-rows so far) is first reduced to one row per cell, carried over the cells of a game and joined back.
+rows so far) is first reduced to one row per cell, carried over the cells of a game and joined back. Rows
+without a second are cut into cells by their order keys, so they spread like any others.
+
+Both branches, the rows and the cells' sums, read one exchange: the input is evaluated once.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from icetally.functions.columns import ensure_columns
 from icetally.functions.events import event_rank
 
 SCOREBOARD = ("awaySOG", "homeSOG", "homeScore", "awayScore")
 _LAST_CELL = 2147483647
+#: Neighbouring places (values of the last order key) of one cell where there is no second.
+PLACES = 1024
 
 
 def nulls_last(name: str) -> list[Column]:
@@ -46,9 +52,8 @@ def in_order(
     """
     previous = previous or {}
     among = F.lit(True) if among is None else F.coalesce(among, F.lit(False))
-    df = df.withColumns(
-        {"_cell": F.coalesce(F.col(second).cast("int"), F.lit(_LAST_CELL)), "_among": among}
-    )
+    cell = F.coalesce(F.col(second).cast("int"), F.lit(_LAST_CELL))
+    df = _in_cells(df.withColumn("_among", among), [game], cell, keys, cell == _LAST_CELL)
     order = F.struct(*keys)
     seen = F.struct(*[v.alias(k) for k, v in previous.items()]) if previous else None
 
@@ -57,31 +62,60 @@ def in_order(
         aggs.append(F.max_by(seen, F.when(F.col("_among"), order)).alias("_last_seen"))
     if number:
         aggs.append(F.count(F.lit(1)).alias("_rows"))
-    so_far = Window.partitionBy(game).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    so_far = _cells_before([game])
     carried = [F.last(f"_last_{c}", ignorenulls=True).over(so_far).alias(f"_carry_{c}") for c in fill]
     if previous:
         carried.append(F.last("_last_seen", ignorenulls=True).over(so_far).alias("_carry_seen"))
     if number:
         carried.append(F.coalesce(F.sum("_rows").over(so_far), F.lit(0)).alias("_carry_rows"))
-    carry = df.groupBy(game, "_cell").agg(*aggs).select(game, "_cell", *carried)
-
-    cell = Window.partitionBy(game, "_cell").orderBy(*keys)
-    upto = cell.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = df.join(carry, [game, "_cell"], "left")
-    new: dict[str, Column] = {
-        c: F.coalesce(F.last(c, ignorenulls=True).over(upto), F.col(f"_carry_{c}"), F.lit(fill_value))
-        for c in fill
-    }
+    carry = _cell_sums(df, aggs).select("_at", *carried)
+
+    inside = Window.partitionBy("_at").orderBy(*keys)
+    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    new: dict[str, Column] = {f"_own_{c}": F.last(c, ignorenulls=True).over(upto) for c in fill}
     if number:
-        new[number] = F.col("_carry_rows") + F.row_number().over(cell)
+        new["_own_rows"] = F.row_number().over(inside)
     if previous:
-        before = cell.rowsBetween(Window.unboundedPreceding, -1)
-        near = F.last(F.when(F.col("_among"), seen), ignorenulls=True).over(before)
-        new["_seen"] = F.coalesce(near, F.col("_carry_seen"))
-    out = out.withColumns(new)
+        before = inside.rowsBetween(Window.unboundedPreceding, -1)
+        new["_own_seen"] = F.last(F.when(F.col("_among"), seen), ignorenulls=True).over(before)
+    out = df.withColumns(new).join(carry, "_at", "left")
+    done: dict[str, Column] = {c: F.coalesce(f"_own_{c}", f"_carry_{c}", F.lit(fill_value)) for c in fill}
+    if number:
+        done[number] = F.col("_carry_rows") + F.col("_own_rows")
     if previous:
-        out = out.withColumns({k: F.when(F.col("_among"), F.col(f"_seen.{k}")) for k in previous})
-    return out.drop("_cell", "_among", "_seen", *[c for c in carry.columns if c.startswith("_carry")])
+        last = F.coalesce("_own_seen", "_carry_seen")
+        done |= {k: F.when(F.col("_among"), last[k]) for k in previous}
+    return out.withColumns(done).drop("_at", "_among", *new, *[c for c in carry.columns if c.startswith("_carry")])
+
+
+def _in_cells(df: DataFrame, groups: list[str], cell: Column, keys: list[Column], cut: Column) -> DataFrame:
+    """df dealt to cells ``_at`` of (groups, cell); where ``cut`` holds, a cell is cut by all keys but the last, and that by PLACES.
+
+    Cells of a group are ordered like its rows. They are structs, so that null groups are groups as well.
+    """
+    last = keys[-1]
+    numeric = isinstance(df.select(last.alias("k")).schema["k"].dataType, T.NumericType)
+    places = F.floor(last / PLACES).cast("bigint") if numeric else F.lit(None).cast("bigint")
+    parts = [F.when(cut, k).alias(f"k{i}") for i, k in enumerate([*keys[:-1], places])]
+    at = F.struct(*[F.col(g).alias(f"g{i}") for i, g in enumerate(groups)], cell.alias("cell"), *parts)
+    return df.withColumn("_at", at).repartition("_at")
+
+
+def _cells_before(groups: list[str]) -> Window:
+    """The cells of a group that lie before a cell."""
+    group = [F.col(f"_at.g{i}") for i in range(len(groups))]
+    return Window.partitionBy(*group).orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _cell_sums(df: DataFrame, aggs: list[Column]) -> DataFrame:
+    """One row per cell.
+
+    The sums ask for every column of df, so that their exchange is the same as that of the rows and is made once;
+    with fewer columns Spark would make another one, from another evaluation of the input.
+    """
+    maps = [f.name for f in df.schema if isinstance(f.dataType, T.MapType)]
+    every = F.xxhash64(*[F.size(f"`{c}`") if c in maps else F.col(f"`{c}`") for c in df.columns])
+    return df.groupBy("_at").agg(*aggs, F.max(every).alias("_every")).where("_every is not null")
 
 
 def scoreboard_ffill(df: DataFrame, keys: list[Column] | None = None) -> DataFrame:
@@ -95,19 +129,34 @@ def canonical_order(df: DataFrame) -> DataFrame:
     return in_order(df, canonical_keys(df), number="#")
 
 
-def occurrence(df: DataFrame, keys: tuple[str, ...], order: Column, out: str = "merge_idx") -> DataFrame:
-    """Numbers the rows sharing a key from 0."""
-    return df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(order)) - 1)
+def occurrence(
+    df: DataFrame, keys: tuple[str, ...], order: Column, out: str = "merge_idx", descending: bool = False
+) -> DataFrame:
+    """Numbers the rows sharing a key from 0, in the order of a column; rows without a value come first.
+
+    A key may hold a large share of all rows: its rows are dealt to cells of neighbouring places, numbered inside them,
+    and the sizes of the cells before are added.
+    """
+    df = df.withColumn("_place", order)
+    place = F.col("_place")
+    if descending and isinstance(df.schema["_place"].dataType, T.NumericType):
+        df, descending = df.withColumn("_place", -place), False
+    df = _in_cells(df, [*keys], F.lit(0), [place], F.lit(True))
+    ahead = F.coalesce(F.sum("_rows").over(_cells_before([*keys])), F.lit(0)).alias("_ahead")
+    sums = _cell_sums(df, [F.count(F.lit(1)).alias("_rows")]).select("_at", ahead)
+    inside = Window.partitionBy("_at").orderBy(place.desc_nulls_first() if descending else place)
+    return df.withColumn("_own", F.row_number().over(inside) - 1).join(sums, "_at", "left").withColumn(
+        out, (F.col("_own") + F.col("_ahead")).cast("int")).drop("_at", "_place", "_own", "_ahead")
 
 
 def occurrence_join(
     left: DataFrame, right: DataFrame, keys: tuple[str, ...] = ("gameId", "Event", "Per", "Time"),
-    left_order: Column | None = None, right_order: Column | None = None,
+    left_order: Column | None = None, right_order: Column | None = None, right_descending: bool = False,
 ) -> DataFrame:
     """Left join pairing the k-th left row of a key with the k-th right row of that key. Columns both
     sides have take the suffix ``_api`` on the right."""
     a = occurrence(left, keys, F.col("seq") if left_order is None else left_order)
-    b = occurrence(right, keys, F.col("seq") if right_order is None else right_order)
+    b = occurrence(right, keys, F.col("seq") if right_order is None else right_order, descending=right_descending)
     on = [*keys, "merge_idx"]
     b = b.withColumnsRenamed({c: f"{c}_api" for c in b.columns if c in a.columns and c not in on})
     return a.join(b, on, "left")

@@ -90,6 +90,65 @@ def test_order_matches_sorting(spark):
     assert {(r.gameId, r.seq): (r["#"], r.homeScore, r.before) for r in got} == want
 
 
+def _tasks_with_rows(df, key: str) -> dict:
+    rows = df.select(F.spark_partition_id().alias("p"), F.col(key).alias("k")).distinct().groupBy("k").count().collect()
+    return {r.k: r["count"] for r in rows}
+
+
+def test_order_without_seconds_spreads(spark):
+    """A game of which nine tenths have no second: right numbers and fills, rows in many tasks, one scan of the input."""
+    n = 20_000
+    df = spark.range(n).select(
+        F.lit(1).alias("gameId"), F.col("id").alias("seq"), F.when(F.col("id") % 10 == 0, (F.col("id") % 97).cast("int")).alias("elapsedTime"),
+        F.lit("SHOT").alias("Event"), F.when(F.col("id") % 50 == 0, (F.col("id") % 7).cast("int")).alias("homeScore"))
+    order = sorted(range(n), key=lambda i: (i % 10 != 0, i % 97 if i % 10 == 0 else 0, i))
+    want, score, before = {}, 0, None
+    for place, i in enumerate(order, 1):
+        score = i % 7 if i % 50 == 0 else score
+        want[i] = (place, score, before)
+        before = i
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        out = ordered.in_order(df, ordered.canonical_keys(df), fill=("homeScore",), number="#", previous={"before": F.col("seq")})
+        assert {r.seq: (r["#"], r.homeScore, r.before) for r in out.collect()} == want
+        dealt = ordered._in_cells(df, ["gameId"], F.lit(0), ordered.canonical_keys(df), F.lit(True))
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        assert _tasks_with_rows(dealt, "gameId")[1] > 5
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+
+
+def test_order_reads_its_input_once(spark, sf_dir):
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(
+        "dayofyear(ts) as gameId", "event_id as seq", "hour(ts) as elapsedTime", "event_type as Event", "cast(value as int) as homeScore")
+    for df in (ordered.canonical_order(events), ordered.scoreboard_ffill(events),
+               ordered.occurrence(events, ("gameId", "Event"), F.col("seq"))):
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert plan.count("FileScan") == 1 and plan.count("ReusedExchange") >= 1
+
+
+def test_occurrence_of_a_hot_key(spark):
+    """A key with most rows is numbered in many tasks; null keys are keys; places may be negative and far apart."""
+    n = 12_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 5 != 0, "hot").when(F.col("id") % 3 == 0, F.concat(F.lit("k"), (F.col("id") % 40).cast("string"))).alias("key"),
+        (F.col("id") * 7 - 30_000).alias("seq"))
+    rows = [(r.key, r.seq) for r in df.collect()]
+    want, counts = {}, {}
+    for key, seq in sorted(rows, key=lambda r: r[1]):
+        want[key, seq] = counts.get(key, 0)
+        counts[key] = want[key, seq] + 1
+    assert {(r.key, r.seq): r.merge_idx for r in ordered.occurrence(df, ("key",), F.col("seq")).collect()} == want
+    back = {(r.key, r.seq): counts[r.key] - 1 - r.merge_idx
+            for r in ordered.occurrence(df, ("key",), F.col("seq"), descending=True).collect()}
+    assert back == want
+    texts = spark.createDataFrame([("a", "x"), ("a", "b"), (None, "c"), (None, None)], "key string, at string")
+    assert sorted(repr(tuple(r)) for r in ordered.occurrence(texts, ("key",), F.col("at")).collect()) == sorted(
+        repr(r) for r in [("a", "b", 0), ("a", "x", 1), (None, None, 0), (None, "c", 1)])
+
+
 def test_occurrence_join(spark):
     left = spark.createDataFrame([(1, "A", "1", "0:1", i) for i in range(3)], "gameId int, Event string, Per string, Time string, seq long")
     right = spark.createDataFrame([(1, "A", "1", "0:1", i + 10) for i in range(2)], left.schema)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 from itertools import combinations
 
 import pytest
@@ -108,7 +109,8 @@ def test_banded_edit_distance(spark):
 
 
 def brute_dedup(rows, threshold, least):
-    lines = sorted({x for _, t in rows for x in (t or "").split("\n") if len(x) >= least})
+    every = Counter(x for _, t in rows for x in (t or "").split("\n") if WORD.search(x))
+    lines = sorted(x for x in every if len(x) >= least)
     groups = Groups()
     for a, b in combinations(lines, 2):
         if abs(len(a) - len(b)) <= threshold and edits(a, b) <= threshold:
@@ -117,7 +119,7 @@ def brute_dedup(rows, threshold, least):
     for i, t in sorted(rows):
         kept = []
         for x in (t or "").split("\n"):
-            c = groups.find(x) if len(x) >= least else None
+            c = groups.find(x) if len(x) >= least else x if every[x] >= line_dedup.SHORT_TIMES else None
             if c is None or c not in seen:
                 kept.append(x)
             if c is not None:
@@ -132,7 +134,9 @@ def test_lines_match_brute_force(spark):
     rows = []
     for i in range(60):
         lines = ["".join(changed(rng, list(rng.choice(bases)), rng.choice([0, 0, 1, 2, 3, 5]), "abcxyz")) for _ in range(rng.randint(1, 6))]
-        rows.append((i, "\n".join([*lines, "short"])))
+        rows.append((i, "\n".join([*lines, rng.choice(["short", "shorts", f"own {i}", "", "  "]), "Share this"])))
+    for i in range(9):
+        rows.append((100 + i, "nine times\nten times\n\nten times" if i == 4 else "nine times\nten times"))
     got = {r.doc_id: r.text for r in line_dedup.deduped(frame(spark, rows), drop_emptied=False).collect()}
     assert got == brute_dedup(rows, line_dedup.THRESHOLD, line_dedup.MIN_CHARS)
 

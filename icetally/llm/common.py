@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from icetally.session import shared_dir
+
 #: A word is a run of characters other than these blanks.
 WORD = r"[^\x20\x09-\x0D]+"
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -57,16 +58,6 @@ def free_name(df: DataFrame, stem: str) -> str:
     return name
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a temporary one only where none is set, as in tests."""
-    sc = spark.sparkContext
-    found = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if not found:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
-        found = sc.getCheckpointDir()
-    return found
-
-
 def cut(df: DataFrame) -> DataFrame:
     """df written to the shared checkpoint folder: what follows survives lost executors without recomputing it."""
     spark = df.sparkSession

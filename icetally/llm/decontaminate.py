@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import cut, free_name, sized, text_of
 
@@ -303,6 +304,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: s
     digest = F.xxhash64("text") if blocks > 1 else F.lit(0).cast("bigint")
     source = source.withColumn("digest", digest)
     id_type, item_type = (f.dataType.simpleString() for f in (source.schema["doc_id"], items.schema["item_id"]))
+    item_kind = to_arrow_type(items.schema["item_id"].dataType)
     measures = "cosine double, lcs_share double, answer_share double"
     schema = f"doc_id {id_type}, digest bigint, item_id {item_type}, {measures}"
     found = spark.createDataFrame([], schema).withColumn("block", F.lit(0))
@@ -339,7 +341,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: s
                 at = pa.array([i for i, _ in best], pa.int64())
                 items_out = pa.array([item for _, item in best]) if best else pa.array([], pa.null())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(at), batch.column(2).take(at), items_out.cast(item_arrow(item_type)), *(pa.array([v[k] for v in best.values()], pa.float64()) for k in (2, 0, 1))],
+                    [batch.column(0).take(at), batch.column(2).take(at), items_out.cast(item_kind), *(pa.array([v[k] for v in best.values()], pa.float64()) for k in (2, 0, 1))],
                     names=["doc_id", "digest", "item_id", "cosine", "lcs_share", "answer_share"])
 
         found = found.union(source.mapInArrow(search, schema).withColumn("block", F.lit(b)))
@@ -353,10 +355,6 @@ def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: s
     return found.select("doc_id", "item_id", "cosine", "lcs_share", "answer_share")
 
 
-def item_arrow(kind: str) -> pa.DataType:
-    return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
-
-
 def clean(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents that hold no benchmark item, with the columns of docs."""
     row = free_name(docs, "row")

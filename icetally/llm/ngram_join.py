@@ -6,7 +6,8 @@ union. Equal sets are one set from the start. A boundary splits the sets by size
 * Light sets enumerate fixed-size subsets: for each partner size the size of the intersection that a link needs is
   fixed, so linked sets share a subset of that size. There are few such subsets while sets are small.
 * Heavy sets scan inverted lists. First, sets without any near partner are found by counting: elements are dealt to
-  more segments than a link may have differing elements, so linked sets agree on a whole segment. The rest order
+  more segments than a link may have differing elements, so linked sets agree on a whole segment. Segments that many
+  sets share are told beforehand, block by block, and do not travel; the others travel once. The rest order
   their elements by document frequency, rarest first, and are listed under those elements that a first common
   element can be; a set's place of the element bounds the sizes of its partners.
 
@@ -23,6 +24,7 @@ are not carried by `components_of`, and stay in `representatives`.
 from __future__ import annotations
 
 from bisect import bisect_right
+from collections.abc import Iterator
 from itertools import combinations
 from math import comb
 
@@ -37,6 +39,10 @@ from .links import groups
 #: Sizes among which the boundary between light and heavy sets is looked for.
 LIGHTEST, MOST_LIGHT = 2, 40
 
+#: A segment that stands so many times among so many segments of neighbouring rows is hot and is not dealt by its key.
+#: Any choice gives the same result: hot segments are shared ones, and the others are counted.
+HOT_TIMES, HOT_BLOCK = 20, 1 << 20
+
 
 def shingles(text: Column, n: int) -> Column:
     """The sorted hashes of the distinct n-word shingles; the whole sequence if there are fewer words."""
@@ -167,17 +173,46 @@ def _light(described: DataFrame, sizes: Sizes, boundary: int) -> DataFrame:
     return each.select("k.key", F.col("sid").alias("id"), "n", F.lit(0).alias("at"), F.col("k.m").alias("lo"), F.col("k.m").alias("hi"))
 
 
+def hot_keys(described: DataFrame) -> DataFrame:
+    """key: the segments that stand HOT_TIMES or more in one block of HOT_BLOCK segments. Holds one block in memory."""
+
+    def often(held: list[np.ndarray]) -> pa.RecordBatch:
+        keys, times = np.unique(np.concatenate(held), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(keys[times >= HOT_TIMES], pa.int64())], ["key"])
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            held.append(batch.column(0).flatten().to_numpy(zero_copy_only=False))
+            n += len(held[-1])
+            if n >= HOT_BLOCK:
+                yield often(held)
+                held, n = [], 0
+        if held:
+            yield often(held)
+
+    return described.select("segments").mapInArrow(blocks, "key bigint").distinct()
+
+
+def with_partner(described: DataFrame) -> DataFrame:
+    """place: of the sets that agree on a segment with another one; described holds every set once."""
+    each = described.select("place", F.explode("segments").alias("key"))
+    hot = sized(hot_keys(described))
+    spread = each.join(hot, "key", "left_anti").repartition("key")
+    # both branches ask for place and key, so they read one exchange
+    shared = spread.groupBy("key").agg(F.min("place").alias("low"), F.max("place").alias("high")).where("low != high").select("key")
+    return spread.join(shared, "key").select("place").union(each.join(hot, "key", "left_semi").select("place")).distinct()
+
+
 def _heavy(docs: DataFrame, described: DataFrame, sizes: Sizes, boundary: int, doc_id: str, text: str, n: int) -> tuple[DataFrame, DataFrame]:
     """key, id, n, at, lo, hi of the sets that can have a heavy partner; and sid, n, elements of those sets."""
     percent = sizes.percent
     near = described.where(F.col("n") >= sizes.least(boundary))
-    spread = near.select("sid", "row", F.explode("segments").alias("key"))
-    shared = spread.groupBy("key").count().where("count > 1").select("key")
-    rows = sized(spread.join(shared, "key", "left_semi").select("row").distinct())
+    rows = sized(near.select("place", "row").join(with_partner(near), "place").select("row"))
     again = docs.withColumn(row := free_name(docs, "row"), F.xxhash64(F.col(doc_id), text_of(text)))
     chosen = again.join(rows.withColumnRenamed("row", row), row, "left_semi")
-    # a repeated row comes twice; that only raises the frequencies of its elements, by which sets are ordered alike
-    sets = cut(_sets(chosen, doc_id, text, n).select("sid", "n", "elements"))
+    # a repeated row comes twice
+    sets = cut(_sets(chosen, doc_id, text, n).select("sid", "n", "elements").dropDuplicates(["sid"]))
 
     listed = sets.select("sid", "n", F.explode("elements").alias("e"))
     often = listed.groupBy("e").count().where("count > 1")
@@ -195,7 +230,10 @@ def _heavy(docs: DataFrame, described: DataFrame, sizes: Sizes, boundary: int, d
 
 
 def describe(docs: DataFrame, doc_id: str, text: str, n: int, percent: int) -> DataFrame:
-    """doc_id, row, n, sid, few (elements of small sets), segments: one row per document, without its text."""
+    """place, doc_id, row, n, sid, few (elements of small sets), segments: one row per document, without its text.
+
+    place is a number of the row, which takes little room where rows of a place stand together.
+    """
     sizes = Sizes(percent)
     smallest = sizes.least(LIGHTEST)
 
@@ -207,25 +245,25 @@ def describe(docs: DataFrame, doc_id: str, text: str, n: int, percent: int) -> D
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found or [np.empty(0, np.int64)])))
 
     few = F.when(F.col("n") < MOST_LIGHT, F.col("elements")).otherwise(F.array().cast("array<bigint>"))
-    return cut(_sets(docs, doc_id, text, n).select("doc_id", "row", "n", "sid", few.alias("few"), segments("elements").alias("segments")))
+    return cut(_sets(docs, doc_id, text, n).select(
+        F.monotonically_increasing_id().alias("place"), "doc_id", "row", "n", "sid", few.alias("few"), segments("elements").alias("segments")))
 
 
 def components_of(docs: DataFrame, n: int = 3, percent: int = 90, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, row, n_shingles, component, component_id of every row of docs; component_id: its smallest doc_id."""
     sizes = Sizes(percent)
     every = describe(docs, doc_id, text, n, percent)
-    first = every.groupBy("sid").agg(F.min("row").alias("first"))
-    copies = sized(every.join(first, "sid").where("row != first").select("row").distinct())
-    once = every.join(copies, "row", "left_anti")
+    first = every.groupBy("sid").agg(F.min("place").alias("first"))
+    copies = sized(every.select("sid", "place").join(first, "sid").where("place != first").select("place"))
+    once = every.join(copies, "place", "left_anti")
     small = {r["n"]: r["count"] for r in once.where(F.col("n").between(1, 2 * MOST_LIGHT)).groupBy("n").count().collect()}
     boundary = sizes.boundary(small)
     heavy, sets = _heavy(docs, once, sizes, boundary, doc_id, text, n)
     light = _light(once, sizes, boundary)
     members = cut(light.union(heavy).distinct())
-    elements = sets.select("sid", "n", "elements").union(
-        once.where((F.col("n") > 0) & (F.col("n") < boundary)).join(light.select(F.col("id").alias("sid")).distinct(), "sid", "left_semi")
-        .select("sid", "n", F.col("few").alias("elements"))).dropDuplicates(["sid"])
-    elements = cut(elements)
+    only_light = once.where((F.col("n") > 0) & (F.col("n") < boundary)).join(sets, "sid", "left_anti").join(
+        light.select(F.col("id").alias("sid")).distinct(), "sid", "left_semi")
+    elements = sets.union(cut(only_light.select("sid", "n", F.col("few").alias("elements"))))
 
     def meets(a: str, b: str) -> Column:
         return F.col(f"{a}n").between(F.col(f"{b}lo"), F.col(f"{b}hi")) & F.col(f"{b}n").between(F.col(f"{a}lo"), F.col(f"{a}hi"))

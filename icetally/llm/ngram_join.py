@@ -33,6 +33,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from icetally.session import delete_path, shared_path
+
 from .common import cut, free_name, lower_ascii, sized, text_of, words
 from .links import groups
 
@@ -204,15 +206,19 @@ def with_partner(described: DataFrame) -> DataFrame:
     return spread.join(shared, "key").select("place").union(each.join(hot, "key", "left_semi").select("place")).distinct()
 
 
-def _heavy(docs: DataFrame, described: DataFrame, sizes: Sizes, boundary: int, doc_id: str, text: str, n: int) -> tuple[DataFrame, DataFrame]:
+def _heavy(docs: DataFrame, every: DataFrame, described: DataFrame, sizes: Sizes, boundary: int, doc_id: str, text: str, n: int) -> tuple[DataFrame, DataFrame]:
     """key, id, n, at, lo, hi of the sets that can have a heavy partner; and sid, n, elements of those sets."""
     percent = sizes.percent
     near = described.where(F.col("n") >= sizes.least(boundary))
     rows = sized(near.select("place", "row").join(with_partner(near), "place").select("row"))
     again = docs.withColumn(row := free_name(docs, "row"), F.xxhash64(F.col(doc_id), text_of(text)))
     chosen = again.join(rows.withColumnRenamed("row", row), row, "left_semi")
-    # a repeated row comes twice
-    sets = cut(_sets(chosen, doc_id, text, n).select("sid", "n", "elements").dropDuplicates(["sid"]))
+    # rows repeated with id and text come back each; only they are brought together, the other sets stay in place
+    twice = every.groupBy("row").count().where("count > 1").select("row")
+    repeated = sized(rows.join(twice, "row", "left_semi"))
+    each = cut(_sets(chosen, doc_id, text, n).select("row", "sid", "n", "elements"))
+    sets = each.join(repeated, "row", "left_anti").union(
+        each.join(repeated, "row", "left_semi").dropDuplicates(["row"])).select("sid", "n", "elements")
 
     listed = sets.select("sid", "n", F.explode("elements").alias("e"))
     often = listed.groupBy("e").count().where("count > 1")
@@ -245,20 +251,24 @@ def describe(docs: DataFrame, doc_id: str, text: str, n: int, percent: int) -> D
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found or [np.empty(0, np.int64)])))
 
     few = F.when(F.col("n") < MOST_LIGHT, F.col("elements")).otherwise(F.array().cast("array<bigint>"))
-    return cut(_sets(docs, doc_id, text, n).select(
-        F.monotonically_increasing_id().alias("place"), "doc_id", "row", "n", "sid", few.alias("few"), segments("elements").alias("segments")))
+    return _sets(docs, doc_id, text, n).select(
+        F.monotonically_increasing_id().alias("place"), "doc_id", "row", "n", "sid", few.alias("few"), segments("elements").alias("segments"))
 
 
 def components_of(docs: DataFrame, n: int = 3, percent: int = 90, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, row, n_shingles, component, component_id of every row of docs; component_id: its smallest doc_id."""
-    sizes = Sizes(percent)
-    every = describe(docs, doc_id, text, n, percent)
+    sizes, spark = Sizes(percent), docs.sparkSession
+    segmented = shared_path(spark, "segments")  # read until the sets with a partner are known, then deleted
+    describe(docs, doc_id, text, n, percent).write.parquet(segmented)
+    wide = spark.read.parquet(segmented)
+    every = cut(wide.drop("segments"))
     first = every.groupBy("sid").agg(F.min("place").alias("first"))
     copies = sized(every.select("sid", "place").join(first, "sid").where("place != first").select("place"))
     once = every.join(copies, "place", "left_anti")
     small = {r["n"]: r["count"] for r in once.where(F.col("n").between(1, 2 * MOST_LIGHT)).groupBy("n").count().collect()}
     boundary = sizes.boundary(small)
-    heavy, sets = _heavy(docs, once, sizes, boundary, doc_id, text, n)
+    heavy, sets = _heavy(docs, every, wide.join(copies, "place", "left_anti"), sizes, boundary, doc_id, text, n)
+    delete_path(spark, segmented)
     light = _light(once, sizes, boundary)
     members = cut(light.union(heavy).distinct())
     only_light = once.where((F.col("n") > 0) & (F.col("n") < boundary)).join(sets, "sid", "left_anti").join(

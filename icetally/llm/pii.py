@@ -5,8 +5,8 @@ overlapping spans of the same kinds. Each candidate is described by its format a
 than the base rules labels it (`evidence`): sums and ranges that hold or do not, words before it, secrets and
 identifiers; a candidate without evidence has no label, whether a base rule finds it or not. What has evidence is
 decided by it, however often its format occurs. Boosted trees learn from the labelled candidates, a threshold per kind
-is calibrated on labelled ones not learned from, and decides the others. Candidates taken that no base span and no
-better candidate covers are added. Base spans always stay.
+is calibrated on labelled ones not learned from, and decides the others. Candidates taken that no base span covers are
+added; those of one kind never overlap each other. Base spans always stay.
 
 The texts are read once: what is found is written to the shared folder, a few numbers per document.
 
@@ -26,8 +26,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from icetally.functions.arrays import let
+
 from .common import cut, text_of, written
-from .spans import apart, labelled, listed, matches_if
+from .spans import apart, covered, labelled, listed, matches_if
 
 KINDS = ("email", "ip", "card", "phone")
 #: Labelled candidates that the trees learn from, of each kind the same number at most, those with the smallest hash;
@@ -147,15 +149,17 @@ def describe(found: DataFrame) -> DataFrame:
 
     What evidence speaks against is no negative example if a base span covers it: it has no label then.
     """
-    covered = lambda k, s: F.exists(f"base_{k}", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    others = lambda k, s: reduce(or_, (covered(o, s) for o in KINDS if o != k))
-    proposals = F.flatten(F.array(*(
-        F.transform(f"more_{k}", (lambda k, n: lambda s: F.struct(
-            F.lit(n).alias("k"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"),
-            s["before"].alias("before"), s["after"].alias("after"), covered(k, s).alias("known"),
-            others(k, s).alias("other"),
-        ))(k, n)) for n, k in enumerate(KINDS)
-    )))
+    hit = lambda hits, i, k: F.get(F.get(hits, i), F.lit(k))
+
+    def proposed(n: int, kind: str) -> Column:
+        return let(covered(F.col(f"more_{kind}"), [F.col(f"base_{k}") for k in KINDS]), lambda hits: F.transform(
+            f"more_{kind}", lambda s, i: F.struct(
+                F.lit(n).alias("k"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"),
+                s["before"].alias("before"), s["after"].alias("after"), hit(hits, i, n).alias("known"),
+                reduce(or_, (hit(hits, i, o) for o in range(len(KINDS)) if o != n)).alias("other"),
+            )))
+
+    proposals = F.flatten(F.array(*(proposed(n, k) for n, k in enumerate(KINDS))))
     each = found.select("row", "digest", F.explode(proposals).alias("c")).select("row", "digest", "c.*")
     value, digits = F.col("value"), _digits(F.col("value"))
     count = lambda p: F.regexp_count(value, F.lit(p))
@@ -215,27 +219,18 @@ def redactions(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lear
     base = F.concat(*(labelled(F.col(f"base_{k}"), k, n) for n, k in enumerate(KINDS)))
     result = found.select("row", "doc_id", base.alias("base_spans"))
     open_ones = described.where("known = 0")
-    sure = open_ones.where("label = 1").select("row", "k", "start", "end", F.lit(1.0).alias("p"))
-    passed = sure
+    passed = open_ones.where("label = 1").select("row", "k", "start", "end")
     if learned is not None:
         model, limits = learned
         assembled = VectorAssembler(inputCols=[f"f_{f}" for f in FEATURES], outputCol="features").transform(
             open_ones.where("label is null"))
         limit = F.coalesce(*(F.when(F.col("k") == k, t) for k, t in limits.items()), F.lit(2.0))
         scored = held_scores(model.transform(assembled)).where(F.col("p") >= limit)
-        passed = sure.unionByName(scored.select("row", "k", "start", "end", "p"))
-    mine = passed.groupBy("row").agg(F.collect_list(F.struct("p", (F.col("end") - F.col("start")).alias("n"), "start", "end", "k")).alias("all"))
-    better = lambda s, o: (
-        (o["k"] == s["k"]) & (o["start"] < s["end"]) & (s["start"] < o["end"])
-        & (F.struct(o["p"], o["n"], o["start"]) > F.struct(s["p"], s["n"], s["start"]))
-    )
-    best = mine.select("row", F.transform(
-        F.filter("all", lambda s: ~F.exists("all", lambda o: better(s, o))),
-        lambda s: F.struct(
-            s["start"].alias("start"), s["k"].alias("rank"), s["end"].alias("end"),
-            F.get(F.array(*map(F.lit, KINDS)), s["k"]).alias("kind"),
-        ),
-    ).alias("added"))
+        passed = passed.unionByName(scored.select("row", "k", "start", "end"))
+    # candidates of one kind come from one pattern, left to right, and never overlap each other
+    best = passed.groupBy("row").agg(F.collect_list(F.struct(
+        "start", F.col("k").alias("rank"), "end", F.get(F.array(*map(F.lit, KINDS)), F.col("k")).alias("kind"),
+    )).alias("added"))
     joined = result.join(best, "row", "left")
     return joined.select(
         "doc_id", "base_spans", F.concat("base_spans", F.coalesce("added", F.filter("base_spans", lambda s: F.lit(False)))).alias("spans")

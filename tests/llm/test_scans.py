@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -147,3 +148,28 @@ def test_frame_character_in_texts(spark):
     rows = [(1, " a@b.co ")]
     got = pii.redactions(frame(spark, rows)).select(spans.listed(F.col("base_spans"))).first()[0]
     assert got == "email:3:9"
+
+
+def test_overlaps_against_all_pairs(spark):
+    rng = random.Random(8)
+    place = lambda n: [(a, a + rng.randint(1, 6)) for a in sorted(rng.randint(0, 60) for _ in range(n))]
+    rows = [(i, place(rng.randint(0, 6)), place(rng.randint(0, 3)), place(rng.randint(0, 3))) for i in range(300)]
+    kind = "array<struct<start: int, end: int>>"
+    got = spark.createDataFrame(rows, f"i int, a {kind}, b {kind}, c {kind}").select(
+        "i", spans.covered(F.col("a"), [F.col("b"), F.col("c")]).alias("hits"), spans.apart(F.col("a"), F.col("b")).alias("free")).collect()
+    touch = lambda s, others: any(o[0] < s[1] and s[0] < o[1] for o in others)
+    for r in got:
+        _, a, b, c = rows[r.i]
+        assert [tuple(h) for h in r.hits] == [(touch(s, b), touch(s, c)) for s in a]
+        assert [tuple(s) for s in r.free] == [s for s in a if not touch(s, b)]
+
+
+def test_very_many_matches_in_one_text(spark):
+    """Time grows with the number of matches: 50,000 in one text, of several kinds, next to ordinary rows."""
+    log = " ".join(f"10.{i % 256}.{i // 256 % 256}.7 token=abcdefgh{i}" for i in range(25_000))
+    rows = [(1, log), (2, "from 10.0.0.1"), (3, None)]
+    began = time.monotonic()
+    got = {r.doc_id: r.s for r in pii.redactions(frame(spark, rows)).select("doc_id", spans.listed(F.col("base_spans")).alias("s")).collect()}
+    held = {r.doc_id: r.s for r in secret_scan.scan(frame(spark, rows)).select("doc_id", spans.listed(F.col("base_spans")).alias("s")).collect()}
+    assert got == {i: brute(t, PII) for i, t in rows} and held == {i: brute(t, SECRETS) for i, t in rows}
+    assert time.monotonic() - began < 60  # the square took minutes

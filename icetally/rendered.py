@@ -76,11 +76,17 @@ def event_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def shift_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Home and away shift reports; a player's rows, a summary row and a TOT row under each heading."""
-    start, length = F.col("elapsed_time_start"), F.col("elapsed_time_end") - F.col("elapsed_time_start")
+    start, length = F.col("elapsed_time_start"), F.col("length")
     tip = start % 1200
-    rows = fixtures.shifts(spark, sf_dir).select(
+    doc = ["gameId", "team_type", "part"]
+    # the numbers travel, once, not the texts made from them: both groupings below find their rows together
+    dealt = fixtures.shifts(spark, sf_dir).select(
         "gameId", F.when(F.col("isHome") == 1, "Home").otherwise("Away").alias("team_type"),
-        F.floor(F.col("shift_id") / 50000).alias("part"), "playerId", "shift_id", length.alias("length"),
+        F.floor(F.col("shift_id") / 50000).alias("part"), "playerId", "shift_id", "elapsed_time_start",
+        (F.col("elapsed_time_end") - start).alias("length"),
+    ).repartition(*doc)
+    rows = dealt.select(
+        *doc, "playerId", "shift_id", "length",
         F.concat(
             F.lit("<tr class=\"oddColor\"><td>"), _text(F.col("shift_id") % 10), F.lit("</td><td>"),
             F.when(F.col("shift_id") % 50 == 0, "OT").otherwise(_text(F.floor(start / 1200) + 1)),
@@ -89,7 +95,6 @@ def shift_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit("</td><td>&nbsp;</td></tr>"),
         ).alias("row"),
     )
-    doc = ["gameId", "team_type", "part"]
     summed = rows.groupBy(*doc, "playerId").agg(
         F.sort_array(F.collect_list(F.struct("shift_id", "row"))).alias("lines"),
         F.count("*").alias("n"), F.sum("length").alias("total"),

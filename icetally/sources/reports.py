@@ -7,6 +7,8 @@ document's row, so extraction needs no shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,8 +18,9 @@ from icetally.functions.clock import clock_part, jersey_number, mmss_to_seconds,
 # Markup of data rows, cells and headings in the reports.
 ROW = r"""(?s)<[tT][rR]\b[^>]*\b[cC][lL][aA][sS][sS]\s*=\s*["']?(?:[^"'>]*\s)?(?:oddColor|evenColor)(?=[\s"'>])[^>]*>"""
 CELL = r"(?is)<td\b[^>]*>(.*?)</td>"
-HEADING = r"""(?is)<td\b[^>]*\bclass\s*=\s*["']?[^"'>]*\b%s\b[^>]*>(.*?)</td>"""
+HEADING = r"""(?is)<td(?!>)\b[^>]*\bclass\s*=\s*["']?[^"'>]*\b%s\b[^>]*>(.*?)</td>"""
 POSITIONS = ("C", "L", "R", "D", "G")
+ODD = "\u00a0\u2009"
 
 
 def read_reports(spark: SparkSession, path: str) -> DataFrame:
@@ -42,11 +45,11 @@ def _filled(reports: DataFrame) -> DataFrame:
 
 def plain_text(c: Column) -> Column:
     """Entities decoded, odd spaces made plain, ends trimmed."""
-    return _decoded(_spaced(c))
+    return F.when(_has(c, f"&{ODD}"), _trimmed(_decoded(_spaced(c)))).otherwise(_trimmed(c))
 
 
 def _spaced(c: Column) -> Column:
-    for odd in ("&nbsp;", "&#160;", "&#xA0;", "\u00a0", "\u2009"):
+    for odd in ("&nbsp;", "&#160;", "&#xA0;", *ODD):
         c = F.replace(c, F.lit(odd), F.lit(" "))
     return c
 
@@ -54,13 +57,26 @@ def _spaced(c: Column) -> Column:
 def _decoded(c: Column) -> Column:
     for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
         c = F.replace(c, F.lit(entity), F.lit(char))
+    return c
+
+
+def _has(c: Column, chars: str) -> Column:
+    found = F.lit(False)
+    for char in chars:
+        found = found | F.contains(c, F.lit(char))
+    return found
+
+
+def _trimmed(c: Column) -> Column:
     return F.trim(c, F.lit(" \t\r\n\f\u000b"))
 
 
 def inner_text(c: Column) -> Column:
     """Text of a piece of markup: every text node trimmed, then joined without separator."""
     # a run of blanks is looked at from its start only, however long it is
-    return _decoded(F.regexp_replace(_spaced(c), r"(?<!\s)\s*+<[^>]*+>\s*+", ""))
+    bare = F.regexp_replace(_spaced(c), r"(?<!\s)\s*+<[^>]*+>\s*+", "")
+    # most cells hold neither tags nor entities and are only trimmed
+    return F.when(_has(c, f"<&{ODD}"), _trimmed(_decoded(bare))).otherwise(_trimmed(c))
 
 
 def _after_first(pieces: Column) -> Column:
@@ -68,9 +84,14 @@ def _after_first(pieces: Column) -> Column:
     return F.filter(pieces, lambda _, i: i > 0)
 
 
+def _raw_cells(row: Column) -> Column:
+    """Markup inside the cells of a row without nested tables."""
+    return F.regexp_extract_all(row, F.lit(CELL), 1)
+
+
 def _flat_cells(row: Column) -> Column:
     """Cell texts of a row without nested tables."""
-    return F.transform(F.regexp_extract_all(row, F.lit(CELL), 1), inner_text)
+    return F.transform(_raw_cells(row), inner_text)
 
 
 # --- event rows ---------------------------------------------------------------------------------
@@ -115,7 +136,7 @@ def extract_rows(reports: DataFrame) -> DataFrame:
     number = lambda i: F.get("of", i)
     first = lambda i: (number(i) > 0) & ((i == 0) | (number(i) != F.coalesce(F.get("of", i - 1), F.lit(0))))
     outside = F.transform("pieces", lambda p, i: F.when(number(i) == 0, F.translate(p, CLOSE, "")).when(first(i), F.lit(HOLE)).otherwise(""))
-    own = F.split(F.array_join(outside, ""), "(?i)</tr>", 2).getItem(0)
+    own = F.regexp_replace(F.array_join(outside, ""), "(?is)</tr>.*", "")
     rows = rows.select(*kept, "seq", "pieces", "of", F.explode(F.array(own)).alias("own"))
     # the texts of all tables in one pass: each begins with a mark
     inside = F.transform("pieces", lambda p, i: F.when(number(i) == 0, "").otherwise(
@@ -180,54 +201,82 @@ def event_table(reports: DataFrame) -> DataFrame:
 # --- shift rows ---------------------------------------------------------------------------------
 
 
-def _shift_groups(reports: DataFrame) -> DataFrame:
-    """Rows of shift reports next to the player they belong to.
+def _player_groups(reports: DataFrame, use: Callable[[Column], Column]) -> DataFrame:
+    """One row per shift report: its columns, ``full``, ``team``, ``players`` (headings) and ``groups``.
 
     A TOT row ends a player's rows; the k-th group of rows belongs to the k-th player heading, groups
     and headings without partner drop out, and of equal headings the last counts. The document is cut into
-    rows once; a row's group is one more than that of the row before if a TOT row lies between.
-
-    ``seq`` orders the rows of a game: home before away, then part of the report, then place in it.
+    rows once; a group begins at a row that is no TOT row and follows one, or none. A group has its ``player_name``
+    and in ``lines`` what ``use`` makes of its rows, whose cells are markup still. ``groups`` are null where there is
+    no document.
     """
     kept = [c for c in reports.columns if c != "html"]
+    # a pattern to split at is compiled for every row, one to replace only once
     cells = F.transform(
-        _after_first(F.split("html", ROW)), lambda r: _flat_cells(F.split(r, "(?i)</tr>", 2).getItem(0))
+        _after_first(F.split("html", ROW)), lambda r: _raw_cells(F.regexp_replace(r, "(?is)</tr>.*", ""))
     )
-    docs = _filled(reports).select(
-        *kept, F.explode(F.array(cells)).alias("rows"),
+    docs = reports.select("*", F.explode(F.array(cells)).alias("rows")).select(
+        *kept, (F.trim("html") != "").alias("full"), "rows",
         F.transform(F.regexp_extract_all("html", F.lit(HEADING % "playerHeading"), 1), inner_text).alias("players"),
         inner_text(F.regexp_extract("html", HEADING % "teamHeading", 1)).alias("team"),
     )
-    total = lambda cells: F.coalesce(F.get(cells, F.lit(0)) == "TOT", F.lit(False))
+    total = F.transform("rows", lambda cells: F.coalesce(inner_text(F.get(cells, F.lit(0))) == "TOT", F.lit(False)))
+
+    def begins(total: Column) -> Column:
+        return F.filter(
+            F.transform(total, lambda t, i: F.when(~t & ((i == 0) | F.get(total, i - 1)), i)), lambda i: i.isNotNull())
+
+    def groups(total: Column, starts: Column) -> Column:
+        matched = F.slice("players", 1, F.least(F.size("players"), F.size(starts)))
+        # of equal headings the last counts: sorted by name and place it is the one without an equal successor
+        by_name = F.array_sort(F.transform(matched, lambda p, k: F.struct(p.alias("p"), k.alias("k"))))
+        last = let(by_name, lambda xs: F.array_sort(F.transform(
+            F.filter(xs, lambda x, i: F.coalesce(x["p"] != F.get(xs, i + 1)["p"], F.lit(True))), lambda x: x["k"])))
 
-    def step(s: Column, cells: Column) -> tuple[dict[str, Column], Column]:
-        k = s["k"] + (s["ended"] & ~total(cells)).cast("int")
-        return {"k": k, "ended": total(cells)}, F.when(~total(cells), k)
+        def lines(start: Column, end: Column) -> Column:
+            return use(F.filter(
+                F.transform(F.slice("rows", start + 1, end - start), lambda cells, j: F.struct(
+                    (start + j).alias("i"), cells.alias("cells"))),
+                lambda e: ~F.get(total, e["i"]),
+            ))
 
+        return F.transform(last, lambda k: F.struct(
+            F.get("players", k).alias("player_name"),
+            lines(F.get(starts, k), F.coalesce(F.get(starts, k + 1), F.size("rows"))).alias("lines"),
+        ))
+
+    found = let(total, lambda t: let(begins(t), lambda starts: groups(t, starts)))
+    return docs.select(*kept, "full", "players", "team", F.explode(F.array(found)).alias("groups"))
+
+
+def _of_width(lines: Column, width: int) -> Column:
+    return F.filter(lines, lambda e: F.size(e["cells"]) == width)
+
+
+def _shift_groups(reports: DataFrame, width: int) -> DataFrame:
+    """Rows of so many cells of shift reports next to the player they belong to (see ``_player_groups``).
+
+    ``seq`` orders the rows of a game: home before away, then part of the report, then place in it.
+    """
+    kept = [c for c in reports.columns if c != "html"]
     side = F.when(F.col("team_type") == "Home", 0).otherwise(1).cast("bigint") if "team_type" in kept else F.lit(0).cast("bigint")
     part = F.coalesce(F.col("part").cast("bigint"), F.lit(0)) if "part" in kept else F.lit(0).cast("bigint")
-    of = running(F.col("rows"), {"k": F.lit(-1), "ended": F.lit(True)}, step, "int")
-    numbered = docs.select(*kept, "team", "players", "rows", F.explode(F.array(of)).alias("of")).withColumn(
-        "matched", F.least(F.size("players"), F.coalesce(F.array_max("of") + 1, F.lit(0))))
-    # of equal headings the last counts: sorted by name and place it is the one without an equal successor
-    by_name = F.array_sort(F.transform(
-        F.slice("players", 1, F.col("matched")), lambda p, k: F.struct(p.alias("p"), k.alias("k"))))
-    flagged = let(by_name, lambda xs: F.array_sort(F.transform(xs, lambda x, i: F.struct(
-        x["k"].alias("k"), (x["p"] != F.get(xs, i + 1)["p"]).alias("differs")))))
-    numbered = numbered.select(*kept, "team", "players", "rows", "of", F.explode(F.array(flagged)).alias("flagged"))
-    # each row takes along what it needs, so that no list of the document is copied to every row
-    entries = F.filter(
-        F.transform("rows", lambda cells, i: F.struct(
-            i.alias("i"), cells.alias("cells"), F.get("players", F.get("of", i)).alias("player_name"),
-            F.get("flagged", F.get("of", i)).alias("flag"))),
-        lambda e: e["flag"].isNotNull() & F.coalesce(e["flag"]["differs"], F.lit(True)),
-    )
-    return numbered.select(*kept, "team", F.explode(entries).alias("e")).select(
-        *kept, (F.shiftleft(side, 60) + F.shiftleft(part, 40) + F.col("e.i")).alias("seq"),
-        F.col("e.cells").alias("cells"), F.col("e.player_name").alias("player_name"),
-        jersey_number(F.col("e.player_name")).alias("jersey_number"),
+
+    def clean(lines: Column) -> Column:
+        return F.transform(_of_width(lines, width), lambda e: F.struct(
+            e["i"].alias("i"), F.transform(e["cells"], inner_text).alias("cells")))
+
+    # what all rows of a report or a player share is worked out before they are dealt out
+    return _player_groups(_filled(reports), clean).select(
+        *kept, (F.shiftleft(side, 60) + F.shiftleft(part, 40)).alias("place"),
         F.when(F.col("team") != "", F.col("team"))
-        .otherwise(F.concat(F.lit("Unknown "), F.col("team_type"))).alias("team_name"),
+        .otherwise(F.concat(F.lit("Unknown "), F.col("team_type"))).alias("team_name"), F.explode("groups").alias("g"),
+    ).select(
+        *kept, "place", "team_name", F.col("g.player_name").alias("player_name"),
+        jersey_number(F.col("g.player_name")).alias("jersey_number"), F.explode("g.lines").alias("e"),
+    ).select(
+        *kept, (F.col("place") + F.col("e.i")).alias("seq"), F.col("e.cells").alias("cells"),
+        "player_name", "jersey_number", "team_name",
     )
 
 
@@ -242,7 +291,7 @@ def _loose_seconds(c: Column) -> Column:
 def shift_rows(reports: DataFrame) -> DataFrame:
     """One row per shift; ``reports`` carries ``team_type`` (Home / Away)."""
     names = ("shift_number", "period", "start_time_elapsed_game", "end_time_elapsed_game", "duration", "event")
-    rows = _shift_groups(reports).where(F.size("cells") == 6)
+    rows = _shift_groups(reports, 6)
     out = rows.select(
         *[c for c in rows.columns if c != "cells"], *[F.col("cells")[i].alias(n) for i, n in enumerate(names)]
     )
@@ -262,7 +311,7 @@ def shift_summary(reports: DataFrame) -> DataFrame:
     """One row per player and period of the reports' summary tables."""
     names = ("period", "shifts_count", "average_duration", "total_ice_time", "even_strength_total",
              "power_play_total", "short_handed_total")
-    rows = _shift_groups(reports).where(F.size("cells") == 7)
+    rows = _shift_groups(reports, 7)
     out = rows.select(
         *[c for c in rows.columns if c != "cells"], *[F.col("cells")[i].alias(n) for i, n in enumerate(names)]
     )
@@ -275,18 +324,23 @@ def shift_summary(reports: DataFrame) -> DataFrame:
 
 def parse_report_counts(reports: DataFrame, keys: tuple[str, ...] = ("gameId", "team_type")) -> DataFrame:
     """Players, shifts and summary rows found per report, and whether there was anything to parse."""
-    players = F.size(F.regexp_extract_all("html", F.lit(HEADING % "playerHeading"), 1))
-    heads = reports.select(
-        *keys, F.when(F.trim("html") != "", players).otherwise(0).alias("players"),
-        F.coalesce(F.trim("html") != "", F.lit(False)).alias("full"),
+    def counted(lines: Column) -> Column:
+        return F.struct(F.size(_of_width(lines, 6)).alias("shifts"), F.size(_of_width(lines, 7)).alias("summaries"))
+
+    def sum_of(what: str) -> Column:
+        return F.coalesce(F.aggregate("groups", F.lit(0), lambda n, g: n + g["lines"][what]), F.lit(0)).alias(what)
+
+    named = F.lit(True)
+    for k in keys:
+        named = named & F.col(k).isNotNull()  # rows of reports without a key belong to none
+    return _player_groups(reports, counted).select(
+        *keys, F.when(F.col("full"), F.size("players")).otherwise(0).alias("players"),
+        F.coalesce("full", F.lit(False)).alias("full"), sum_of("shifts"), sum_of("summaries"),
     ).groupBy(*keys).agg(
-        F.sum("players").alias("players_count"), F.min("full").alias("parsing_successful")
-    )
-    found = _shift_groups(reports).groupBy(*keys).agg(
-        F.count(F.when(F.size("cells") == 6, 1)).alias("total_shifts"),
-        F.count(F.when(F.size("cells") == 7, 1)).alias("total_summary_records"),
+        F.sum("players").alias("players_count"), F.min("full").alias("parsing_successful"),
+        F.sum(F.when(named, F.col("shifts")).otherwise(0)).alias("total_shifts"),
+        F.sum(F.when(named, F.col("summaries")).otherwise(0)).alias("total_summary_records"),
     )
-    return heads.join(found, list(keys), "left").fillna(0, ["total_shifts", "total_summary_records"])
 
 
 # --- roster reports -----------------------------------------------------------------------------

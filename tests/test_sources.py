@@ -7,6 +7,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from icetally import rendered
 from icetally.functions.arrays import running
 from icetally.operators import metrics
 from icetally.plans import game as plans
@@ -268,3 +269,41 @@ def test_many_tables_in_one_row(spark):
     docs = spark.createDataFrame([(f'<tr class="evenColor"><td>1</td>{cells}</tr>',)], "html string")
     row = reports.extract_rows(docs).first()
     assert row.cells == ["1"] and row.ice == [f"{i}Cx" for i in range(n)]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_shift_reports_are_dealt_once_as_numbers(spark, sf_dir):
+    docs = rendered.shift_reports(spark, sf_dir)
+    plan = plan_of(docs)
+    assert plan.count("Exchange ") == 1
+    # below the exchange there are no texts of rows yet
+    assert "oddColor" in plan.split("Exchange ")[0] and "oddColor" not in plan.split("Exchange ")[1]
+
+
+def test_report_counts_read_reports_once(spark, sf_dir):
+    keys = ("gameId", "team_type", "part")
+    plan = plan_of(reports.parse_report_counts(rendered.shift_reports(spark, sf_dir), keys))
+    assert plan.count("FileScan") == 1 and "Join" not in plan
+
+
+def test_report_counts_of_odd_reports(spark):
+    docs = spark.createDataFrame(
+        [(1, "Home", HOME), (1, "Home", AWAY), (2, "Home", None), (2, "Away", " "), (None, "Home", HOME), (3, "Home", "<p>no rows</p>")],
+        "gameId long, team_type string, html string")
+    counts = {(r.gameId, r.team_type): (r.players_count, r.total_shifts, r.total_summary_records, r.parsing_successful)
+              for r in reports.parse_report_counts(docs).collect()}
+    assert counts == {(1, "Home"): (6, 8, 6, True), (2, "Home"): (0, 0, 0, False), (2, "Away"): (0, 0, 0, False),
+                      (None, "Home"): (3, 0, 0, True), (3, "Home"): (0, 0, 0, True)}
+
+
+def test_cells_of_other_rows_are_not_cleaned(spark):
+    """Rows of another width leave as markup: only rows asked for become entries."""
+    doc = shift_doc("T", [("5 A, B", [("1", "0:00", "&lt;1:00&nbsp;", "01:00")])])
+    df = spark.createDataFrame([(1, "Home", doc)], "gameId long, team_type string, html string")
+    assert [r.end_time_elapsed_game for r in reports.shift_rows(df).collect()] == ["<1:00  / 0:30"]
+    assert [(r.period, r.total_ice_time, r.short_handed_total) for r in reports.shift_summary(df).collect()] == [("1", "01:00", "00:00")]
+    widths = reports._player_groups(df, lambda lines: reports._of_width(lines, 7)).first().groups
+    assert [[len(e.cells) for e in g.lines] for g in widths] == [[7]]

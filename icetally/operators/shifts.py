@@ -132,13 +132,11 @@ def state_at(times: DataFrame, segments: DataFrame) -> DataFrame:
         F.col("elapsedTime").isNotNull()
     ).distinct()
     both = marks.unionByName(asked.withColumn("asked", F.lit(True)), allowMissingColumns=True)
-    merged = both.groupBy("gameId", "elapsedTime").agg(
-        F.first("seg", ignorenulls=True).alias("seg"), F.max("asked").alias("asked")
-    )
-    upto = Window.partitionBy("gameId").orderBy("elapsedTime").rowsBetween(Window.unboundedPreceding, 0)
+    # up to a row means up to the end of its second, so the two sides need not be brought to one row a second
+    upto = Window.partitionBy("gameId").orderBy("elapsedTime").rangeBetween(Window.unboundedPreceding, 0)
     inside = F.col("elapsedTime") < F.col("s.t_end")
     return (
-        merged.withColumn("s", F.last("seg", ignorenulls=True).over(upto)).where("asked")
+        both.withColumn("s", F.last("seg", ignorenulls=True).over(upto)).where("asked")
         .select("gameId", "elapsedTime", *[
             F.when(inside, F.col(f"s.{c}")).alias(c)
             for c in ("team_str_home", "home_strength", "away_strength")

@@ -316,3 +316,18 @@ def test_write(spark, tmp_path, fmt):
         assert back.first()["b"] == "[1,2]"
     with pytest.raises(ValueError):
         sinks.write_table(df, path, "xml")
+
+
+def test_state_at_needs_no_row_per_second(spark):
+    """Marks and asked seconds meet in the window of a game; they are not first grouped by second."""
+    rows = spark.createDataFrame(
+        [(1, 1, "C", 0, 10), (1, 0, "C", 0, 20), (1, 1, "C", 10, 20), (1, 1, "C", 5, 5), (2, 1, "G", 3, 9)],
+        "gameId long, isHome int, positionCode string, elapsed_time_start int, elapsed_time_end int")
+    segments = shifts.strength_segments_multiset(rows)
+    asked = spark.createDataFrame([(1, 0), (1, 10), (1, 10), (1, 15), (1, 20), (1, 99), (2, 1), (2, 3), (3, 1)], "gameId long, elapsedTime int")
+    at = shifts.state_at(asked, segments)
+    assert {(r.gameId, r.elapsedTime): r.home_strength for r in at.collect()} == {
+        (1, 0): "1*", (1, 10): "1*", (1, 15): "1*", (1, 20): None, (1, 99): None, (2, 1): None, (2, 3): "0", (3, 1): None}
+    assert at.count() == 8
+    # the sums of the segments, their running sums, the distinct seconds, the window over a game
+    assert shifts.state_at(asked, segments)._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 4

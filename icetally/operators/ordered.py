@@ -6,6 +6,9 @@ rows so far) is first reduced to one row per cell, carried over the cells of a g
 without a second are cut into cells by their order keys, so they spread like any others.
 
 Both branches, the rows and the cells' sums, read one exchange: the input is evaluated once.
+
+Where the caller knows that every game is bounded (``whole``), plain windows over a game do the same without cells: the
+rows of a game meet once, and what follows finds them together.
 """
 
 from __future__ import annotations
@@ -42,17 +45,19 @@ def canonical_keys(df: DataFrame) -> list[Column]:
 def in_order(
     df: DataFrame, keys: list[Column], fill: tuple[str, ...] = (), fill_value: object = 0,
     previous: dict[str, Column] | None = None, number: str | None = None,
-    among: Column | None = None, game: str = "gameId", second: str = "elapsedTime",
+    among: Column | None = None, game: str = "gameId", second: str = "elapsedTime", whole: bool = False,
 ) -> DataFrame:
     """Adds order-dependent columns; rows without a second come last in their game.
 
     ``fill`` columns take the last non-null value, ``fill_value`` before the first. ``previous`` names
     values to be taken from the row before; with ``among`` only rows meeting it are looked at and get a
-    value. ``number`` counts rows from 1.
+    value. ``number`` counts rows from 1. ``whole`` says that the rows of any game fit into one task.
     """
     previous = previous or {}
     among = F.lit(True) if among is None else F.coalesce(among, F.lit(False))
     cell = F.coalesce(F.col(second).cast("int"), F.lit(_LAST_CELL))
+    if whole:
+        return _in_order_whole(df, Window.partitionBy(game).orderBy(cell, *keys), fill, fill_value, previous, number, among)
     df = _in_cells(df.withColumn("_among", among), [game], cell, keys, cell == _LAST_CELL)
     order = F.struct(*keys)
     seen = F.struct(*[v.alias(k) for k, v in previous.items()]) if previous else None
@@ -88,6 +93,26 @@ def in_order(
     return out.withColumns(done).drop("_at", "_among", *new, *[c for c in carry.columns if c.startswith("_carry")])
 
 
+def _in_order_whole(
+    df: DataFrame, game: Window, fill: tuple[str, ...], fill_value: object, previous: dict[str, Column],
+    number: str | None, among: Column,
+) -> DataFrame:
+    """``in_order`` by windows over whole games."""
+    upto = game.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    new = {f"_own_{c}": F.last(c, ignorenulls=True).over(upto) for c in fill}
+    if number:
+        new["_own_rows"] = F.row_number().over(game)
+    if previous:
+        seen = F.when(among, F.struct(*[v.alias(k) for k, v in previous.items()]))
+        new |= {"_among": among, "_own_seen": F.last(seen, ignorenulls=True).over(
+            game.rowsBetween(Window.unboundedPreceding, -1))}
+    done: dict[str, Column] = {c: F.coalesce(f"_own_{c}", F.lit(fill_value)) for c in fill}
+    if number:
+        done[number] = F.col("_own_rows").cast("bigint")
+    done |= {k: F.when(F.col("_among"), F.col("_own_seen")[k]) for k in previous}
+    return df.withColumns(new).withColumns(done).drop(*new)
+
+
 def _in_cells(df: DataFrame, groups: list[str], cell: Column, keys: list[Column], cut: Column) -> DataFrame:
     """df dealt to cells ``_at`` of (groups, cell); where ``cut`` holds, a cell is cut by all keys but the last, and that by PLACES.
 
@@ -152,11 +177,39 @@ def occurrence(
 def occurrence_join(
     left: DataFrame, right: DataFrame, keys: tuple[str, ...] = ("gameId", "Event", "Per", "Time"),
     left_order: Column | None = None, right_order: Column | None = None, right_descending: bool = False,
+    whole: bool = False,
 ) -> DataFrame:
     """Left join pairing the k-th left row of a key with the k-th right row of that key. Columns both
-    sides have take the suffix ``_api`` on the right."""
-    a = occurrence(left, keys, F.col("seq") if left_order is None else left_order)
-    b = occurrence(right, keys, F.col("seq") if right_order is None else right_order, descending=right_descending)
+    sides have take the suffix ``_api`` on the right. ``whole`` says that the rows of any first key fit into one task."""
+    left_order = F.col("seq") if left_order is None else left_order
+    right_order = F.col("seq") if right_order is None else right_order
+    if whole:
+        return _paired_whole(left, right, keys, left_order, right_order, right_descending)
+    a = occurrence(left, keys, left_order)
+    b = occurrence(right, keys, right_order, descending=right_descending)
     on = [*keys, "merge_idx"]
     b = b.withColumnsRenamed({c: f"{c}_api" for c in b.columns if c in a.columns and c not in on})
     return a.join(b, on, "left")
+
+
+def _paired_whole(
+    left: DataFrame, right: DataFrame, keys: tuple[str, ...], left_order: Column, right_order: Column, right_descending: bool,
+) -> DataFrame:
+    """``occurrence_join`` with both sides brought together by their first key once, numbered and paired by windows."""
+    own = [c for c in left.columns if c not in keys]
+    api = {c: f"{c}_api" if c in own else c for c in right.columns if c not in keys}
+    a = left.repartition(keys[0]).select(
+        *keys, F.lit(0).alias("_side"), left_order.alias("_place"), F.struct(*own).alias("_left"))
+    b = right.select(
+        *keys, F.lit(1).alias("_side"), right_order.alias("_turn"), F.struct(*[F.col(c).alias(n) for c, n in api.items()]).alias("_right"))
+    turn = F.col("_turn").desc_nulls_first() if right_descending else F.col("_turn")
+    each = Window.partitionBy(*keys, "_side").orderBy("_place", turn)
+    both = a.unionByName(b, allowMissingColumns=True).withColumn("merge_idx", F.row_number().over(each) - 1)
+    found = F.first("_right", ignorenulls=True).over(Window.partitionBy(*keys, "merge_idx"))
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()  # null keys meet in a window, but match nothing
+    return both.withColumn("_right", found).where("_side = 0").select(
+        *[F.col(k).cast(left.schema[k].dataType).alias(k) for k in keys], "merge_idx", "_left.*",
+        *[F.when(known, F.col("_right")[n]).alias(n) for n in api.values()],
+    )

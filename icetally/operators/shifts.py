@@ -29,8 +29,8 @@ def _goalie(shifts: DataFrame) -> Column:
     return out
 
 
-def shift_events(shifts: DataFrame) -> DataFrame:
-    """Every shift as an ON row (start clock) and an OFF row (end clock)."""
+def shift_events(shifts: DataFrame, more: dict[str, Column] | None = None) -> DataFrame:
+    """Every shift as an ON row (start clock) and an OFF row (end clock), with ``more`` columns of the shift."""
     def column(name: str, kind: str) -> Column:
         return F.col(name).cast(kind) if name in shifts.columns else F.lit(None).cast(kind)
 
@@ -51,7 +51,7 @@ def shift_events(shifts: DataFrame) -> DataFrame:
             F.coalesce(F.col("positionCode") == "G", F.lit(False)).cast("int")
             if "positionCode" in shifts.columns else F.lit(0)
         ),
-        "Per": period, "period": period if "period_number" in shifts.columns else F.lit(1),
+        "Per": period, "period": period if "period_number" in shifts.columns else F.lit(1), **(more or {}),
     }
     kept = [c for c in ("shift_id", "seq", "homeTeam", "awayTeam") if c in shifts.columns]
     return shifts.select(
@@ -154,11 +154,14 @@ def shift_event_strength(events: DataFrame, segments: DataFrame) -> DataFrame:
     return events.join(at, ["gameId", "elapsedTime"], "left")
 
 
-def shift_events_with_strength(shifts: DataFrame) -> DataFrame:
+def shift_events_with_strength(shifts: DataFrame, whole: bool = False) -> DataFrame:
     """``shift_events`` with the strength of their own shifts' segments, as ``shift_event_strength`` gives.
 
-    Every event lies on a second of the summed changes, so one equi-join on game and second suffices.
+    Every event lies on a second of the summed changes, so one equi-join on game and second suffices; if the shifts of
+    any game fit into one task (``whole``), the changes are summed over the events themselves.
     """
+    if whole:
+        return _events_with_strength_whole(shifts)
     valid = "over (PARTITION BY gameId)"
     states = segment_labels(_running(
         _changes(shifts), f"min(CASE WHEN counts THEN t_start END) {valid} AS first_t",
@@ -170,6 +173,32 @@ def shift_events_with_strength(shifts: DataFrame) -> DataFrame:
     return shift_events(shifts).join(states, ["gameId", "elapsedTime"], "left")
 
 
+def _events_with_strength_whole(shifts: DataFrame) -> DataFrame:
+    """``shift_events_with_strength`` by windows over whole games."""
+    home = F.coalesce(F.col("isHome").cast("int"), F.lit(0)) == 1
+    counts = F.coalesce(F.col("elapsed_time_end").try_cast("int") > F.col("elapsed_time_start").try_cast("int"), F.lit(False))
+    side = F.when(_goalie(shifts), F.when(home, 2).otherwise(3)).otherwise(F.when(home, 0).otherwise(1))
+    events = shift_events(shifts, {"_side": F.when(counts, side)})
+    second = F.col("elapsedTime")
+    game = Window.partitionBy("gameId").orderBy("elapsedTime")
+    upto, all_of_it = game.rangeBetween(Window.unboundedPreceding, 0), game.rangeBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing)
+    timed = F.col("_side").isNotNull() & second.isNotNull()
+    change = F.when(F.col("Event") == "ON", 1).otherwise(-1)
+    states = {n: F.sum(F.when(timed & (F.col("_side") == i), change).otherwise(0)).over(upto).cast("int")
+              for i, n in enumerate(_SIDES)}
+    bounds = {"_first": F.min(F.when(timed, second)).over(all_of_it), "_last": F.max(F.when(timed, second)).over(all_of_it)}
+    labels = segment_labels(events.withColumns(states | bounds).withColumns({
+        "pulled_home": (F.col("home_goalie") == 0).cast("int"), "pulled_away": (F.col("away_goalie") == 0).cast("int"),
+    }))
+    inside = F.col("gameId").isNotNull() & (second >= F.col("_first")) & (second < F.col("_last"))
+    return labels.select(
+        "gameId", "elapsedTime", *[c for c in events.columns if c not in ("gameId", "elapsedTime", "_side")],
+        F.when(inside, F.col("team_str_home")).alias("gameStrength"),
+        F.when(inside, F.concat("home_strength", F.lit("v"), "away_strength")).alias("detailedGameStrength"),
+    )
+
+
 def attach_roster(shifts: DataFrame, roster: DataFrame) -> DataFrame:
     """Joins roster spots onto shifts by game, jersey number and side; a jersey listed twice matches twice."""
     spots = roster.withColumnRenamed("sweaterNumber", "jersey_number")

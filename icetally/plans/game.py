@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +25,10 @@ _PLAY_COLUMNS = (
 )
 
 
+#: Rows of a game (report rows, plays, ON and OFF rows) up to which it is put together in one task; real ones have a few thousand.
+GAME_ROWS = 50_000
+
+
 def hold(df: DataFrame, held: list[str] | None) -> DataFrame:
     """df, written to the shared folder if the caller gives a list to take its path; ``release`` deletes what it lists.
 
@@ -80,20 +86,54 @@ def _game_dimension(games: DataFrame) -> DataFrame:
     return feeds.game_meta(games).join(maps, "gameId", "left").join(names, "gameId", "left")
 
 
-def _api_plays(games: DataFrame) -> DataFrame:
+def _api_plays(games: DataFrame, whole: bool) -> DataFrame:
     """Feed plays with report codes, sides and a filled scoreboard; only mapped events."""
     plays = feeds.plays(games).withColumns({
         "Event": event_code(F.col("event_api")),
         "isHome": F.coalesce((F.col("eventOwnerTeamId") == F.col("homeId")).cast("int"), F.lit(0)),
         "block": F.floor(F.col("seq") / 100).cast("int"),
     })
-    filled = ordered.in_order(plays, [F.col("seq")], fill=ordered.SCOREBOARD, second="block")
+    filled = ordered.in_order(plays, [F.col("seq")], fill=ordered.SCOREBOARD, second="block", whole=whole)
     return filled.where(F.col("Event").isNotNull()).select(
         "gameId", "seq", "Event", F.col("period").cast("string").alias("Per"),
         F.col("timeInPeriod").alias("Time"), *[c for c in _PLAY_COLUMNS if c in filled.columns],
     )
 
 
+def _by_size(
+    html: DataFrame, games: DataFrame, shifts: DataFrame, held: list[str] | None,
+) -> list[tuple[DataFrame, DataFrame, DataFrame, bool]]:
+    """The three tables for games of up to GAME_ROWS rows (True) and, if there are any, for the others (False).
+
+    The rows are counted only where the tables are held; else every game counts as one of the others.
+    """
+    if held is None:
+        return [(html, games, shifts, False)]
+    sizes = html.select("gameId", F.lit(1).alias("n")).unionByName(shifts.select("gameId", F.lit(2).alias("n"))).unionByName(
+        games.select(F.col("id").alias("gameId"), F.size("plays").alias("n")))
+    # no more than one game for every GAME_ROWS rows
+    big = hold(sizes.groupBy("gameId").agg(F.sum("n").alias("n")).where(F.col("n") > GAME_ROWS).select(
+        F.col("gameId").alias("big")), held)
+    if big.isEmpty():
+        return [(html, games, shifts, True)]
+
+    def those(df: DataFrame, key: str, how: str) -> DataFrame:
+        return df.join(F.broadcast(big), F.col(key).eqNullSafe(F.col("big")), how)
+
+    return [(those(html, "gameId", how), those(games, "id", how), those(shifts, "gameId", how), whole)
+            for how, whole in (("left_anti", True), ("left_semi", False))]
+
+
+def pbp_parts(
+    event_reports: DataFrame, games: DataFrame, shifts: DataFrame, strict_compat: bool = False,
+    held: list[str] | None = None,
+) -> list[tuple[DataFrame, bool]]:
+    """``build_pbp`` in parts, each with whether the rows of any of its games fit into one task."""
+    html = hold(reports.event_table(event_reports), held).withColumn("Time", F.col("timeInPeriod"))
+    dim = hold(_game_dimension(games), held)
+    return [(_pbp(*tables, dim, strict_compat, whole, held), whole) for *tables, whole in _by_size(html, games, shifts, held)]
+
+
 def build_pbp(
     event_reports: DataFrame, games: DataFrame, shifts: DataFrame, strict_compat: bool = False,
     held: list[str] | None = None,
@@ -102,11 +142,18 @@ def build_pbp(
     one ordered table per game.
 
     ``strict_compat`` leaves period 5 without game seconds even in playoff games. ``held`` takes the tables that are
-    kept because several branches read them (see ``hold``).
+    kept because several branches read them (see ``hold``); then games of up to GAME_ROWS rows are put together by plain
+    windows, their rows dealt by game once.
     """
-    html = hold(reports.event_table(event_reports), held).withColumn("Time", F.col("timeInPeriod"))
-    rows = ordered.occurrence_join(html, _api_plays(games)).drop("seq_api")
-    dim = hold(_game_dimension(games), held)
+    parts = pbp_parts(event_reports, games, shifts, strict_compat, held)
+    return reduce(DataFrame.unionByName, [table for table, _ in parts])
+
+
+def _pbp(
+    html: DataFrame, games: DataFrame, shifts: DataFrame, dim: DataFrame, strict_compat: bool, whole: bool,
+    held: list[str] | None,
+) -> DataFrame:
+    rows = ordered.occurrence_join(html, _api_plays(games, whole), whole=whole).drop("seq_api")
     rows = join_dimension(
         rows, dim.select("gameId", "gameType", "home_ids", "home_names", "away_ids", "away_names", "player_names"),
         ["gameId"],
@@ -131,13 +178,14 @@ def build_pbp(
     }).drop("gameType", "home_ids", "home_names", "away_ids", "away_names", "player_names", "playerId",
             "home_on_ice", "away_on_ice", "home_goalie", "away_goalie")
 
-    changes = shift_ops.shift_events_with_strength(shifts).drop("eventTeam", "homeTeam", "awayTeam")
+    changes = shift_ops.shift_events_with_strength(shifts, whole).drop("eventTeam", "homeTeam", "awayTeam")
     merged = rows.withColumn("src", F.lit(0)).unionByName(
         changes.withColumn("src", F.when(F.col("Event") == "ON", 1).otherwise(2)), allowMissingColumns=True
     )
-    merged = hold(merged, held)
+    if not whole:
+        merged = hold(merged, held)
     out = ordered.in_order(
-        merged, ordered.canonical_keys(merged), fill=ordered.SCOREBOARD, number="#"
+        merged, ordered.canonical_keys(merged), fill=ordered.SCOREBOARD, number="#", whole=whole
     ).drop("merge_idx")
     facts = dim.select("gameId", "venue", "venueLocation", *feeds.META, "homeTeam", "awayTeam")
     out = join_dimension(out, facts, ["gameId"])

@@ -73,10 +73,15 @@ def _trimmed(c: Column) -> Column:
 
 def inner_text(c: Column) -> Column:
     """Text of a piece of markup: every text node trimmed, then joined without separator."""
-    # a run of blanks is looked at from its start only, however long it is
-    bare = F.regexp_replace(_spaced(c), r"(?<!\s)\s*+<[^>]*+>\s*+", "")
-    # most cells hold neither tags nor entities and are only trimmed
-    return F.when(_has(c, f"<&{ODD}"), _trimmed(_decoded(bare))).otherwise(_trimmed(c))
+    def bare(c: Column) -> Column:
+        # a run of blanks is looked at from its start only, however long it is
+        return F.regexp_replace(c, r"(?<!\s)\s*+<[^>]*+>\s*+", "")
+
+    # most cells hold neither tags nor entities and are only trimmed; texts of tables hold tags, but seldom entities
+    return (
+        F.when(_has(c, f"&{ODD}"), _trimmed(_decoded(bare(_spaced(c)))))
+        .when(_has(c, "<"), _trimmed(bare(c))).otherwise(_trimmed(c))
+    )
 
 
 def _after_first(pieces: Column) -> Column:
@@ -115,33 +120,61 @@ def _table_numbers(pieces: Column) -> Column:
     return running(pieces, {"depth": F.lit(0), "tables": F.lit(0)}, step, "int")
 
 
+def _table_pattern(depth: int) -> str:
+    """A marked table with tables inside it down to a depth.
+
+    All repetitions are possessive: the text of a table is looked at once a level, and no length of it fills a stack.
+    """
+    plain = f"[^{OPEN}{CLOSE}]*+"
+    table = f"{OPEN}{plain}{CLOSE}"
+    for _ in range(depth - 1):
+        table = f"{OPEN}{plain}(?:{table}{plain})*+{CLOSE}"
+    return table
+
+
+TABLE = _table_pattern(3)
+
+
+def _unmarked(c: Column) -> Column:
+    return F.replace(F.replace(c, F.lit(OPEN), F.lit("")), F.lit(CLOSE), F.lit(""))
+
+
 def extract_rows(reports: DataFrame) -> DataFrame:
     """One row per data row of each report: ``seq``, ``cells`` and the nested-table texts ``ice``.
 
     A row's on-ice lists are tables inside its cells, nested to any depth. Tables are marked by single characters;
     what lies in an outermost table becomes one text, and what is left is cut at the row's own end and split into
-    cells.
+    cells. Where a pattern takes out all tables of a row, which leaves no opening mark, they are the outermost ones;
+    only rows with deeper or unclosed tables are counted piece by piece.
     """
     kept = [c for c in reports.columns if c != "html"]
     marked = F.regexp_replace(
         F.regexp_replace("chunk", r"(?i)<table\b[^>]*>", OPEN), r"(?i)</table\s*>", CLOSE
     )
     either = f"(?<=[{OPEN}{CLOSE}])|(?=[{OPEN}{CLOSE}])"
+    plain = ~F.contains("around", F.lit(OPEN)) & ~F.contains("marked", F.lit(HOLE))
     rows = (
         _filled(reports)
         .select(*kept, F.posexplode(_after_first(F.split("html", ROW))).alias("seq", "chunk"))
-        .select(*kept, "seq", F.explode(F.array(F.split(marked, either))).alias("pieces"))
-        .select(*kept, "seq", "pieces", F.explode(F.array(_table_numbers(F.col("pieces")))).alias("of"))
+        .select(*kept, "seq", F.explode(F.array(marked)).alias("marked"))
+        .select(*kept, "seq", "marked", F.explode(F.array(F.regexp_replace("marked", TABLE, HOLE))).alias("around"))
+        .select(*kept, "seq", "marked", "around", F.explode(F.array(F.when(~plain, F.split("marked", either)))).alias("pieces"))
+        .select(*kept, "seq", "marked", "around", "pieces", F.explode(F.array(
+            F.when(F.col("pieces").isNotNull(), _table_numbers(F.col("pieces"))))).alias("of"))
     )
+    counted = F.col("of").isNotNull()
     number = lambda i: F.get("of", i)
     first = lambda i: (number(i) > 0) & ((i == 0) | (number(i) != F.coalesce(F.get("of", i - 1), F.lit(0))))
     outside = F.transform("pieces", lambda p, i: F.when(number(i) == 0, F.translate(p, CLOSE, "")).when(first(i), F.lit(HOLE)).otherwise(""))
-    own = F.regexp_replace(F.array_join(outside, ""), "(?is)</tr>.*", "")
-    rows = rows.select(*kept, "seq", "pieces", "of", F.explode(F.array(own)).alias("own"))
+    around = F.when(counted, F.array_join(outside, "")).otherwise(F.replace(F.col("around"), F.lit(CLOSE), F.lit("")))
+    own = F.regexp_replace(around, "(?is)</tr>.*", "")
+    rows = rows.select(*kept, "seq", "marked", "pieces", "of", F.explode(F.array(own)).alias("own"))
     # the texts of all tables in one pass: each begins with a mark
     inside = F.transform("pieces", lambda p, i: F.when(number(i) == 0, "").otherwise(
         F.concat(F.when(first(i), F.lit(HOLE)).otherwise(""), F.translate(p, OPEN + CLOSE, ""))))
-    tables = F.slice(_after_first(F.split(F.array_join(inside, ""), HOLE)), 1, F.size(F.split("own", HOLE)) - 1)
+    tables = F.when(counted, _after_first(F.split(F.array_join(inside, ""), HOLE))).otherwise(
+        F.transform(F.regexp_extract_all("marked", F.lit(TABLE), 0), _unmarked))
+    tables = F.slice(tables, 1, F.size(F.split("own", HOLE)) - 1)
     cells = F.filter(
         F.regexp_extract_all("own", F.lit(CELL), 1), lambda c: ~F.contains(c, F.lit(HOLE))
     )

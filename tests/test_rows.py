@@ -176,6 +176,32 @@ def test_shift_strengths(spark):
     assert seconds == 20
 
 
+def test_whole_games_give_the_same(spark):
+    """Plain windows over games against cells: null games, seconds, keys and values, several games."""
+    i = F.col("id")
+    df = spark.range(900).select(
+        F.when(i % 11 != 0, (i % 4).cast("int")).alias("gameId"), i.alias("seq"), F.when(i % 7 != 0, (i * 31 % 50).cast("int")).alias("elapsedTime"),
+        F.when(i % 13 != 0, F.element_at(F.array(*[F.lit(x) for x in ("SHOT", "GOAL", "ON", "FAC")]), (i * 17 % 4 + 1).cast("int"))).alias("Event"),
+        F.when(i % 3 == 0, (i % 5).cast("int")).alias("homeScore"), F.lit("1").alias("Per"), F.when(i % 9 != 0, (i % 6).cast("string")).alias("Time"))
+
+    def same(a, b):
+        assert a.schema.simpleString() == b.schema.simpleString()
+        assert sorted(repr(r) for r in a.collect()) == sorted(repr(r) for r in b.collect())
+
+    for among in (None, F.col("Event") != "ON"):
+        same(*[ordered.in_order(
+            df, ordered.canonical_keys(df), fill=("homeScore",), number="#", previous={"before": F.col("seq"), "score": F.col("homeScore")},
+            among=among, whole=whole) for whole in (False, True)])
+    right = df.where("seq % 5 <> 1").withColumn("more", F.col("seq") * 2)
+    for down in (False, True):
+        same(*[ordered.occurrence_join(df, right, right_descending=down, whole=whole) for whole in (False, True)])
+    stays = df.select(
+        "gameId", (F.col("seq") % 24).alias("playerId"), (F.col("seq") % 2).alias("isHome"),
+        F.when(F.col("seq") % 12 == 0, "G").otherwise("C").alias("positionCode"), F.col("elapsedTime").alias("elapsed_time_start"),
+        F.when(F.col("seq") % 8 != 0, F.col("seq") * 13 % 60).cast("int").alias("elapsed_time_end"))
+    same(*[shifts.shift_events_with_strength(stays, whole) for whole in (False, True)])
+
+
 def test_salted_join(spark):
     rows = spark.range(500).select(F.when(F.col("id") < 400, 1).otherwise(F.col("id")).alias("gameId"), F.col("id").alias("seq"))
     dim = spark.createDataFrame([(1, "x"), (450, "y")], "gameId long, v string")

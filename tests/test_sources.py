@@ -2,6 +2,7 @@
 
 import json
 import os
+import re
 import time
 
 import pytest
@@ -186,6 +187,66 @@ def test_plans(spark, inputs):
     assert stats == {108: (2, 1), 109: (2, 1), 218: (1, 2), 207: (1, 2)}
 
 
+def held_pbp(spark, inputs, held):
+    events, shift_docs, payloads = inputs
+    games = plans.hold(feeds.parse_game(payloads), held)
+    shifts = plans.hold(plans.build_shifts(shift_docs, games), held)
+    return plans.build_pbp(events, games, shifts, held=held)
+
+
+def seen(df):
+    return sorted(repr(r) for r in df.drop("scrapedOn").collect())
+
+
+def test_rows_of_a_game_meet_once(spark, inputs):
+    """Whatever travels when held tables are put together travels to its game, and by nothing else."""
+    held = []
+    try:
+        pbp = held_pbp(spark, inputs, held)
+        plan = pbp._jdf.queryExecution().executedPlan().toString()
+        dealt = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+        assert dealt and all(re.search(r"hashpartitioning\((gameId|id)#\d+L?, ", x) for x in dealt), plan
+    finally:
+        plans.release(spark, held)
+
+
+def test_games_beyond_the_bound(spark, monkeypatch):
+    """Games put together in one task, in cells, or some this and some that way: the same rows."""
+    other = GAME + 5
+    few = "<html><table>" + event_row(1, 1, "0:30", "19:30", "SHOT") + "</table></html>"
+    events = spark.createDataFrame([(GAME, EVENTS), (other, few), (None, few)], "gameId long, html string")
+    shift_docs = spark.createDataFrame([(GAME, "Home", HOME), (GAME, "Away", AWAY), (other, "Home", HOME), (GAME + 9, "Away", AWAY)],
+                                       "gameId long, team_type string, html string")
+    payloads = spark.createDataFrame([(json.dumps(PAYLOAD | change),) for change in ({}, {"id": other}, {"id": GAME + 7, "plays": None})], "payload string")
+    inputs = events, shift_docs, payloads
+    games = feeds.parse_game(payloads)
+    want, wide = seen(plans.build_pbp(events, games, plans.build_shifts(shift_docs, games))), seen(plans.pipeline(*inputs)[0])
+    # GAME has 6 + 6 + 16 rows, the other game 1 + 6 + 8, the null one a single row
+    for bound in (0, 20, 50_000):
+        monkeypatch.setattr(plans, "GAME_ROWS", bound)
+        held = []
+        try:
+            assert seen(held_pbp(spark, inputs, held)) == want
+            assert seen(plans.pipeline(*inputs, held=held)[0]) == wide
+        finally:
+            plans.release(spark, held)
+
+
+def test_plain_tables_are_not_counted_piece_by_piece(spark):
+    """Rows whose tables a pattern takes out cost little; the same rows with one deeper table are counted."""
+    def took(lists):
+        docs = spark.range(40).select(F.repeat(F.lit(f'<tr class="oddColor"><td>1</td>{lists}</tr>'), 400).alias("html"))
+        best = 1e9
+        for _ in range(3):
+            begin = time.time()
+            reports.extract_rows(docs).write.format("noop").mode("overwrite").save()
+            best = min(best, time.time() - begin)
+        return best
+
+    lists = f"<td>{ice('18C', '7L', '35G')}</td><td>{ice('8C', '9D', '31G')}</td>"
+    assert took(lists) * 2 < took(lists + f"<td>{deep('x', 4)}</td>")
+
+
 def test_feed_shapes(spark):
     df = spark.createDataFrame([('{"games":[{"id":1},5,{"id":2}],"n":0}',), ('[{"id":3}]',), ('{"other":1}',)], "payload string")
     assert {r.id for r in feeds.parse_feed(df, "schedule").collect()} == {1, 2, 3}

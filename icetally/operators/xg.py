@@ -41,14 +41,14 @@ def _same(a: Column, b: Column) -> Column:
 def engineer_xg_features(
     pbp: DataFrame, goal_x: float = 89.0, goal_y: float = 0.0, rebound_window_s: int = 3,
     on_off_events: tuple[str, ...] = CHANGES, shot_like_events_prev: tuple[str, ...] = ("SHOT",),
-    shot_like_events: tuple[str, ...] | None = None, order: str = "seq",
+    shot_like_events: tuple[str, ...] | None = None, order: str = "seq", whole: bool = False,
 ) -> DataFrame:
     """Adds geometry, strength, score, empty-net, previous-play and rebound columns.
 
     A rebound is a ``shot_like_events`` play (default: the same types as the parent) by the team of the
     previous play, itself one of ``shot_like_events_prev``, within the window. Score differences are
     those before a goal. ``order`` names the column that orders plays of one second: the place in the source, or
-    ``#`` of a table that is in its final order.
+    ``#`` of a table that is in its final order. ``whole`` says that the rows of any game fit into one task.
     """
     df = rink_geometry(ensure_columns(pbp, _NEEDED), goal_x, goal_y)
     home = _same(F.col("eventTeam"), F.col("homeTeam"))
@@ -83,7 +83,7 @@ def engineer_xg_features(
             "previousEventAngleSigned": F.col("angle_signed"),
             "previousEventXNorm": F.col("x_norm"), "previousEventYNorm": F.col("y_norm"),
         },
-        among=play,
+        among=play, whole=whole,
     )
     same_team = _same(F.col("previousTeam"), F.col("eventTeam"))
     gap = F.col("elapsedTime") - F.col("previousElapsedTime")

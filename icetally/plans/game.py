@@ -220,7 +220,10 @@ def pipeline(
     """(play-by-play with features, xG when a model is given and wide on-ice columns, players)."""
     games = hold(feeds.parse_game(payloads), held)
     shifts = hold(build_shifts(shift_reports, games), held)
-    pbp = hold(build_pbp(event_reports, games, shifts, held=held), held)
-    features = engineer_xg_features(pbp, order="#")
-    scored = predict_xg(features, model) if model is not None else features.withColumn("xG", F.lit(None).cast("double"))
-    return onice.on_ice_wide(scored, max_skaters=max_skaters), build_players(shifts)
+    parts = []
+    for pbp, whole in pbp_parts(event_reports, games, shifts, held=held):
+        # by whole games the features follow in the task that put the game together; else two branches read the table
+        features = engineer_xg_features(pbp if whole else hold(pbp, held), order="#", whole=whole)
+        scored = predict_xg(features, model) if model is not None else features.withColumn("xG", F.lit(None).cast("double"))
+        parts.append(onice.on_ice_wide(scored, max_skaters=max_skaters))
+    return reduce(DataFrame.unionByName, parts), build_players(shifts)

@@ -210,6 +210,18 @@ def test_rows_of_a_game_meet_once(spark, inputs):
         plans.release(spark, held)
 
 
+def test_pipeline_orders_a_game_without_another_table(spark, inputs):
+    """Features follow where the game was put together: the play-by-play table is not written in between."""
+    held = []
+    try:
+        wide, _ = plans.pipeline(*inputs, held=held)
+        assert len(held) == 5
+        plain, _ = plans.pipeline(*inputs)
+        assert wide.columns == plain.columns and seen(wide) == seen(plain)
+    finally:
+        plans.release(spark, held)
+
+
 def test_games_beyond_the_bound(spark, monkeypatch):
     """Games put together in one task, in cells, or some this and some that way: the same rows."""
     other = GAME + 5

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from icetally.session import delete_path, shared_path
 
-from .common import cut, free_name, lower_ascii, sized, text_of, words
+from .common import Keys, cut, free_name, lower_ascii, sized, text_of, words
 from .links import groups
 
 #: Sizes among which the boundary between light and heavy sets is looked for.
@@ -210,15 +210,15 @@ def _heavy(docs: DataFrame, every: DataFrame, described: DataFrame, sizes: Sizes
     """key, id, n, at, lo, hi of the sets that can have a heavy partner; and sid, n, elements of those sets."""
     percent = sizes.percent
     near = described.where(F.col("n") >= sizes.least(boundary))
-    rows = sized(near.select("place", "row").join(with_partner(near), "place").select("row"))
+    rows = Keys(near.select("place", "row").join(with_partner(near), "place").select("row"))
     again = docs.withColumn(row := free_name(docs, "row"), F.xxhash64(F.col(doc_id), text_of(text)))
-    chosen = again.join(rows.withColumnRenamed("row", row), row, "left_semi")
+    chosen = rows.picked(again, row)
     # rows repeated with id and text come back each; only they are brought together, the other sets stay in place
     twice = every.groupBy("row").count().where("count > 1").select("row")
-    repeated = sized(rows.join(twice, "row", "left_semi"))
+    repeated = Keys(rows.table.join(twice, "row", "left_semi"))
     each = cut(_sets(chosen, doc_id, text, n).select("row", "sid", "n", "elements"))
-    sets = each.join(repeated, "row", "left_anti").union(
-        each.join(repeated, "row", "left_semi").dropDuplicates(["row"])).select("sid", "n", "elements")
+    sets = repeated.dropped(each, "row").unionByName(
+        repeated.picked(each, "row", lambda held: held.dropDuplicates(["row"]))).select("sid", "n", "elements")
 
     listed = sets.select("sid", "n", F.explode("elements").alias("e"))
     often = listed.groupBy("e").count().where("count > 1")
@@ -263,11 +263,11 @@ def components_of(docs: DataFrame, n: int = 3, percent: int = 90, doc_id: str =
     wide = spark.read.parquet(segmented)
     every = cut(wide.drop("segments"))
     first = every.groupBy("sid").agg(F.min("place").alias("first"))
-    copies = sized(every.select("sid", "place").join(first, "sid").where("place != first").select("place"))
-    once = every.join(copies, "place", "left_anti")
+    copies = Keys(every.select("sid", "place").join(first, "sid").where("place != first").select("place"))
+    once = copies.dropped(every, "place")
     small = {r["n"]: r["count"] for r in once.where(F.col("n").between(1, 2 * MOST_LIGHT)).groupBy("n").count().collect()}
     boundary = sizes.boundary(small)
-    heavy, sets = _heavy(docs, every, wide.join(copies, "place", "left_anti"), sizes, boundary, doc_id, text, n)
+    heavy, sets = _heavy(docs, every, copies.dropped(wide, "place"), sizes, boundary, doc_id, text, n)
     delete_path(spark, segmented)
     light = _light(once, sizes, boundary)
     members = cut(light.union(heavy).distinct())
@@ -300,11 +300,11 @@ def representatives(docs: DataFrame, n: int = 5, percent: int = 80, doc_id: str
     placed = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id"), F.col("row"))
     chosen = found.where("n_shingles > 0").groupBy("component").agg(F.min(placed).alias("first")).select("first.row").withColumn("keep", F.lit(True))
     twice = found.groupBy("row").count().where("count > 1").select("row")
-    gone = sized(found.where("n_shingles > 0").select("row").distinct().join(chosen, "row", "left_anti"))
-    repeated = sized(chosen.join(twice, "row", "left_semi").select("row"))
+    gone = Keys(found.where("n_shingles > 0").select("row").distinct().join(chosen, "row", "left_anti"))
+    repeated = Keys(chosen.join(twice, "row", "left_semi").select("row"))
     row = free_name(docs, "row")
     keyed = docs.withColumn(row, F.xxhash64(F.col(doc_id), text_of(text)))
-    kept = keyed.join(gone.withColumnRenamed("row", row), row, "left_anti")
-    single = kept.join(repeated.withColumnRenamed("row", row), row, "left_anti")
-    copies = kept.join(repeated.withColumnRenamed("row", row), row, "left_semi").dropDuplicates([row])
-    return single.union(copies).select(*docs.columns)
+    kept = gone.dropped(keyed, row)
+    single = repeated.dropped(kept, row)
+    copies = repeated.picked(kept, row, lambda held: held.dropDuplicates([row]))
+    return single.unionByName(copies).select(*docs.columns)

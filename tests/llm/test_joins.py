@@ -9,7 +9,7 @@ from itertools import combinations
 import pytest
 from pyspark.sql import functions as F
 
-from icetally.llm import line_dedup, links, ngram_join
+from icetally.llm import common, line_dedup, links, ngram_join
 
 from .helpers import LOWER, WORD, Groups, changed, edits, empty, frame, kept_clashes, odd_rows
 
@@ -154,6 +154,51 @@ def test_without_broadcasts(spark, monkeypatch):
     assert got == brute_dedup(lines, line_dedup.THRESHOLD, line_dedup.MIN_CHARS)
 
 
+def test_long_lists_of_keys_are_not_broadcast(spark, monkeypatch):
+    """Above BROADCAST_KEYS only a sieve of the keys passes through the driver, with the same results."""
+    sent, broadcast, most = [], F.broadcast, 5
+    monkeypatch.setattr(F, "broadcast", lambda df: sent.append(df) or broadcast(df))
+    for module in (common, line_dedup):
+        monkeypatch.setattr(module, "BROADCAST_KEYS", most, raising=False)
+    monkeypatch.setattr(line_dedup, "COMMON_TIMES", 2)
+    lines = [(i, "\n".join([f"a shared line number {i % 9} of the text", f"own line of document {i} {'x' * i}"])) for i in range(40)]
+    lines += [(50 + i, f"each of these many lines stands twice {i % 8:b}") for i in range(16)] + [(70, None), (71, "")]
+    got = {r.doc_id: r.text for r in line_dedup.deduped(frame(spark, lines), drop_emptied=False).collect()}
+    assert got == brute_dedup(lines, line_dedup.THRESHOLD, line_dedup.MIN_CHARS) | {70: None}
+    texts = near_texts(7, 12)
+    texts += [(1000 + i, texts[i][1]) for i in range(0, len(texts), 3)]
+    rows = [*texts, *texts[:9]]
+    components = brute_components(texts, 3, 80)
+    found = ngram_join.components_of(frame(spark, rows), 3, 80).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == components and len(found) == len(rows)
+    kept = ngram_join.representatives(frame(spark, rows), 3, 80).collect()
+    assert sorted(r.doc_id for r in kept) == sorted(i for i, (n, c) in components.items() if n == 0 or i == c)
+    assert [df.columns for df in sent if "bits" not in df.columns and df.count() > most] == []
+    assert any("bits" in df.columns for df in sent)
+
+
+def test_keys_pick_and_drop(spark, monkeypatch):
+    """The rows with a key and the others, for few and for many keys, with nulls, repeated keys and clashing names."""
+    rng = random.Random(8)
+    rows = [(rng.choice([None, *range(-300, 300)]), f"v{i}") for i in range(2000)]
+    df = spark.createDataFrame(rows, "bits bigint, bucket string").withColumn("mark", F.lit("own"))
+    for values in ([], [None], [5, 5, None, -7], [None, *range(-400, 400, 3), 3, 3, 1 << 62, -(1 << 63)]):
+        keys = spark.createDataFrame([(v,) for v in values], "k bigint")
+        want = sorted(v for k, v in rows if k is not None and k in values)
+        for most in (0, 1000):
+            monkeypatch.setattr(common, "BROADCAST_KEYS", most)
+            held = common.Keys(keys)
+            assert held.few == (len(values) <= most)
+            assert sorted(r.bucket for r in held.picked(df, "bits").collect()) == want
+            rest = held.dropped(df, "bits").collect()
+            assert sorted(r.bucket for r in rest) == sorted({v for _, v in rows} - set(want)) and {r.mark for r in rest} <= {"own"}
+    # few other rows pass the sieve
+    monkeypatch.setattr(common, "BROADCAST_KEYS", 0)
+    held = common.Keys(spark.range(0, 40_000, 2))
+    passed = held._marked(spark.range(40_000), "id", "mark").where("mark").agg(F.count("*"), F.sum((F.col("id") % 2 == 0).cast("int"))).first()
+    assert passed[1] == 20_000 and passed[0] < 22_000
+
+
 def test_odd_rows_of_line_dedup(spark):
     kept = line_dedup.deduped(frame(spark, odd_rows(), clashes=True)).collect()
     assert kept_clashes(kept) and sorted(r.doc_id or 0 for r in kept) == [0, 1, 2, 3, 4, 5, 7, 8, 9, 10]
